@@ -21,10 +21,13 @@ def text_schema(table: SourceTable) -> StructType:
 
 
 def parse_lines(lines: DataFrame, line: str, table: SourceTable) -> DataFrame:
-    """Split a column of delimited lines into text columns by position."""
-    schema = text_schema(table)
-    return lines.select(F.from_csv(line, schema.simpleString()[7:-1].replace(":", " "), DELIMITED)
-                        .alias("r")).select("r.*")
+    """Split a column of delimited lines into text columns by position.
+
+    Unpacked by a generator, which a later filter cannot be pushed through: every line
+    is parsed once, not once per cell that a condition looks at.
+    """
+    layout = ", ".join(f"{name} STRING" for name in text_schema(table).fieldNames())
+    return lines.select(F.inline(F.array(F.from_csv(line, layout, DELIMITED))))
 
 
 def type_cells(text_rows: DataFrame, table: SourceTable) -> DataFrame:

@@ -115,29 +115,28 @@ def fact_sessions(
 
 
 def fact_web_analytics(
-    pageviews: DataFrame, sessions: DataFrame, dim_customers: DataFrame
+    pageviews: DataFrame, sessions: DataFrame, dim_customers: DataFrame | None
 ) -> DataFrame:
-    """Page views with the marketing attributes and customer of their session."""
-    visits = sessions.join(_customer_keys(dim_customers, "user_id"), "user_id", "left").select(
-        "website_session_id",
-        "customer_key",
-        "utm_source",
-        "utm_campaign",
-        "utm_content",
-        "device_type",
-    )
+    """Page views with the marketing attributes and customer of their session.
+
+    Without customers that column is left out, as for sales.
+    """
+    marketing = ["utm_source", "utm_campaign", "utm_content", "device_type"]
+    visits, customer = sessions, []
+    if dim_customers is not None:
+        visits = sessions.join(_customer_keys(dim_customers, "user_id"), "user_id", "left")
+        customer = ["customer_key"]
     seen = F.col("pageview_time")
-    return pageviews.join(visits, "website_session_id", "left").select(
+    return pageviews.join(
+        visits.select("website_session_id", *customer, *marketing), "website_session_id", "left"
+    ).select(
         F.col("website_pageview_id").alias("pageview_id"),
         F.col("website_session_id").alias("session_key"),
-        _member("customer_key"),
+        *[_member(c) for c in customer],
         date_key(seen).alias("date_key"),
         time_key(seen).alias("time_key"),
         F.col("pageview_url").alias("page_name"),
-        "utm_source",
-        "utm_campaign",
-        "utm_content",
-        "device_type",
+        *marketing,
     )
 
 

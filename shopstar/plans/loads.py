@@ -18,7 +18,7 @@ from shopstar.operators.quality import FAILED, SUCCESS
 from shopstar.plans import dimensions, facts, marts
 from shopstar.schemas import SOURCES, SourceTable
 from shopstar.sources.files import read_delimited
-from shopstar.sources.snapshots import Lake, now
+from shopstar.sources.snapshots import Lake, Layer, now
 
 # Tolerated malformed lines per file, load orders, status words and the
 # names of the reporting views.
@@ -95,16 +95,15 @@ def load_bronze(
         except Exception as error:  # noqa: BLE001 - one table must not stop the others
             outcome = dict(status=FAILED, error_message=_message(error))
         ended = now()
-        lake.append_log(
-            "bronze",
+        record = dict(
             table_name=name,
             batch_id=batch_id,
             load_start_time=started,
             load_end_time=ended,
             last_load_date=ended,
             created_at=ended,
-            **outcome,
         )
+        lake.append_log("bronze", record | outcome)
     return lake.log("bronze").filter(F.col("batch_id") == batch_id)
 
 
@@ -160,9 +159,10 @@ def _changed(*kinds: str) -> Column:
     return F.count(F.when(F.col("_change").isin(*kinds), 1))
 
 
-def _load_dimension(lake: Lake, name: str, cleaned: DataFrame, batch_id, as_of, collation) -> dict:
+def _load_dimension(
+    lake: Lake, name: str, target: DataFrame | None, cleaned: DataFrame, batch_id, as_of, collation
+) -> dict:
     dim = scd.DIMENSIONS[name]
-    target = lake.read("silver", name)
     if target is None:
         target = scd.empty(lake.spark, dim)
     if dim.versioned:
@@ -211,18 +211,21 @@ def load_silver(
     as_of = as_of or now()
     batch_id = silver_batch_id or f"SILVER_{now():%Y%m%d_%H%M%S}"
     source_batch_id = source_batch_id or quality.latest_success(lake.log("bronze")).first()[0]
+    bronze, silver = lake.layer("bronze"), lake.layer("silver")
     for name in (*SILVER_DIMENSIONS, *SILVER_FACTS):
         started = now()
         try:
-            if lake.last_status("bronze", name) != SUCCESS:
+            if bronze.status(name) != SUCCESS:
                 raise NothingToLoad("last raw load did not succeed")
-            raw = lake.read("bronze", name)
+            raw = bronze[name]
             is_versioned = name in scd.DIMENSIONS and scd.DIMENSIONS[name].versioned
             if is_versioned and not allow_empty_source and raw.isEmpty():
                 raise NothingToLoad("the source has no rows")
             cleaned = _cleaner(name, as_of)(raw)
             if name in scd.DIMENSIONS:
-                outcome = _load_dimension(lake, name, cleaned, batch_id, as_of, collation)
+                outcome = _load_dimension(
+                    lake, name, silver.get(name), cleaned, batch_id, as_of, collation
+                )
             else:
                 outcome = _load_fact_rows(lake, name, cleaned, batch_id, as_of)
             outcome["status"] = SUCCESS
@@ -231,8 +234,7 @@ def load_silver(
         except Exception as error:  # noqa: BLE001 - one table must not stop the others
             outcome = dict(status=FAILED, error_message=_message(error))
         ended = now()
-        lake.append_log(
-            "silver",
+        record = dict(
             table_name=name,
             source_layer="bronze",
             load_start_time=started,
@@ -240,58 +242,59 @@ def load_silver(
             silver_batch_id=batch_id,
             source_batch_id=source_batch_id,
             created_at=ended,
-            **outcome,
         )
+        lake.append_log("silver", record | outcome)
     return quality.run_summary(lake.log("silver"), batch_id)
 
 
 # --- Gold ----------------------------------------------------------------------------
 
 
-def _gold_builders(lake: Lake, as_of, calendar: tuple[date, date]) -> dict[str, Callable]:
-    """Tables in load order; facts read the dimensions stored just before them."""
-    silver = lambda name: lake.read("silver", name)
-    gold = lambda name: lake.read("gold", name)
+def _gold_builders(
+    spark: SparkSession, silver: Layer, fresh: dict[str, str], as_of, calendar
+) -> dict[str, Callable[[], DataFrame]]:
+    """Tables in load order; facts read the dimensions written just before them."""
+    gold = lambda name: spark.read.parquet(fresh[name])
     loaded = lambda rows: rows.withColumn("dwh_load_date", timestamp_lit(as_of))
     numbered = lambda rows, key: loaded(rows).withColumn(key, _identity())
     return {
-        "dim_date": lambda: dimensions.dim_date(lake.spark, *calendar).coalesce(1),
-        "dim_time": lambda: dimensions.dim_time(lake.spark).coalesce(1),
+        "dim_date": lambda: dimensions.dim_date(spark, *calendar).coalesce(1),
+        "dim_time": lambda: dimensions.dim_time(spark).coalesce(1),
         "dim_customers": lambda: loaded(
-            dimensions.dim_customers(silver("customers"), silver("addresses"), as_of)
+            dimensions.dim_customers(silver["customers"], silver["addresses"], as_of)
         ),
         "dim_products": lambda: loaded(
-            dimensions.dim_products(silver("products"), silver("brands"), silver("categories"))
+            dimensions.dim_products(silver["products"], silver["brands"], silver["categories"])
         ),
         "fact_sessions": lambda: loaded(
             facts.fact_sessions(
-                silver("website_sessions"),
-                silver("pageviews"),
-                silver("orders"),
+                silver["website_sessions"],
+                silver["pageviews"],
+                silver["orders"],
                 gold("dim_customers"),
             )
         ),
         "fact_sales": lambda: numbered(
             facts.fact_sales(
-                silver("orders"),
-                silver("order_items"),
+                silver["orders"],
+                silver["order_items"],
                 gold("dim_customers"),
                 gold("dim_products"),
-                silver("payment_methods"),
+                silver["payment_methods"],
             ),
             "sales_key",
         ),
         "fact_web_analytics": lambda: numbered(
             facts.fact_web_analytics(
-                silver("pageviews"), silver("website_sessions"), gold("dim_customers")
+                silver["pageviews"], silver["website_sessions"], gold("dim_customers")
             ),
             "web_analytics_key",
         ),
         "fact_returns": lambda: numbered(
             facts.fact_returns(
-                silver("order_item_returns"),
-                silver("order_items"),
-                silver("orders"),
+                silver["order_item_returns"],
+                silver["order_items"],
+                silver["orders"],
                 gold("dim_customers"),
                 gold("dim_products"),
             ),
@@ -308,58 +311,53 @@ def load_gold(
 ) -> None:
     """Rebuild dimensions and facts from silver; the first failure ends the load.
 
-    Dimension keys start over on every rebuild, so the facts always follow.
+    Dimension keys start over on every rebuild, so the tables become valid together: a
+    load that fails half-way leaves the star schema of the load before in place.
     """
     lake = Lake(spark, root)
     as_of = as_of or now()
     began = now()
+    fresh: dict[str, str] = {}
+    records = []
     try:
-        for name, build in _gold_builders(lake, as_of, calendar).items():
+        builders = _gold_builders(spark, lake.layer("silver"), fresh, as_of, calendar)
+        for name, build in builders.items():
             started = now()
             try:
-                location, counted = lake.write("gold", name, build())
+                fresh[name], counted = lake.write("gold", name, build())
             except Exception as error:
-                _log_gold(lake, name, started, GOLD_ERROR, 0, error_message=_message(error))
+                lake.append_log("gold", _gold_record(name, started, error=error))
                 raise
-            _log_gold(lake, name, started, SUCCESS, counted["rows"], location=location)
+            records.append(_gold_record(name, started, counted["rows"], fresh[name]))
+        lake.append_log("gold", *records)
     except Exception as error:
-        _log_gold(lake, GOLD_FAILURE, began, GOLD_ERROR, 0, error_message=_message(error))
+        lake.append_log("gold", _gold_record(GOLD_FAILURE, began, error=error))
         raise
 
 
-def _log_gold(lake: Lake, name: str, started, status: str, rows: int, **more) -> None:
-    lake.append_log(
-        "gold",
+def _gold_record(name: str, started, rows: int = 0, location=None, error=None) -> dict:
+    return dict(
         table_name=name,
         source_layer="silver",
         load_start_time=started,
         load_end_time=now(),
         rows_inserted=rows,
-        status=status,
-        **more,
+        location=location,
+        status=GOLD_ERROR if error else SUCCESS,
+        error_message=_message(error) if error else None,
     )
 
 
 def register_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The four reporting views over the stored star schema, by name."""
-    lake = Lake(spark, root)
-    gold = lambda name: lake.read("gold", name)
+    gold = Lake(spark, root).layer("gold")
+    sales, sessions = gold["fact_sales"], gold["fact_sessions"]
+    web, people, days = gold["fact_web_analytics"], gold["dim_customers"], gold["dim_date"]
     views = {
-        SALES_VIEW: marts.sales_summary(
-            gold("fact_sales"), gold("dim_date"), gold("dim_customers")
-        ),
-        CAMPAIGN_VIEW: marts.campaign_summary(
-            gold("fact_sessions"), gold("dim_date"), gold("fact_web_analytics"), gold("fact_sales")
-        ),
-        ABANDONMENT_VIEW: marts.abandonment_rate(
-            gold("fact_web_analytics"), gold("fact_sessions")
-        ),
-        CUSTOMER_VIEW: marts.customer_summary(
-            gold("fact_sessions"),
-            gold("fact_web_analytics"),
-            gold("dim_customers"),
-            gold("fact_sales"),
-        ),
+        SALES_VIEW: marts.sales_summary(sales, days, people),
+        CAMPAIGN_VIEW: marts.campaign_summary(sessions, days, web, sales),
+        ABANDONMENT_VIEW: marts.abandonment_rate(web, sessions),
+        CUSTOMER_VIEW: marts.customer_summary(sessions, web, people, sales),
     }
     for name, rows in views.items():
         rows.createOrReplaceTempView(name)

@@ -168,30 +168,31 @@ def customer_summary(
     """
     visits = _customer_visits(fact_sessions, web)
     sold = F.col("resulted_in_sale")
-    linked = fact_sales.filter("session_key is not null")
-    basket = linked.groupBy("session_key").agg(
-        F.count("*").alias("lines"), F.sum("total_amount").alias("amount")
+    per_customer = visits.groupBy("customer_key").agg(
+        F.count("*").alias("total_sessions"),
+        F.min("moment").alias("first_visit"),
+        F.min(F.when(sold, F.col("moment"))).alias("first_sale"),
+        F.max(F.when(sold, F.col("utm_campaign"))).alias("converting_campaign"),
+        F.count(F.when(sold, 1)).alias("converted"),
     )
-    weight = F.greatest("lines", F.lit(1)) if per_line else F.lit(1)
-    per_customer = (
-        visits.join(basket, "session_key", "left")
+    orders = (
+        fact_sales.filter("session_key is not null")
+        .groupBy("session_key", "order_id")
+        .agg(F.count("*").alias("lines"), F.sum("total_amount").alias("amount"))
+    )
+    bought = (
+        orders.join(visits, "session_key")
         .groupBy("customer_key")
         .agg(
-            F.count("*").alias("total_sessions"),
-            F.min("moment").alias("first_visit"),
-            F.min(F.when(sold, F.col("moment"))).alias("first_sale"),
-            F.max(F.when(sold, F.col("utm_campaign"))).alias("converting_campaign"),
-            F.sum(F.when(sold, weight).otherwise(0)).alias("sessions_with_purchase"),
+            F.countDistinct("order_id").alias("total_orders"),
             F.sum("amount").alias("lifetime_value"),
+            F.sum(F.when(sold, F.col("lines"))).alias("lines"),
+            F.countDistinct(F.when(sold, F.col("moment"))).alias("converted_with_lines"),
         )
     )
-    buyers = (
-        linked.select("session_key", "order_id")
-        .distinct()
-        .join(visits.select("session_key", "customer_key"), "session_key")
-        .groupBy("customer_key")
-        .agg(F.countDistinct("order_id").alias("total_orders"))
-    )
+    # A converting session whose order has no lines still counts once.
+    lines = F.coalesce("lines", F.lit(0)) - F.coalesce("converted_with_lines", F.lit(0))
+    purchases = F.col("converted") + lines if per_line else F.col("converted")
     # Only customers who did not buy at once need their earlier sessions counted.
     later = per_customer.filter("first_sale > first_visit").select("customer_key", "first_sale")
     waited = (
@@ -206,7 +207,7 @@ def customer_summary(
     )
     person = dim_customers.select("customer_key", "full_name", "email", "country", "age_group")
     return (
-        per_customer.join(buyers, "customer_key", "left")
+        per_customer.join(bought, "customer_key", "left")
         .join(waited, "customer_key", "left")
         .join(person, "customer_key")
         .select(
@@ -219,7 +220,7 @@ def customer_summary(
             F.col("first_visit.utm_campaign").alias("first_campaign"),
             F.col("first_visit.device_type").alias("first_device"),
             "converting_campaign",
-            "sessions_with_purchase",
+            purchases.alias("sessions_with_purchase"),
             first_purchase.cast("bigint").alias("first_purchase_session"),
             "lifetime_value",
             F.coalesce("total_orders", F.lit(0)).alias("total_orders"),

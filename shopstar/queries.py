@@ -65,7 +65,7 @@ def query(build: Callable[[Warehouse], DataFrame]) -> Query:
 
 def _customer_lines(w: Warehouse) -> DataFrame:
     """The raw customers as lines of a delimited file, some of them broken."""
-    raw = w.raw.customers()
+    raw = w.raw.raw("customers")
     key = F.col("customer_id")
     spelling = F.when(key % 2 == 0, "yyyy-MM-dd'T'HH:mm:ss").otherwise("yyyy-MM-dd HH:mm:ss")
     iso, spaced = "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss"
@@ -140,7 +140,7 @@ def latest_success_batch(w: Warehouse) -> DataFrame:
     """
     untaxed = F.count(F.when(F.col("tax_amount").isNull(), 1))
     log = (
-        w.raw.orders()
+        w.raw.raw("orders")
         .groupBy(
             F.concat(F.lit("BATCH_"), F.date_format("order_date", "yyyyMM")).alias("batch_id")
         )
@@ -303,7 +303,7 @@ def scd2_deleted_keys(w: Warehouse) -> DataFrame:
 @query
 def surrogate_keys(w: Warehouse) -> DataFrame:
     """Dense keys for the sparse order numbers, in their order."""
-    sparse = w.raw.orders().select((F.col("order_id") * 7 + 13).alias("business_key"))
+    sparse = w.raw.raw("orders").select((F.col("order_id") * 7 + 13).alias("business_key"))
     return keys.assign_keys(sparse, "business_key", "surrogate_key")
 
 
@@ -312,7 +312,7 @@ def surrogate_keys(w: Warehouse) -> DataFrame:
 
 @query
 def fn_sentence_case(w: Warehouse) -> DataFrame:
-    return w.raw.customers().select(
+    return w.raw.raw("customers").select(
         "customer_id",
         fn.sentence_case(F.col("first_name")).alias("first_name"),
         fn.sentence_case(F.col("last_name")).alias("last_name"),
@@ -323,7 +323,7 @@ def fn_sentence_case(w: Warehouse) -> DataFrame:
 @query
 def fn_date_keys(w: Warehouse) -> DataFrame:
     seen = F.col("created_at")
-    return w.raw.pageviews().select(
+    return w.raw.raw("pageviews").select(
         "website_pageview_id", fn.date_key(seen).alias("date_key"), fn.time_key(seen).alias("time_key")
     )
 
@@ -358,7 +358,7 @@ def fn_age_bands(w: Warehouse) -> DataFrame:
 def dim_date(w: Warehouse) -> DataFrame:
     """The calendar years that the orders and page views span."""
     return dimensions.dim_date_covering(
-        w.raw.orders().select("order_date"), w.raw.pageviews().select("created_at")
+        w.raw.raw("orders").select("order_date"), w.raw.raw("pageviews").select("created_at")
     )
 
 
@@ -366,7 +366,7 @@ def dim_date(w: Warehouse) -> DataFrame:
 def dim_time(w: Warehouse) -> DataFrame:
     """The minutes of the day with the page views seen in each."""
     views = (
-        w.raw.pageviews()
+        w.raw.raw("pageviews")
         .groupBy(fn.time_key(F.col("created_at")).alias("time_key"))
         .agg(F.count("*").alias("pageviews"))
     )
@@ -411,7 +411,7 @@ def session_pageview_stats(w: Warehouse) -> DataFrame:
 
 @query
 def session_attributes(w: Warehouse) -> DataFrame:
-    return marts.session_attributes(w.fact_web_analytics, "utm_campaign", "device_type")
+    return marts.session_attributes(w.web_for_marts, "utm_campaign", "device_type")
 
 
 @query

@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import uuid
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
+from shopstar.functions import timestamp_lit
 from shopstar.operators.quality import SUCCESS
 from shopstar.schemas import LOGS
 
@@ -24,6 +26,35 @@ def now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+class Layer:
+    """What the run log of one layer says at one moment: a row per table."""
+
+    def __init__(self, spark: SparkSession, log: DataFrame):
+        self.spark = spark
+        newest = F.struct("load_end_time", "load_start_time")
+        valid = F.when(F.col("status") == SUCCESS, newest)
+        per_table = log.groupBy("table_name").agg(
+            F.max_by("status", newest).alias("status"),
+            F.max_by("location", valid).alias("location"),
+        )
+        self._tables = {row.table_name: row for row in per_table.collect()}
+
+    def status(self, table: str) -> str | None:
+        """Outcome of the last load of the table."""
+        return self._tables[table].status if table in self._tables else None
+
+    def __getitem__(self, table: str) -> DataFrame:
+        """The newest valid snapshot."""
+        rows = self.get(table)
+        if rows is None:
+            raise LookupError(f"{table} has not been loaded")
+        return rows
+
+    def get(self, table: str) -> DataFrame | None:
+        found = self._tables.get(table)
+        return self.spark.read.parquet(found.location) if found and found.location else None
+
+
 class Lake:
     """A root folder with one subfolder per layer and table."""
 
@@ -40,27 +71,27 @@ class Lake:
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def append_log(self, layer: str, **fields) -> None:
-        schema = StructType.fromDDL(LOGS[layer])
-        row = tuple(fields.get(name) for name in schema.fieldNames())
-        entry = self.spark.createDataFrame([row], schema).coalesce(1)
-        entry.write.mode("append").parquet(f"{self.root}/{layer}/metadata")
-
-    def _newest(self, layer: str, table: str) -> DataFrame:
-        rows = self.log(layer).filter(F.col("table_name") == table)
-        return rows.orderBy(F.desc("load_end_time"), F.desc("load_start_time")).limit(1)
-
-    def last_status(self, layer: str, table: str) -> str | None:
-        row = self._newest(layer, table).first()
-        return row.status if row else None
-
-    def read(self, layer: str, table: str) -> DataFrame | None:
-        """The newest valid snapshot, None before the first successful load."""
-        rows = self.log(layer).filter(
-            (F.col("table_name") == table) & (F.col("status") == SUCCESS)
-        )
-        row = rows.orderBy(F.desc("load_end_time"), F.desc("load_start_time")).first()
-        return self.spark.read.parquet(row.location) if row else None
+    def append_log(self, layer: str, *records: dict) -> None:
+        """Append rows in one file, so they become valid together."""
+        fields = StructType.fromDDL(LOGS[layer]).fields
+        rows = [
+            self.spark.range(1).select(*[self._value(record.get(f.name), f) for f in fields])
+            for record in records
+        ]
+        entries = reduce(DataFrame.unionByName, rows).coalesce(1)
+        entries.write.mode("append").parquet(f"{self.root}/{layer}/metadata")
+
+    @staticmethod
+    def _value(value, field: StructField) -> Column:
+        literal = timestamp_lit(value) if isinstance(value, datetime) else F.lit(value)
+        return literal.cast(field.dataType).alias(field.name)
+
+    def layer(self, layer: str) -> Layer:
+        """The valid snapshots of a layer, looked up once: later loads do not show."""
+        return Layer(self.spark, self.log(layer))
+
+    def read(self, layer: str, table: str) -> DataFrame:
+        return self.layer(layer)[table]
 
     def write(
         self,

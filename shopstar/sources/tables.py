@@ -8,6 +8,8 @@ named, and gives the same rows whenever a lost task is computed again.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,12 +65,25 @@ class ShopTables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
+
+    def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """The plan of a frame, built on first use."""
+        if name not in self._frames:
+            self._frames[name] = build()
+        return self._frames[name]
 
     def given(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """One of the benchmark tables."""
+        path = f"{self.folder}/{name}.parquet"
+        return self._once(path, lambda: self.spark.read.parquet(path))
+
+    def raw(self, name: str) -> DataFrame:
+        """One of the raw shop tables."""
+        return self._once(name, getattr(self, name))
 
     def all(self) -> dict[str, DataFrame]:
-        return {name: getattr(self, name)() for name in SOURCES}
+        return {name: self.raw(name) for name in SOURCES}
 
     def customers(self) -> DataFrame:
         key = F.col("c_custkey")

@@ -46,11 +46,15 @@ class Warehouse:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.raw = ShopTables(spark, folder)
+        self._cleaned: dict[tuple[str, bool], DataFrame] = {}
 
     def cleaned(self, name: str, batch: int = 1) -> DataFrame:
         """Cleaned source rows; batch 2 is the changed source, other batches the first."""
-        rows = getattr(self.raw, name)()
-        return _CLEANERS[name](later_batch(name, rows) if batch == 2 else rows)
+        later = batch == 2
+        if (name, later) not in self._cleaned:
+            rows = self.raw.raw(name)
+            self._cleaned[name, later] = _CLEANERS[name](later_batch(name, rows) if later else rows)
+        return self._cleaned[name, later]
 
     def first_load(self, name: str) -> DataFrame:
         """Rows of a versioned dimension after the first load: every one is current.
@@ -126,6 +130,13 @@ class Warehouse:
             self.cleaned("pageviews"), self.cleaned("website_sessions"), self.customer_keys
         )
 
+    @cached_property
+    def web_for_marts(self) -> DataFrame:
+        """Page views without their customer, which no mart reads."""
+        return facts.fact_web_analytics(
+            self.cleaned("pageviews"), self.cleaned("website_sessions"), None
+        )
+
     @cached_property
     def fact_returns(self) -> DataFrame:
         return facts.fact_returns(
@@ -141,13 +152,13 @@ class Warehouse:
 
     def mart_campaign_summary(self) -> DataFrame:
         return marts.campaign_summary(
-            self.fact_sessions, self.dim_date, self.fact_web_analytics, self.sales_for_marts
+            self.fact_sessions, self.dim_date, self.web_for_marts, self.sales_for_marts
         )
 
     def mart_abandonment_rate(self) -> DataFrame:
-        return marts.abandonment_rate(self.fact_web_analytics, self.fact_sessions)
+        return marts.abandonment_rate(self.web_for_marts, self.fact_sessions)
 
     def mart_customer_summary(self) -> DataFrame:
         return marts.customer_summary(
-            self.fact_sessions, self.fact_web_analytics, self.dim_customers, self.sales_for_marts
+            self.fact_sessions, self.web_for_marts, self.dim_customers, self.sales_for_marts
         )
