@@ -114,29 +114,41 @@ def fact_sessions(
     )
 
 
+MARKETING = ("utm_source", "utm_campaign", "utm_content", "device_type")
+
+
 def fact_web_analytics(
-    pageviews: DataFrame, sessions: DataFrame, dim_customers: DataFrame | None
+    pageviews: DataFrame, sessions: DataFrame, dim_customers: DataFrame
 ) -> DataFrame:
-    """Page views with the marketing attributes and customer of their session.
-
-    Without customers that column is left out, as for sales.
-    """
-    marketing = ["utm_source", "utm_campaign", "utm_content", "device_type"]
-    visits, customer = sessions, []
-    if dim_customers is not None:
-        visits = sessions.join(_customer_keys(dim_customers, "user_id"), "user_id", "left")
-        customer = ["customer_key"]
+    """Page views with the marketing attributes and customer of their session."""
+    visits = sessions.join(_customer_keys(dim_customers, "user_id"), "user_id", "left").select(
+        "website_session_id", "customer_key", *MARKETING
+    )
     seen = F.col("pageview_time")
-    return pageviews.join(
-        visits.select("website_session_id", *customer, *marketing), "website_session_id", "left"
-    ).select(
+    return pageviews.join(visits, "website_session_id", "left").select(
         F.col("website_pageview_id").alias("pageview_id"),
         F.col("website_session_id").alias("session_key"),
-        *[_member(c) for c in customer],
+        _member("customer_key"),
         date_key(seen).alias("date_key"),
         time_key(seen).alias("time_key"),
         F.col("pageview_url").alias("page_name"),
-        *marketing,
+        *MARKETING,
+    )
+
+
+def page_visits(pageviews: DataFrame, sessions: DataFrame) -> DataFrame:
+    """The distinct pages of each session with its marketing attributes.
+
+    All that the marts read of the page view fact. Repeated views are dropped on the map
+    side, so a session with a third of them does not reach the join as one group.
+    """
+    pages = pageviews.select("website_session_id", "pageview_url").distinct()
+    return pages.join(
+        sessions.select("website_session_id", *MARKETING), "website_session_id", "left"
+    ).select(
+        F.col("website_session_id").alias("session_key"),
+        F.col("pageview_url").alias("page_name"),
+        *MARKETING,
     )
 
 

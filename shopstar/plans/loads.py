@@ -17,6 +17,7 @@ from shopstar.operators import cleaning, ingest, quality, scd
 from shopstar.operators.quality import FAILED, SUCCESS
 from shopstar.plans import dimensions, facts, marts
 from shopstar.schemas import SOURCES, SourceTable
+from shopstar.session import tune
 from shopstar.sources.files import read_delimited
 from shopstar.sources.snapshots import Lake, Layer, now
 
@@ -82,7 +83,7 @@ def load_bronze(
 
     Up to `max_errors` malformed lines per file are set aside under `bronze/rejected`.
     """
-    lake = Lake(spark, root)
+    lake = Lake(tune(spark), root)
     batch_id = batch_id or f"BATCH_{now():%Y%m%d_%H%M%S}"
     for name in BRONZE_ORDER:
         started = now()
@@ -207,7 +208,7 @@ def load_silver(
     an empty source through. `collation` (say UTF8_LCASE) makes comparison of text
     attributes blind to case.
     """
-    lake = Lake(spark, root)
+    lake = Lake(tune(spark), root)
     as_of = as_of or now()
     batch_id = silver_batch_id or f"SILVER_{now():%Y%m%d_%H%M%S}"
     source_batch_id = source_batch_id or quality.latest_success(lake.log("bronze")).first()[0]
@@ -314,7 +315,7 @@ def load_gold(
     Dimension keys start over on every rebuild, so the tables become valid together: a
     load that fails half-way leaves the star schema of the load before in place.
     """
-    lake = Lake(spark, root)
+    lake = Lake(tune(spark), root)
     as_of = as_of or now()
     began = now()
     fresh: dict[str, str] = {}
@@ -350,7 +351,7 @@ def _gold_record(name: str, started, rows: int = 0, location=None, error=None) -
 
 def register_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The four reporting views over the stored star schema, by name."""
-    gold = Lake(spark, root).layer("gold")
+    gold = Lake(tune(spark), root).layer("gold")
     sales, sessions = gold["fact_sales"], gold["fact_sessions"]
     web, people, days = gold["fact_web_analytics"], gold["dim_customers"], gold["dim_date"]
     views = {

@@ -21,6 +21,7 @@ from shopstar import functions as fn
 from shopstar.operators import ingest, keys, quality, scd
 from shopstar.plans import dimensions, facts, marts
 from shopstar.schemas import SOURCES
+from shopstar.session import tune
 from shopstar.warehouse import AS_OF, LOADS, Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,7 +53,7 @@ def query(build: Callable[[Warehouse], DataFrame]) -> Query:
     """Register a query under the name of its function."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return present(build(Warehouse(spark, folder)))
+        return present(build(Warehouse(tune(spark), folder)))
 
     run.__name__ = build.__name__
     run.__doc__ = build.__doc__
@@ -411,7 +412,7 @@ def session_pageview_stats(w: Warehouse) -> DataFrame:
 
 @query
 def session_attributes(w: Warehouse) -> DataFrame:
-    return marts.session_attributes(w.web_for_marts, "utm_campaign", "device_type")
+    return marts.session_attributes(w.page_visits, "utm_campaign", "device_type")
 
 
 @query

@@ -6,35 +6,51 @@ import os
 
 from pyspark.sql import SparkSession
 
-# Adaptive execution is what splits hot join keys: a shuffle partition far above
-# the median is cut by map output, so one key holding a third of the fact rows is
-# joined by many tasks. Broadcasts stay behind autoBroadcastJoinThreshold, which
-# Spark checks against file statistics and again against real shuffle sizes.
-RUNTIME_SETTINGS = {
+# Adaptive execution is what splits hot join keys: a shuffle partition far above the
+# median is cut by map output, so one key holding a third of the fact rows is joined by
+# many tasks. Forced, it does so also where the rows after the join would have stayed in
+# place, at the price of one more shuffle, and only when a partition is in fact skewed.
+# Broadcasts stay behind autoBroadcastJoinThreshold, which Spark checks against file
+# statistics and again against real shuffle sizes.
+SKEW_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else built."""
-    for name, value in RUNTIME_SETTINGS.items():
+    """Turn on the handling of skew in a session somebody else built."""
+    for name, value in SKEW_SETTINGS.items():
         spark.conf.set(name, value)
     return spark
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Set the shuffle partitions for this much input; never below what is set.
+
+    Partitions start small enough for an executor's memory, and adaptive execution joins
+    those that turn out small. Returns the number set.
+    """
+    wanted = -(-input_bytes // SHUFFLE_PARTITION_BYTES)
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return partitions
+
+
 def local_session(app: str, cpus: int | str = 8, partitions: int | None = None) -> SparkSession:
     """Local session for tests and the benchmark."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("SHOPSTAR_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(partitions or cpus))
     )
-    for name, value in RUNTIME_SETTINGS.items():
+    for name, value in SKEW_SETTINGS.items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -131,11 +131,8 @@ class Warehouse:
         )
 
     @cached_property
-    def web_for_marts(self) -> DataFrame:
-        """Page views without their customer, which no mart reads."""
-        return facts.fact_web_analytics(
-            self.cleaned("pageviews"), self.cleaned("website_sessions"), None
-        )
+    def page_visits(self) -> DataFrame:
+        return facts.page_visits(self.cleaned("pageviews"), self.cleaned("website_sessions"))
 
     @cached_property
     def fact_returns(self) -> DataFrame:
@@ -152,13 +149,13 @@ class Warehouse:
 
     def mart_campaign_summary(self) -> DataFrame:
         return marts.campaign_summary(
-            self.fact_sessions, self.dim_date, self.web_for_marts, self.sales_for_marts
+            self.fact_sessions, self.dim_date, self.page_visits, self.sales_for_marts
         )
 
     def mart_abandonment_rate(self) -> DataFrame:
-        return marts.abandonment_rate(self.web_for_marts, self.fact_sessions)
+        return marts.abandonment_rate(self.page_visits, self.fact_sessions)
 
     def mart_customer_summary(self) -> DataFrame:
         return marts.customer_summary(
-            self.fact_sessions, self.web_for_marts, self.dim_customers, self.sales_for_marts
+            self.fact_sessions, self.page_visits, self.dim_customers, self.sales_for_marts
         )
