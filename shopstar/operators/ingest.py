@@ -31,16 +31,16 @@ def parse_lines(lines: DataFrame, line: str, table: SourceTable) -> DataFrame:
 
 
 def type_cells(text_rows: DataFrame, table: SourceTable) -> DataFrame:
-    """Typed columns plus `bad_columns`: cells whose text does not fit their type.
+    """Typed columns plus `bad_columns`: cells that do not fit their type or length.
 
     An empty cell is NULL, not a bad cell. A row with the wrong number of columns is
     reported under the name of the corrupt-line column.
     """
     typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in table.schema}
-    bad: list[Column] = [
-        F.when(F.col(name).isNotNull() & cell.isNull(), F.lit(name)) for name, cell in typed.items()
-    ]
-    bad.append(F.when(F.col(CORRUPT).isNotNull(), F.lit(CORRUPT)))
+    misfits = {name: F.col(name).isNotNull() & cell.isNull() for name, cell in typed.items()}
+    misfits |= {name: F.length(name) > limit for name, limit in table.lengths.items()}
+    misfits[CORRUPT] = F.col(CORRUPT).isNotNull()
+    bad = [F.when(misfit, F.lit(name)) for name, misfit in misfits.items()]
     return text_rows.select(
         *[cell.alias(name) for name, cell in typed.items()],
         F.array_compact(F.array(*bad)).alias("bad_columns"),

@@ -24,11 +24,16 @@ def running_start(group: list[str], order: str, count: str) -> Column:
     return F.coalesce(F.sum(count).over(before), F.lit(0).cast("bigint"))
 
 
+def range_of(key: str, width: int) -> Column:
+    """Number of the key range; whole-number division keeps the order of the keys."""
+    return F.call_function("div", F.col(key), F.lit(width))
+
+
 def assign_keys(
     rows: DataFrame, key: str, name: str, first: Column | int = 1, width: int = RANGE_WIDTH
 ) -> DataFrame:
     """Add `name`: first, first + 1, ... in order of the unique integer column `key`."""
-    ranged = rows.withColumn("_range", F.floor(F.col(key) / width))
+    ranged = rows.withColumn("_range", range_of(key, width))
     ranges = ranged.groupBy("_range").agg(F.count("*").alias("_rows"))
     starts = ranges.select("_range", running_start([], "_range", "_rows").alias("_start"))
     within = F.row_number().over(Window.partitionBy("_range").orderBy(key))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopstar.operators.keys import RANGE_WIDTH, running_start
+from shopstar.operators.keys import RANGE_WIDTH, range_of, running_start
 
 # A group above HOT_ROWS rows is cut into slots; below it one task sorts it easily.
 HOT_ROWS = 1_000_000
@@ -43,7 +43,7 @@ def number_in_group(
     spread = rows.join(hot, group, "left").withColumns(
         {
             "_slot": F.when(is_hot, F.coalesce(slot.cast("bigint"), F.lit(-1))).otherwise(F.lit(0)),
-            "_range": F.when(is_hot, F.floor(F.col(key) / width)).otherwise(F.lit(0)),
+            "_range": F.when(is_hot, range_of(key, width)).otherwise(F.lit(0)),
         }
     )
     piece = [group, "_slot", "_range"]

@@ -86,9 +86,15 @@ def pageview_stats(pageviews: DataFrame) -> DataFrame:
 
 
 def fact_sessions(
-    sessions: DataFrame, pageviews: DataFrame, orders: DataFrame, dim_customers: DataFrame
+    sessions: DataFrame,
+    pageviews: DataFrame,
+    orders: DataFrame,
+    dim_customers: DataFrame | None,
 ) -> DataFrame:
-    """Sessions with activity and whether any order, of whatever status, came of them."""
+    """Sessions with activity and whether any order, of whatever status, came of them.
+
+    Without customers that column is left out, as for sales.
+    """
     bought = (
         orders.filter("session_id is not null")
         .select(F.col("session_id").alias("website_session_id"))
@@ -97,20 +103,23 @@ def fact_sessions(
     )
     # Both right sides come out of their aggregation partitioned by session, so the
     # sessions are shuffled once for the two joins.
-    return (
+    visits = (
         sessions.select("website_session_id", "user_id", "session_start")
         .join(pageview_stats(pageviews), "website_session_id", "left")
         .join(bought, "website_session_id", "left")
-        .join(_customer_keys(dim_customers, "user_id"), "user_id", "left")
-        .select(
-            F.col("website_session_id").alias("session_key"),
-            _member("customer_key"),
-            date_key(F.col("session_start")).alias("start_date_key"),
-            time_key(F.col("session_start")).alias("start_time_key"),
-            F.coalesce("total_pageviews", F.lit(0)).alias("total_pageviews"),
-            F.coalesce("duration_seconds", F.lit(0)).alias("duration_seconds"),
-            F.coalesce("_bought", F.lit(False)).alias("resulted_in_sale"),
-        )
+    )
+    customer = []
+    if dim_customers is not None:
+        visits = visits.join(_customer_keys(dim_customers, "user_id"), "user_id", "left")
+        customer = [_member("customer_key")]
+    return visits.select(
+        F.col("website_session_id").alias("session_key"),
+        *customer,
+        date_key(F.col("session_start")).alias("start_date_key"),
+        time_key(F.col("session_start")).alias("start_time_key"),
+        F.coalesce("total_pageviews", F.lit(0)).alias("total_pageviews"),
+        F.coalesce("duration_seconds", F.lit(0)).alias("duration_seconds"),
+        F.coalesce("_bought", F.lit(False)).alias("resulted_in_sale"),
     )
 
 

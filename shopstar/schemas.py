@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType, VarcharType
 
-AUDIT = "load_date TIMESTAMP_NTZ, batch_id STRING"
+AUDIT = "load_date TIMESTAMP_NTZ, batch_id VARCHAR(50)"
 STAMPS = "created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ, " + AUDIT
 
 
@@ -23,10 +23,30 @@ class SourceTable:
     ddl: str
 
     @property
-    def schema(self) -> StructType:
-        """Parsed by the running Spark session."""
+    def declared(self) -> StructType:
+        """The layout with text lengths; parsed by the running Spark session."""
         return StructType.fromDDL(self.ddl)
 
+    @property
+    def schema(self) -> StructType:
+        return StructType(
+            [
+                StructField(f.name, StringType(), f.nullable)
+                if isinstance(f.dataType, VarcharType)
+                else f
+                for f in self.declared
+            ]
+        )
+
+    @property
+    def lengths(self) -> dict[str, int]:
+        """Longest text that each text column takes."""
+        return {
+            f.name: f.dataType.length
+            for f in self.declared
+            if isinstance(f.dataType, VarcharType)
+        }
+
     @property
     def required(self) -> list[str]:
         return [f.name for f in self.schema if not f.nullable]
@@ -37,39 +57,39 @@ _SOURCES = (
     SourceTable(
         "customers",
         "customer_id",
-        "customer_id INT NOT NULL, first_name STRING NOT NULL, last_name STRING NOT NULL, "
-        "email STRING NOT NULL, date_of_birth DATE, gender STRING, join_date DATE NOT NULL, "
+        "customer_id INT NOT NULL, first_name VARCHAR(100) NOT NULL, last_name VARCHAR(100) NOT NULL, "
+        "email VARCHAR(255) NOT NULL, date_of_birth DATE, gender VARCHAR(20), join_date DATE NOT NULL, "
         "address_id INT, " + STAMPS,
     ),
     SourceTable(
         "addresses",
         "address_id",
-        "address_id INT NOT NULL, country STRING NOT NULL, city STRING NOT NULL, "
-        "street STRING NOT NULL, postal_code STRING NOT NULL, " + STAMPS,
+        "address_id INT NOT NULL, country VARCHAR(100) NOT NULL, city VARCHAR(100) NOT NULL, "
+        "street VARCHAR(255) NOT NULL, postal_code VARCHAR(20) NOT NULL, " + STAMPS,
     ),
-    SourceTable("brands", "brand_id", "brand_id INT NOT NULL, name STRING NOT NULL, " + STAMPS),
+    SourceTable("brands", "brand_id", "brand_id INT NOT NULL, name VARCHAR(255) NOT NULL, " + STAMPS),
     SourceTable(
         "categories",
         "category_id",
-        "category_id INT NOT NULL, name STRING NOT NULL, parent_category_id INT, " + STAMPS,
+        "category_id INT NOT NULL, name VARCHAR(255) NOT NULL, parent_category_id INT, " + STAMPS,
     ),
     SourceTable(
         "products",
         "product_id",
-        "product_id INT NOT NULL, name STRING NOT NULL, description STRING, category_id INT, "
+        "product_id INT NOT NULL, name VARCHAR(255) NOT NULL, description VARCHAR(1000), category_id INT, "
         "brand_id INT, list_price DECIMAL(18,2), " + STAMPS,
     ),
     SourceTable(
         "payment_methods",
         "payment_method_id",
-        "payment_method_id INT NOT NULL, payment_method_name STRING NOT NULL, "
+        "payment_method_id INT NOT NULL, payment_method_name VARCHAR(100) NOT NULL, "
         "is_active BOOLEAN NOT NULL, " + STAMPS,
     ),
     SourceTable(
         "orders",
         "order_id",
         "order_id INT NOT NULL, customer_id INT NOT NULL, order_date TIMESTAMP_NTZ NOT NULL, "
-        "payment_method_id INT, session_id INT, order_status STRING NOT NULL, "
+        "payment_method_id INT, session_id INT, order_status VARCHAR(50) NOT NULL, "
         "subtotal_amount DECIMAL(18,2) NOT NULL, discount_amount DECIMAL(18,2), "
         "tax_amount DECIMAL(18,2), shipping_amount DECIMAL(18,2), "
         "total_amount DECIMAL(18,2) NOT NULL, " + STAMPS,
@@ -86,20 +106,20 @@ _SOURCES = (
         "return_id",
         "return_id INT NOT NULL, order_item_id INT NOT NULL, "
         "return_date TIMESTAMP_NTZ NOT NULL, quantity_returned INT NOT NULL, "
-        "refund_amount DECIMAL(18,2), reason STRING, " + STAMPS,
+        "refund_amount DECIMAL(18,2), reason VARCHAR(255), " + STAMPS,
     ),
     SourceTable(
         "website_sessions",
         "website_session_id",
         "website_session_id INT NOT NULL, created_at TIMESTAMP_NTZ NOT NULL, user_id INT, "
-        "is_repeat_session BOOLEAN, utm_source STRING, utm_campaign STRING, "
-        "utm_content STRING, device_type STRING, http_referer STRING, " + AUDIT,
+        "is_repeat_session BOOLEAN, utm_source VARCHAR(100), utm_campaign VARCHAR(100), "
+        "utm_content VARCHAR(100), device_type VARCHAR(50), http_referer VARCHAR(255), " + AUDIT,
     ),
     SourceTable(
         "pageviews",
         "website_pageview_id",
         "website_pageview_id INT NOT NULL, created_at TIMESTAMP_NTZ NOT NULL, "
-        "website_session_id INT NOT NULL, pageview_url STRING, " + AUDIT,
+        "website_session_id INT NOT NULL, pageview_url VARCHAR(255), " + AUDIT,
     ),
 )
 SOURCES: dict[str, SourceTable] = {table.name: table for table in _SOURCES}

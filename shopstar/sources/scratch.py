@@ -4,22 +4,27 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+@lru_cache(maxsize=1)
+def _single_machine_folder() -> str:
+    return tempfile.mkdtemp(prefix="shopstar-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the session names; a temporary one only on a single machine."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getConf().get(CHECKPOINT_DIR)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors reach")
-    folder = tempfile.mkdtemp(prefix="shopstar-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    return _single_machine_folder()
 
 
 def stored(rows: DataFrame) -> DataFrame:

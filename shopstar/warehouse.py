@@ -124,6 +124,16 @@ class Warehouse:
             self.customer_keys,
         )
 
+    @cached_property
+    def sessions_for_marts(self) -> DataFrame:
+        """Sessions without their customer, for the marts that do not read it."""
+        return facts.fact_sessions(
+            self.cleaned("website_sessions"),
+            self.cleaned("pageviews"),
+            self.cleaned("orders"),
+            None,
+        )
+
     @cached_property
     def fact_web_analytics(self) -> DataFrame:
         return facts.fact_web_analytics(
@@ -149,11 +159,11 @@ class Warehouse:
 
     def mart_campaign_summary(self) -> DataFrame:
         return marts.campaign_summary(
-            self.fact_sessions, self.dim_date, self.page_visits, self.sales_for_marts
+            self.sessions_for_marts, self.dim_date, self.page_visits, self.sales_for_marts
         )
 
     def mart_abandonment_rate(self) -> DataFrame:
-        return marts.abandonment_rate(self.page_visits, self.fact_sessions)
+        return marts.abandonment_rate(self.page_visits, self.sessions_for_marts)
 
     def mart_customer_summary(self) -> DataFrame:
         return marts.customer_summary(

@@ -137,13 +137,16 @@ def test_failures_are_isolated_and_old_rows_stay(spark, tmp_path):
 
 
 def test_few_malformed_lines_are_set_aside(spark, tmp_path):
-    text = ORDERS + "x,1\n504,1,not a date,1,,new,1,1,1,1,1,,,,\n"
+    long = "n" * 51
+    text = ORDERS + f"505,1,2024-03-05T08:05:00,1,,{long},1,1,1,1,1,,,,\nx,1\n504,1,not a date,1,,new,1,1,1,1,1,,,,\n"
     source, root = write_shop(tmp_path / "in", orders=text), str(tmp_path / "lake")
     log = by(load_bronze(spark, source, root, "B1", DAY1), "table_name")
     assert (log["orders"].status, log["orders"].row_count) == ("Success", 4)
     aside = spark.read.parquet(f"{root}/bronze/rejected/orders").collect()
-    assert sorted(r.line or "" for r in aside) == ["", "x,1"]
-    assert {tuple(r.bad_columns) for r in aside} == {("order_date",), ("order_id", "_corrupt")}
+    assert sorted(r.line or "" for r in aside) == ["", "", "x,1"]
+    assert {tuple(r.bad_columns) for r in aside} == {
+        ("order_status",), ("order_date",), ("order_id", "_corrupt"),
+    }
 
 
 def test_gold_failure_is_logged_and_raised(spark, tmp_path):
