@@ -6,8 +6,9 @@ every range its starting number, and the rows are numbered within their range. T
 numbers equal `row_number() over (order by key)`, and since a key is unique no range
 holds more rows than its width, however the keys are distributed.
 
-The running total is the only step in one task. It sees one row per occupied range, so
-never more than 42,950 for INT keys.
+The running total has two levels: ranges within a block, and blocks. Only the blocks meet
+in one task, one row per RANGE_WIDTH * RANGES_PER_BLOCK of key span: 43 for INT keys, and
+100,000 for a BIGINT span of ten trillion.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANGE_WIDTH = 100_000
+RANGES_PER_BLOCK = 1_000
 
 
 def running_start(group: list[str], order: str, count: str) -> Column:
@@ -29,18 +31,32 @@ def range_of(key: str, width: int) -> Column:
     return F.call_function("div", F.col(key), F.lit(width))
 
 
+def _range_starts(ranges: DataFrame) -> DataFrame:
+    """Rows before each range, over all of them."""
+    blocked = ranges.withColumn("_block", range_of("_range", RANGES_PER_BLOCK))
+    blocks = blocked.groupBy("_block").agg(F.sum("_rows").alias("_block_rows"))
+    block_starts = blocks.select(
+        "_block", running_start([], "_block", "_block_rows").alias("_before")
+    )
+    in_block = running_start(["_block"], "_range", "_rows")
+    return (
+        blocked.select("_block", "_range", in_block.alias("_in_block"))
+        .join(block_starts, "_block")
+        .select("_range", (F.col("_before") + F.col("_in_block")).alias("_start"))
+    )
+
+
 def assign_keys(
     rows: DataFrame, key: str, name: str, first: Column | int = 1, width: int = RANGE_WIDTH
 ) -> DataFrame:
     """Add `name`: first, first + 1, ... in order of the unique integer column `key`."""
     ranged = rows.withColumn("_range", range_of(key, width))
     ranges = ranged.groupBy("_range").agg(F.count("*").alias("_rows"))
-    starts = ranges.select("_range", running_start([], "_range", "_rows").alias("_start"))
     within = F.row_number().over(Window.partitionBy("_range").orderBy(key))
     base = first if isinstance(first, Column) else F.lit(first)
     number = (base - 1 + F.col("_start") + within).cast("bigint")
     return (
-        ranged.join(starts, "_range")
+        ranged.join(_range_starts(ranges), "_range")
         .withColumn(name, number)
         .drop("_range", "_start")
     )

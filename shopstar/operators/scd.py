@@ -1,13 +1,19 @@
 """Dimension maintenance: in-place (type 1) and versioned (type 2) upserts.
 
 Spark tables on Parquet have no MERGE, so each upsert is a function from the stored
-snapshot and the cleaned source to the next snapshot. Closed versions never take part
-in a join; they are unioned back unchanged, so the cost follows the live rows. Keys
-are unique on both sides of every join here, so no join key can be hot.
+snapshot and the cleaned source to the next snapshot. Live rows and source meet in one
+full outer join on the business key; closed versions never take part in it and are
+unioned back unchanged, so the cost follows the live rows. Keys are unique on both sides,
+so no join key can be hot.
+
+The joined rows feed three readers: the rows that stay, the rows that are added, and the
+count of the added ones that their surrogate keys need. `stage` may store them once (see
+`shopstar.sources.scratch.stored`), which spares two more joins.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -166,6 +172,13 @@ DIMENSIONS = {
 }
 
 
+Stage = Callable[[DataFrame], DataFrame]
+
+
+def _unstaged(rows: DataFrame) -> DataFrame:
+    return rows
+
+
 def empty(spark: SparkSession, dim: Dimension) -> DataFrame:
     """The snapshot before the first load; the optimizer sees that it has no rows."""
     columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in dim.schema]
@@ -176,16 +189,61 @@ def _conform(rows: DataFrame, dim: Dimension) -> DataFrame:
     return rows.select(*[F.col(f.name).cast(f.dataType) for f in dim.schema])
 
 
-def _prefixed(rows: DataFrame, columns: list[str], prefix: str, key: str) -> DataFrame:
-    """Renamed copy with a presence flag, so that a miss differs from a NULL attribute."""
-    renamed = [F.col(c).alias(prefix + c) for c in columns]
-    return rows.select(F.col(key).alias(f"{prefix}key"), *renamed, F.lit(1).alias(f"{prefix}hit"))
+def _incoming(source: DataFrame, dim: Dimension, columns: list[str]) -> DataFrame:
+    """Source columns under a prefix, with a flag that tells a miss from a NULL."""
+    renamed = [F.col(c).alias("s_" + c) for c in columns]
+    return source.select(F.col(dim.key).alias("s_key"), *renamed, F.lit(True).alias("s_hit"))
 
 
 def current_versions(snapshot: DataFrame) -> DataFrame:
     return snapshot.filter("is_current")
 
 
+def _changes(
+    live: DataFrame, source: DataFrame, dim: Dimension, missing: str, collation: str | None
+) -> DataFrame:
+    """Live rows and source side by side with what is to happen, one row per key.
+
+    The source side is kept only where it is needed; elsewhere it is NULL and costs
+    nothing to store.
+    """
+    copied = [*dim.attribute_names, *_STAMPS]
+    stored = live.withColumn("t_hit", F.lit(True))
+    new = lambda c: F.col("s_" + c)
+    change = (
+        F.when(F.col("t_hit").isNull(), INSERT)
+        .when(F.col("s_hit").isNull(), missing)
+        .when(dim.any_differs(dim.versions, F.col, new, collation), NEW_VERSION)
+        .when(dim.any_differs(dim.overwrites, F.col, new, collation), OVERWRITE)
+        .otherwise(UNCHANGED)
+    )
+    matched = stored.join(
+        _incoming(source, dim, copied), F.col(dim.key) == F.col("s_key"), "full_outer"
+    ).withColumn("_change", change)
+    needed = F.col("_change").isin(INSERT, NEW_VERSION, OVERWRITE)
+    return matched.select(
+        *live.columns,
+        "_change",
+        F.coalesce("s_key", dim.key).alias("s_key"),
+        *[F.when(needed, new(c)).alias("s_" + c) for c in copied],
+    )
+
+
+def _stay(changes: DataFrame) -> DataFrame:
+    return changes.filter(F.col("_change") != INSERT)
+
+
+def _added(changes: DataFrame, dim: Dimension, kinds: list[str], first: Column, *extra) -> DataFrame:
+    """Source rows of the given kinds as new rows, keyed on from `first`."""
+    rows = changes.filter(F.col("_change").isin(*kinds)).select(
+        F.col("s_key").alias(dim.key),
+        *[F.col("s_" + c).alias(c) for c in (*dim.attribute_names, *_STAMPS)],
+        *extra,
+        F.lit(INSERT).alias("_change"),
+    )
+    return assign_keys(rows, dim.key, dim.skey, first)
+
+
 def scd1_apply(
     target: DataFrame,
     source: DataFrame,
@@ -194,35 +252,25 @@ def scd1_apply(
     as_of,
     collation: str | None = None,
     tag: bool = False,
+    stage: Stage = _unstaged,
 ) -> DataFrame:
     """Next snapshot of an in-place dimension; rows missing from the source stay.
 
     With `tag`, a `_change` column (INSERT, TYPE1_UPDATE or NO_CHANGE) is kept so that
     the writer can count changes while it writes.
     """
-    copied = [*dim.attribute_names, *_STAMPS]
-    incoming = _prefixed(source, copied, "s_", dim.key)
-    matched = target.join(incoming, F.col(dim.key) == F.col("s_key"), "left")
-    changed = F.col("s_hit").isNotNull() & dim.any_differs(
-        dim.overwrites, F.col, lambda c: F.col("s_" + c), collation
-    )
-    take = lambda name, new: F.when(changed, new).otherwise(F.col(name)).alias(name)
-    stored = matched.select(
+    changes = stage(_changes(target, source, dim, UNCHANGED, collation))
+    stamp = {"dwh_load_date": timestamp_lit(as_of), "dwh_batch_id": F.lit(batch_id)}
+    news = {c: F.col("s_" + c) for c in (*dim.attribute_names, *_STAMPS)} | stamp
+    overwritten = F.col("_change") == OVERWRITE
+    stored = _stay(changes).select(
         dim.skey,
         dim.key,
-        *[take(c, F.col("s_" + c)) for c in copied],
-        take("dwh_load_date", timestamp_lit(as_of)),
-        take("dwh_batch_id", F.lit(batch_id)),
-        F.when(changed, OVERWRITE).otherwise(UNCHANGED).alias("_change"),
+        *[F.when(overwritten, new).otherwise(F.col(c)).alias(c) for c, new in news.items()],
+        "_change",
     )
-    unseen = source.join(target.select(dim.key), dim.key, "left_anti").select(
-        dim.key,
-        *copied,
-        timestamp_lit(as_of).alias("dwh_load_date"),
-        F.lit(batch_id).alias("dwh_batch_id"),
-        F.lit(INSERT).alias("_change"),
-    )
-    added = assign_keys(unseen, dim.key, dim.skey, next_key(target, dim.skey))
+    extra = [value.alias(name) for name, value in stamp.items()]
+    added = _added(changes, dim, [INSERT], next_key(target, dim.skey), *extra)
     both = stored.unionByName(added)
     return both if tag else _conform(both, dim)
 
@@ -232,7 +280,11 @@ def scd2_classify(
 ) -> DataFrame:
     """The source with `change_type` against the current version; first rule that fits wins."""
     compared = [c.column for c in (*dim.versions, *dim.overwrites)]
-    live = _prefixed(current_versions(target), compared, "t_", dim.key)
+    live = current_versions(target).select(
+        F.col(dim.key).alias("t_key"),
+        *[F.col(c).alias("t_" + c) for c in compared],
+        F.lit(True).alias("t_hit"),
+    )
     old = lambda c: F.col("t_" + c)
     change = (
         F.when(F.col("t_hit").isNull(), INSERT)
@@ -243,8 +295,11 @@ def scd2_classify(
     return (
         source.join(live, F.col(dim.key) == F.col("t_key"), "left")
         .withColumn("change_type", change)
-        .select(*source.columns, *[old(c.column).alias(f"old_{c.column}") for c in dim.versions],
-                "change_type")
+        .select(
+            *source.columns,
+            *[old(c.column).alias(f"old_{c.column}") for c in dim.versions],
+            "change_type",
+        )
     )
 
 
@@ -253,36 +308,6 @@ def deleted_keys(target: DataFrame, source: DataFrame, dim: Dimension) -> DataFr
     return current_versions(target).join(source.select(dim.key), dim.key, "left_anti")
 
 
-def _live_rows(target, source, dim, batch_id, as_of, collation) -> DataFrame:
-    """Each current version after the batch: kept, overwritten in place, or closed."""
-    now = timestamp_lit(as_of)
-    incoming = _prefixed(source, [*dim.attribute_names, *_STAMPS], "s_", dim.key)
-    new = lambda c: F.col("s_" + c)
-    change = (
-        F.when(F.col("s_hit").isNull(), CLOSED)
-        .when(dim.any_differs(dim.versions, F.col, new, collation), NEW_VERSION)
-        .when(dim.any_differs(dim.overwrites, F.col, new, collation), OVERWRITE)
-        .otherwise(UNCHANGED)
-    )
-    overwritten = F.col("_change") == OVERWRITE
-    ended = F.col("_change").isin(CLOSED, NEW_VERSION)
-    replaced = {c: F.when(overwritten, new(c)).otherwise(F.col(c)) for c in dim.in_place}
-    replaced["source_updated_at"] = F.when(overwritten, new("source_updated_at")).otherwise(
-        F.col("source_updated_at")
-    )
-    replaced["dwh_load_date"] = F.when(overwritten, now).otherwise(F.col("dwh_load_date"))
-    replaced["dwh_batch_id"] = F.when(overwritten, F.lit(batch_id)).otherwise(F.col("dwh_batch_id"))
-    replaced["valid_to"] = F.when(ended, now).otherwise(F.col("valid_to"))
-    replaced["is_current"] = F.col("is_current") & ~ended
-    matched = (
-        current_versions(target)
-        .join(incoming, F.col(dim.key) == F.col("s_key"), "left")
-        .withColumn("_change", change)
-    )
-    columns = [replaced.get(f.name, F.col(f.name)).alias(f.name) for f in dim.schema]
-    return matched.select(*columns, "_change")
-
-
 def scd2_apply(
     target: DataFrame,
     source: DataFrame,
@@ -291,31 +316,38 @@ def scd2_apply(
     as_of,
     collation: str | None = None,
     tag: bool = False,
+    stage: Stage = _unstaged,
 ) -> DataFrame:
     """Next snapshot of a versioned dimension.
 
-    A key that was closed and comes back has no current version, so it is an insert.
-    With `tag`, `_change` says what happened to each row in this batch; the old half of
-    a new version is tagged SCD2_UPDATE and its new half INSERT.
+    A current version is kept, overwritten in place, or ended (a new version follows, or
+    the source dropped the key). A key that was closed and comes back has no current
+    version, so it is an insert. With `tag`, `_change` says what happened to each row;
+    the old half of a new version is tagged SCD2_UPDATE and its new half INSERT.
     """
     now = timestamp_lit(as_of)
-    live = _live_rows(target, source, dim, batch_id, as_of, collation)
-    opened = (
-        scd2_classify(target, source, dim, collation)
-        .filter(F.col("change_type").isin(INSERT, NEW_VERSION))
-        .select(
-            dim.key,
-            *dim.attribute_names,
-            now.alias("valid_from"),
-            F.lit(None).cast("timestamp_ntz").alias("valid_to"),
-            F.lit(True).alias("is_current"),
-            *_STAMPS,
-            now.alias("dwh_load_date"),
-            F.lit(batch_id).alias("dwh_batch_id"),
-            F.lit(INSERT).alias("_change"),
-        )
+    changes = stage(_changes(current_versions(target), source, dim, CLOSED, collation))
+    overwritten = F.col("_change") == OVERWRITE
+    ended = F.col("_change").isin(CLOSED, NEW_VERSION)
+    news = {c: F.col("s_" + c) for c in (*dim.in_place, "source_updated_at")}
+    news |= {"dwh_load_date": now, "dwh_batch_id": F.lit(batch_id)}
+    after = {c: F.when(overwritten, new).otherwise(F.col(c)) for c, new in news.items()}
+    after["valid_to"] = F.when(ended, now).otherwise(F.col("valid_to"))
+    after["is_current"] = ~ended
+    live = _stay(changes).select(
+        *[after.get(f.name, F.col(f.name)).alias(f.name) for f in dim.schema], "_change"
+    )
+    opened = _added(
+        changes,
+        dim,
+        [INSERT, NEW_VERSION],
+        next_key(target, dim.skey),
+        now.alias("valid_from"),
+        F.lit(None).cast("timestamp_ntz").alias("valid_to"),
+        F.lit(True).alias("is_current"),
+        now.alias("dwh_load_date"),
+        F.lit(batch_id).alias("dwh_batch_id"),
     )
-    opened = assign_keys(opened, dim.key, dim.skey, next_key(target, dim.skey))
     history = target.filter("not is_current").withColumn("_change", F.lit(UNCHANGED))
     snapshot = history.unionByName(live).unionByName(opened)
     return snapshot if tag else _conform(snapshot, dim)

@@ -19,6 +19,7 @@ from shopstar.plans import dimensions, facts, marts
 from shopstar.schemas import SOURCES, SourceTable
 from shopstar.session import tune
 from shopstar.sources.files import read_delimited
+from shopstar.sources.scratch import stored
 from shopstar.sources.snapshots import Lake, Layer, now
 
 # Tolerated malformed lines per file, load orders, status words and the
@@ -167,14 +168,14 @@ def _load_dimension(
     if target is None:
         target = scd.empty(lake.spark, dim)
     if dim.versioned:
-        rows = scd.scd2_apply(target, cleaned, dim, batch_id, as_of, collation, tag=True)
+        rows = scd.scd2_apply(target, cleaned, dim, batch_id, as_of, collation, True, stored)
         counts = {
             "rows_inserted": _changed(scd.INSERT),
             "rows_updated": _changed(scd.NEW_VERSION),
             "rows_deleted": _changed(scd.CLOSED),
         }
     else:
-        rows = scd.scd1_apply(target, cleaned, dim, batch_id, as_of, collation, tag=True)
+        rows = scd.scd1_apply(target, cleaned, dim, batch_id, as_of, collation, True, stored)
         counts = {"rows_inserted": _changed(scd.INSERT, scd.OVERWRITE)}
     location, counted = lake.write("silver", name, rows, counts)
     kind = "Type 2" if dim.versioned else "Type 1"

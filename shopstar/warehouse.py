@@ -69,9 +69,11 @@ class Warehouse:
         apply = scd.scd2_apply if dim.versioned else scd.scd1_apply
         table = scd.empty(self.spark, dim)
         for batch, (batch_id, moment) in enumerate(LOADS[:batches], start=1):
+            source = self.cleaned(name, batch)
             if batch > 1:
-                table = stored(table)
-            table = apply(table, self.cleaned(name, batch), dim, batch_id, moment)
+                table = apply(stored(table), source, dim, batch_id, moment, stage=stored)
+            else:
+                table = apply(table, source, dim, batch_id, moment)
         return table
 
     @cached_property
