@@ -31,7 +31,9 @@ def table_violations(rows: DataFrame, table: SourceTable) -> DataFrame:
         *[F.count(F.when(F.col(c).isNull(), 1)).alias(n) for c, n in nulls.items()],
     )
     surplus = F.when(F.col(table.key).isNotNull(), F.col("n") - 1)
-    totals = per_key.agg(F.sum(surplus).alias("surplus"), *[F.sum(n).alias(n) for n in nulls.values()])
+    totals = per_key.agg(
+        F.sum(surplus).alias("surplus"), *[F.sum(n).alias(n) for n in nulls.values()]
+    )
     found = [
         F.struct(
             F.lit(column).alias("column_name"),

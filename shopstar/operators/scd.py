@@ -233,7 +233,9 @@ def _stay(changes: DataFrame) -> DataFrame:
     return changes.filter(F.col("_change") != INSERT)
 
 
-def _added(changes: DataFrame, dim: Dimension, kinds: list[str], first: Column, *extra) -> DataFrame:
+def _added(
+    changes: DataFrame, dim: Dimension, kinds: list[str], first: Column, *extra: Column
+) -> DataFrame:
     """Source rows of the given kinds as new rows, keyed on from `first`."""
     rows = changes.filter(F.col("_change").isin(*kinds)).select(
         F.col("s_key").alias(dim.key),

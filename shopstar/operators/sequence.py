@@ -9,17 +9,22 @@ from shopstar.operators.keys import RANGE_WIDTH, range_of, running_start
 
 # A group above HOT_ROWS rows is cut into slots; below it one task sorts it easily.
 HOT_ROWS = 1_000_000
-# At most this many groups are cut. A group outside the HOT_GROUPS largest has less than
-# one part in HOT_GROUPS of all rows and is numbered by the plain window.
-HOT_GROUPS = 1_000
+# At most this many groups are cut, which keeps their list at a few megabytes. A group
+# that is not among them has less than one part in HOT_GROUPS of all rows, and the plain
+# window numbers it.
+HOT_GROUPS = 100_000
 
 
 def hot_groups(
     rows: DataFrame, group: str, over: int = HOT_ROWS, at_most: int = HOT_GROUPS
 ) -> DataFrame:
-    """The largest groups with their sizes: never more than `at_most` rows."""
+    """The largest groups with their sizes: never more than `at_most` rows.
+
+    Ties are settled by the group, so that every evaluation picks the same ones.
+    """
     sizes = rows.groupBy(group).agg(F.count("*").alias("_group_rows"))
-    return sizes.filter(F.col("_group_rows") > over).orderBy(F.desc("_group_rows")).limit(at_most)
+    large = sizes.filter(F.col("_group_rows") > over)
+    return large.orderBy(F.desc("_group_rows"), group).limit(at_most)
 
 
 def number_in_group(

@@ -6,7 +6,7 @@ layer records what happened and which snapshot is valid.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -79,14 +79,15 @@ def load_bronze(
     batch_id: str | None = None,
     as_of: datetime | None = None,
     max_errors: int = MAX_ERRORS,
+    tables: Collection[str] = BRONZE_ORDER,
 ) -> DataFrame:
-    """Load `<source>/<table>.csv` for every raw table; returns the log of the batch.
+    """Load `<source>/<table>.csv` for the raw tables; returns the log of the batch.
 
     Up to `max_errors` malformed lines per file are set aside under `bronze/rejected`.
     """
     lake = Lake(tune(spark), root)
     batch_id = batch_id or f"BATCH_{now():%Y%m%d_%H%M%S}"
-    for name in BRONZE_ORDER:
+    for name in tables:
         started = now()
         try:
             text = read_delimited(spark, f"{source}/{name}.csv", SOURCES[name])
@@ -201,8 +202,9 @@ def load_silver(
     as_of: datetime | None = None,
     allow_empty_source: bool = False,
     collation: str | None = None,
+    tables: Collection[str] = (*SILVER_DIMENSIONS, *SILVER_FACTS),
 ) -> DataFrame:
-    """Clean every raw table into silver; returns the summary of the batch.
+    """Clean the raw tables into silver; returns the summary of the batch.
 
     A table whose last raw load failed is skipped, and so is a versioned dimension whose
     source has no rows, since that would close every version; `allow_empty_source` lets
@@ -214,7 +216,7 @@ def load_silver(
     batch_id = silver_batch_id or f"SILVER_{now():%Y%m%d_%H%M%S}"
     source_batch_id = source_batch_id or quality.latest_success(lake.log("bronze")).first()[0]
     bronze, silver = lake.layer("bronze"), lake.layer("silver")
-    for name in (*SILVER_DIMENSIONS, *SILVER_FACTS):
+    for name in tables:
         started = now()
         try:
             if bronze.status(name) != SUCCESS:

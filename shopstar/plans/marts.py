@@ -21,7 +21,9 @@ def session_attributes(web: DataFrame, *columns: str) -> DataFrame:
     return web.select("session_key", *columns).distinct()
 
 
-def sales_summary(fact_sales: DataFrame, dim_date: DataFrame, dim_customers: DataFrame) -> DataFrame:
+def sales_summary(
+    fact_sales: DataFrame, dim_date: DataFrame, dim_customers: DataFrame
+) -> DataFrame:
     """Monthly sales. Sales outside the calendar are dropped; unknown customers count."""
     month = ["year", "month", "month_name"]
     sums = {

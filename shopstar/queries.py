@@ -68,11 +68,13 @@ def _customer_lines(w: Warehouse) -> DataFrame:
     """The raw customers as lines of a delimited file, some of them broken."""
     raw = w.raw.raw("customers")
     key = F.col("customer_id")
-    spelling = F.when(key % 2 == 0, "yyyy-MM-dd'T'HH:mm:ss").otherwise("yyyy-MM-dd HH:mm:ss")
     iso, spaced = "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss"
-    moment = lambda c: F.when(
-        key % 2 == 0, F.date_format(c, iso)
-    ).otherwise(F.date_format(c, spaced))
+
+    def moment(column: str) -> Column:
+        return F.when(key % 2 == 0, F.date_format(column, iso)).otherwise(
+            F.date_format(column, spaced)
+        )
+
     cells = [
         key.cast("string"),
         F.when(key % 10 == 3, F.concat(F.lit('"'), "first_name", F.lit('"'))).otherwise(
@@ -121,7 +123,11 @@ def _load_log(w: Warehouse) -> DataFrame:
     """One log row per raw table: loads start a minute apart."""
     logs = [
         quality.load_metrics(
-            rows, SOURCES[name], BATCH, f"2025-01-01T00:{i:02d}:00", f"2025-01-01T00:{i:02d}:{i * 5:02d}"
+            rows,
+            SOURCES[name],
+            BATCH,
+            started=f"2025-01-01T00:{i:02d}:00",
+            ended=f"2025-01-01T00:{i:02d}:{i * 5:02d}",
         )
         for i, (name, rows) in enumerate(w.raw.all().items())
     ]
@@ -325,7 +331,9 @@ def fn_sentence_case(w: Warehouse) -> DataFrame:
 def fn_date_keys(w: Warehouse) -> DataFrame:
     seen = F.col("created_at")
     return w.raw.raw("pageviews").select(
-        "website_pageview_id", fn.date_key(seen).alias("date_key"), fn.time_key(seen).alias("time_key")
+        "website_pageview_id",
+        fn.date_key(seen).alias("date_key"),
+        fn.time_key(seen).alias("time_key"),
     )
 
 

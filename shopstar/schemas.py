@@ -57,9 +57,9 @@ _SOURCES = (
     SourceTable(
         "customers",
         "customer_id",
-        "customer_id INT NOT NULL, first_name VARCHAR(100) NOT NULL, last_name VARCHAR(100) NOT NULL, "
-        "email VARCHAR(255) NOT NULL, date_of_birth DATE, gender VARCHAR(20), join_date DATE NOT NULL, "
-        "address_id INT, " + STAMPS,
+        "customer_id INT NOT NULL, first_name VARCHAR(100) NOT NULL, "
+        "last_name VARCHAR(100) NOT NULL, email VARCHAR(255) NOT NULL, date_of_birth DATE, "
+        "gender VARCHAR(20), join_date DATE NOT NULL, address_id INT, " + STAMPS,
     ),
     SourceTable(
         "addresses",
@@ -67,7 +67,9 @@ _SOURCES = (
         "address_id INT NOT NULL, country VARCHAR(100) NOT NULL, city VARCHAR(100) NOT NULL, "
         "street VARCHAR(255) NOT NULL, postal_code VARCHAR(20) NOT NULL, " + STAMPS,
     ),
-    SourceTable("brands", "brand_id", "brand_id INT NOT NULL, name VARCHAR(255) NOT NULL, " + STAMPS),
+    SourceTable(
+        "brands", "brand_id", "brand_id INT NOT NULL, name VARCHAR(255) NOT NULL, " + STAMPS
+    ),
     SourceTable(
         "categories",
         "category_id",
@@ -76,8 +78,8 @@ _SOURCES = (
     SourceTable(
         "products",
         "product_id",
-        "product_id INT NOT NULL, name VARCHAR(255) NOT NULL, description VARCHAR(1000), category_id INT, "
-        "brand_id INT, list_price DECIMAL(18,2), " + STAMPS,
+        "product_id INT NOT NULL, name VARCHAR(255) NOT NULL, description VARCHAR(1000), "
+        "category_id INT, brand_id INT, list_price DECIMAL(18,2), " + STAMPS,
     ),
     SourceTable(
         "payment_methods",

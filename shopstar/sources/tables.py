@@ -117,7 +117,7 @@ class ShopTables:
         street = (
             F.when(_every(6, "c_custkey", 0), F.concat(F.lit("ul.  POLNA "), number))
             .when(_every(6, "c_custkey", 1), F.concat(F.lit(" lipowa "), number))
-            .when(_every(6, "c_custkey", 2), F.concat(F.lit("ul. ul. Dobra "), number))
+            .when(_every(6, "c_custkey", 2), F.concat(F.lit("ul. ul. Krzywa "), number))
             .when(_every(6, "c_custkey", 3), F.lit("  "))
             .when(_every(6, "c_custkey", 4), None)
             .otherwise(F.concat(F.lit("ul.Żytnia "), number, F.lit(" ")))

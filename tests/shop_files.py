@@ -8,14 +8,14 @@ T = "2024-01-01T08:00:00"
 
 CUSTOMERS = """\
 customer_id,first_name,last_name,email,date_of_birth,gender,join_date,address_id,created_at,updated_at,,
-1,anna,kowalska,Anna@Mail.pl ,1985-03-15,Kobieta,2023-01-20,1,2023-01-20 10:30:00,2023-01-20 10:30:00,,
-2, JAN,nowak ,jan@mail.pl,2090-07-22,M,2023-01-22,2,2023-01-22T14:20:00,2023-01-22T14:20:00,,
-3,  ,"Zych,ZYCH@mail.pl,,k,2023-01-25,,2023-01-25T09:15:00,2023-01-25T09:15:00,,
+1,irena,malina,Irena@Mail.pl ,1979-11-02,Kobieta,2022-05-04,1,2022-05-04 07:15:30,2022-05-04 07:15:30,,
+2, OLEK,dab ,olek@mail.pl,2090-07-22,M,2022-06-01,2,2022-06-01T12:00:00,2022-06-01T12:00:00,,
+3,  ,"Wrona,WRONA@mail.pl,,k,2022-07-01,,2022-07-01T06:00:00,2022-07-01T06:00:00,,
 """
 ADDRESSES = f"""\
 address_id,country,city,street,postal_code,created_at,updated_at,,
-1, Polska,wroclaw ,ul.  Monte Cassino 23,00 - 001,{T},{T},,
-2,Polska,KRAKOW,Dluga 5,31-019,{T},{T},,
+1, Polska,olsztyn ,ul.  Krzywe Kolo 7,10 - 001,{T},{T},,
+2,Polska,RADOM,Cicha 5,26-600,{T},{T},,
 """
 BRANDS = f"brand_id,name,created_at,updated_at,,\n1, Alfa ,{T},{T},,\n2,Beta,{T},{T},,\n"
 CATEGORIES = (

@@ -30,11 +30,11 @@ def test_blank_is_null_or_blanks_but_not_a_tab(spark):
 @pytest.mark.parametrize(
     "raw, clean",
     [
-        ("ul.  Monte Cassino 23", "ul. Monte cassino 23"),
-        (" ul. Dobra 56", "ul. Dobra 56"),
-        ("Piekary 19 ", "ul. Piekary 19"),
-        ("ul. ul. DŁUGA", "ul. Długa"),
-        ("UL. Dluga", "ul. Ul. dluga"),
+        ("ul.  Krzywe Kolo 7", "ul. Krzywe kolo 7"),
+        (" ul. Jasna 12", "ul. Jasna 12"),
+        ("Cicha 5 ", "ul. Cicha 5"),
+        ("ul. ul. ŁĄKOWA", "ul. Łąkowa"),
+        ("UL. Nowa", "ul. Ul. nowa"),
         ("ul.", "ul."),
         ("   ", "N/A"),
         (None, "N/A"),
