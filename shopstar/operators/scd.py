@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,14 +80,14 @@ class Dimension:
     def versioned(self) -> bool:
         return bool(self.versions)
 
-    @property
+    @cached_property
     def schema(self) -> StructType:
         history = _VERSION_DDL if self.versioned else ""
         return StructType.fromDDL(
             f"{self.skey} BIGINT, {self.key} BIGINT, {self.attributes}, {history}{_STAMP_DDL}"
         )
 
-    @property
+    @cached_property
     def attribute_names(self) -> list[str]:
         return StructType.fromDDL(self.attributes).fieldNames()
 

@@ -7,6 +7,7 @@ wider or textual keys, since none of them depends on the key type.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql.types import StringType, StructField, StructType, VarcharType
 
@@ -22,12 +23,12 @@ class SourceTable:
     key: str
     ddl: str
 
-    @property
+    @cached_property
     def declared(self) -> StructType:
         """The layout with text lengths; parsed by the running Spark session."""
         return StructType.fromDDL(self.ddl)
 
-    @property
+    @cached_property
     def schema(self) -> StructType:
         return StructType(
             [
@@ -38,7 +39,7 @@ class SourceTable:
             ]
         )
 
-    @property
+    @cached_property
     def lengths(self) -> dict[str, int]:
         """Longest text that each text column takes."""
         return {
@@ -47,7 +48,7 @@ class SourceTable:
             if isinstance(f.dataType, VarcharType)
         }
 
-    @property
+    @cached_property
     def required(self) -> list[str]:
         return [f.name for f in self.schema if not f.nullable]
 
