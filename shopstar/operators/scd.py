@@ -23,6 +23,7 @@ from pyspark.sql.types import StructType
 
 from shopstar.functions import timestamp_lit
 from shopstar.operators.keys import assign_keys, next_key
+from shopstar.session import one_row
 
 INSERT, NEW_VERSION, OVERWRITE, UNCHANGED, CLOSED = (
     "INSERT",
@@ -183,7 +184,7 @@ def _unstaged(rows: DataFrame) -> DataFrame:
 def empty(spark: SparkSession, dim: Dimension) -> DataFrame:
     """The snapshot before the first load; the optimizer sees that it has no rows."""
     columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in dim.schema]
-    return spark.range(1).select(*columns).filter(F.lit(False))
+    return one_row(spark).select(*columns).filter(F.lit(False))
 
 
 def _conform(rows: DataFrame, dim: Dimension) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shopstar.functions import age, age_band, date_key, time_key, timestamp_lit, us_week
 from shopstar.operators.keys import assign_keys
+from shopstar.session import one_row
 
 UNKNOWN_KEY = -1
 # Default calendar range, part-of-day labels with their last hour, and
@@ -39,7 +40,7 @@ def calendar_days(bounds: DataFrame) -> DataFrame:
 def dim_date(
     spark: SparkSession, start: date = CALENDAR_START, end: date = CALENDAR_END
 ) -> DataFrame:
-    bounds = spark.range(1).select(
+    bounds = one_row(spark).select(
         F.lit(start.isoformat()).cast("date").alias("first_day"),
         F.lit(end.isoformat()).cast("date").alias("last_day"),
     )
@@ -69,7 +70,7 @@ def dim_time(spark: SparkSession) -> DataFrame:
     part = F
     for last_hour, label in DAY_PARTS:
         part = part.when(hour <= last_hour, label)
-    minutes = spark.range(24 * 60).select(
+    minutes = spark.range(0, 24 * 60, 1, 1).select(
         F.floor(F.col("id") / 60).cast("int").alias("hour_24"),
         (F.col("id") % 60).cast("int").alias("minute"),
     )
@@ -85,7 +86,7 @@ def dim_time(spark: SparkSession) -> DataFrame:
 def _unknown_member(spark: SparkSession, like: DataFrame, **values) -> DataFrame:
     """One row shaped like the dimension, NULL where no value is given."""
     columns = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in like.schema]
-    return spark.range(1).select(*columns)
+    return one_row(spark).select(*columns)
 
 
 def _key_lookup(current: DataFrame, business_key: str, key: str) -> DataFrame:

@@ -262,8 +262,8 @@ def _gold_builders(
     loaded = lambda rows: rows.withColumn("dwh_load_date", timestamp_lit(as_of))
     numbered = lambda rows, key: loaded(rows).withColumn(key, _identity())
     return {
-        "dim_date": lambda: dimensions.dim_date(spark, *calendar).coalesce(1),
-        "dim_time": lambda: dimensions.dim_time(spark).coalesce(1),
+        "dim_date": lambda: dimensions.dim_date(spark, *calendar),
+        "dim_time": lambda: dimensions.dim_time(spark),
         "dim_customers": lambda: loaded(
             dimensions.dim_customers(silver["customers"], silver["addresses"], as_of)
         ),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution is what splits hot join keys: a shuffle partition far above the
 # median is cut by map output, so one key holding a third of the fact rows is joined by
@@ -40,6 +40,11 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     return partitions
 
 
+def one_row(spark: SparkSession) -> DataFrame:
+    """A single row in a single task, to hang literals on."""
+    return spark.range(0, 1, 1, 1)
+
+
 def local_session(app: str, cpus: int | str = 8, partitions: int | None = None) -> SparkSession:
     """Local session for tests and the benchmark."""
     builder = (

@@ -20,6 +20,7 @@ from pyspark.sql.types import StructField, StructType
 from shopstar.functions import timestamp_lit
 from shopstar.operators.quality import SUCCESS
 from shopstar.schemas import LOGS
+from shopstar.session import one_row
 
 
 def now() -> datetime:
@@ -75,7 +76,7 @@ class Lake:
         """Append rows in one file, so they become valid together."""
         fields = StructType.fromDDL(LOGS[layer]).fields
         rows = [
-            self.spark.range(1).select(*[self._value(record.get(f.name), f) for f in fields])
+            one_row(self.spark).select(*[self._value(record.get(f.name), f) for f in fields])
             for record in records
         ]
         entries = reduce(DataFrame.unionByName, rows).coalesce(1)
