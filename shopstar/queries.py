@@ -14,7 +14,6 @@ from pyspark.sql.types import (
     FloatType,
     IntegralType,
     TimestampNTZType,
-    TimestampType,
 )
 
 from shopstar import functions as fn
@@ -39,9 +38,12 @@ def _plain(name: str, kind) -> Column:
     if isinstance(kind, (DecimalType, FloatType)):
         return value.cast("double")
     if isinstance(kind, DateType):
-        return F.date_format(value, "yyyy-MM-dd")
-    if isinstance(kind, (TimestampType, TimestampNTZType)):
-        return F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        return value.cast("string")
+    if isinstance(kind, TimestampNTZType):
+        # Not date_format: it would go by way of the session time zone.
+        text = value.cast("string")
+        whole = F.length(text) == len("yyyy-MM-dd HH:mm:ss")
+        return F.rpad(F.when(whole, F.concat(text, F.lit("."))).otherwise(text), 26, "0")
     return value
 
 

@@ -11,7 +11,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("shopstar-tests", cpus=8)
+    session = local_session("shopstar-tests", cpus=8, partitions=4)
     yield session
     session.stop()
 

@@ -6,6 +6,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from shopstar.operators import cleaning
 from shopstar.schemas import SOURCES
@@ -15,10 +16,9 @@ NOW = datetime(2024, 6, 1, 12)
 
 def raw(spark, table, *rows):
     """Rows given as dictionaries, every other column NULL."""
-    schema = SOURCES[table].schema
-    for field in schema.fields:
-        field.nullable = True
-    return spark.createDataFrame([tuple(r.get(n) for n in schema.fieldNames()) for r in rows], schema)
+    schema = StructType([StructField(f.name, f.dataType) for f in SOURCES[table].schema])
+    data = [tuple(r.get(name) for name in schema.fieldNames()) for r in rows]
+    return spark.createDataFrame(data, schema)
 
 
 def test_customers(spark):

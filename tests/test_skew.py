@@ -56,6 +56,7 @@ def test_hot_keys_do_not_change_results(spark, hot_dir, key):
 def small_thresholds(spark):
     """Scale limits brought down to the size of a test."""
     settings = {
+        "spark.sql.shuffle.partitions": "32",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
