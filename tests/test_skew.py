@@ -6,9 +6,11 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from shopstar.plans import facts
 from shopstar.queries import QUERIES
+from shopstar.session import tune
 from tests.compare import both, connect
 
 SMALL = "/root/testdata/sf0.001"
@@ -99,3 +101,22 @@ def test_adaptive_execution_splits_a_hot_lookup(spark, small_thresholds):
     of_five = sum(i % 3 == 0 or (i % 3 == 2 and i % 997 == 5) for i in range(60_000))
     assert sessions.filter("customer_key = 6").count() == of_five
     assert sessions.filter("customer_key = -1").count() == 20_000
+
+
+def test_a_hot_group_is_split_even_where_its_rows_would_stay_in_place(spark, small_thresholds):
+    """Waiting time counts join and group by the same key; the hot customer is still cut."""
+    visits = spark.range(0, 60_000, 1, 8).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 5 ELSE id % 997 END AS customer_key", "id AS moment"
+    )
+    first = spark.range(0, 1000, 1, 4).selectExpr("id AS customer_key", "id + 30000 AS first_sale")
+    waited = (
+        visits.join(first, "customer_key")
+        .filter("moment <= first_sale")
+        .groupBy("customer_key")
+        .agg(F.count("*").alias("n"))
+    )
+    tune(spark)
+    plan = _final_plan(waited)
+    assert "skew=true" in plan
+    expected = sum(i % 3 == 0 or i % 997 == 5 for i in range(30_006))
+    assert waited.filter("customer_key = 5").first().n == expected
