@@ -243,13 +243,13 @@ class ShopTables:
         """
         parts = [
             *[F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
-            F.col("l_quantity").cast("int"),
-            money(F.col("l_extendedprice")),
-            F.col("l_discount").cast("decimal(4,2)"),
-            F.col("l_tax").cast("decimal(4,2)"),
+            *[
+                F.rint(F.col(c) * 100).cast("bigint")
+                for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+            ],
             F.col("l_returnflag"),
             F.col("l_linestatus"),
-            F.col("l_shipdate").cast("date"),
+            F.unix_date(F.col("l_shipdate").cast("date")),
         ]
         text = [F.coalesce(p.cast("string"), F.lit("")) for p in parts]
         return self.given("lineitem").withColumn("line_id", F.md5(F.concat_ws("|", *text)))
