@@ -5,13 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shopstar.llm import pieces
+from shopstar.llm import maxscore, pieces, vptree, warc
+from shopstar.llm.ship import ship
 
+# Recall against brute force is measured in tests/llm/test_vptree.py.
+RELAX = 1.5
 MODEL = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -21,11 +26,27 @@ def model_path() -> str:
     return public_tokenizers.path(MODEL)
 
 
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    manifest = warc.write_archives(_table(spark, folder, "pages"), warc.archive_folder(spark))
+    return warc.read_archives(manifest).drop("payload")
+
+
+def op5_maxscore(spark: SparkSession, folder: str) -> DataFrame:
+    return maxscore.search(_table(spark, folder, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
 def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digests(_table(spark, folder, "documents"), model_path())
 
 
+def op10_vptree(spark: SparkSession, folder: str) -> DataFrame:
+    return vptree.search(_table(spark, folder, "embeddings"), F.col("id") % 50 == 0, k=5, relax=RELAX)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_warc": op4_warc,
+    "op5_maxscore": op5_maxscore,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_vptree": op10_vptree,
 }
 ORACLE: dict[str, str] = {}
