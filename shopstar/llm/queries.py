@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstar.llm import maxscore, pieces, vptree, warc
+from shopstar.llm import langid, maxscore, pieces, toxicity, vptree, warc
 from shopstar.llm.ship import ship
 
+TOXIC = 0.7
 # Recall against brute force is measured in tests/llm/test_vptree.py.
 RELAX = 1.5
 MODEL = "piece_bpe_32k.model"
@@ -26,6 +27,22 @@ def model_path() -> str:
     return public_tokenizers.path(MODEL)
 
 
+def op2_langid(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = langid.fit(docs, langid.fold(4) != 2)
+    found = langid.predict(docs, model)
+    return found.withColumn("held_out", F.coalesce(langid.fold(4) == 2, F.lit(False)))
+
+
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = toxicity.fit(docs, _table(spark, folder, "labels"), langid.fold(3) != 1)
+    found = toxicity.predict(docs, model)
+    held_out = F.coalesce(langid.fold(3) == 1, F.lit(False))
+    predicted = (F.col("score") >= TOXIC).cast("int")
+    return found.withColumns({"held_out": held_out, "predicted": predicted})
+
+
 def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     manifest = warc.write_archives(_table(spark, folder, "pages"), warc.archive_folder(spark))
     return warc.read_archives(manifest).drop("payload")
@@ -44,6 +61,8 @@ def op10_vptree(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_langid": op2_langid,
+    "op3_toxicity": op3_toxicity,
     "op4_warc": op4_warc,
     "op5_maxscore": op5_maxscore,
     "op9_sentencepiece": op9_sentencepiece,

@@ -30,8 +30,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _EXACT = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
-_FOLDED = _EXACT.copy()
-_FOLDED[65:91] = _EXACT[97:123]
+FOLDED = _EXACT.copy()
+FOLDED[65:91] = _EXACT[97:123]
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
@@ -59,12 +59,15 @@ def spans_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 class Texts:
     """The words of a few consecutive texts."""
 
-    def __init__(self, data: np.ndarray, bounds: np.ndarray):
-        """data: bytes of the texts end to end; bounds: where each begins, and the end."""
+    def __init__(self, data: np.ndarray, bounds: np.ndarray, breaks: np.ndarray = _SPACES):
+        """data: bytes of the texts end to end; bounds: where each begins, and the end.
+
+        breaks: which of the 256 byte values part words.
+        """
         self.data = data
         self.bounds = bounds
         size = len(data)
-        word = ~_SPACES[data]
+        word = ~breaks[data]
         before, after = np.ones(size, bool), np.ones(size, bool)
         before[1:], after[:-1] = ~word[:-1], ~word[1:]
         before[bounds[:-1][bounds[:-1] < size]] = True
@@ -79,7 +82,7 @@ class Texts:
 
     def hashes(self, fold: bool = False) -> np.ndarray:
         """One hash for each word; with fold, A-Z count as a-z."""
-        return spans_hash((_FOLDED if fold else _EXACT)[self.data], self.starts, self.ends)
+        return spans_hash((FOLDED if fold else _EXACT)[self.data], self.starts, self.ends)
 
     def word(self, at: int) -> bytes:
         return self.data[self.starts[at] : self.ends[at]].tobytes()
@@ -96,7 +99,7 @@ def windows(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarra
     return spans_hash(hashes, at, at + size), begin
 
 
-def texts(column: pa.Array) -> Iterator[tuple[int, Texts]]:
+def texts(column: pa.Array, breaks: np.ndarray = _SPACES) -> Iterator[tuple[int, Texts]]:
     """The texts of a column in pieces of bounded size, each with its first row.
 
     A null is an empty text. A text above the size is a piece of its own.
@@ -108,5 +111,5 @@ def texts(column: pa.Array) -> Iterator[tuple[int, Texts]]:
     while row < len(whole):
         end = int(np.searchsorted(offsets, offsets[row] + PIECE_BYTES, side="right")) - 1
         end = min(max(end, row + 1), len(whole))
-        yield row, Texts(data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row])
+        yield row, Texts(data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row], breaks)
         row = end
