@@ -2,38 +2,62 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-@lru_cache(maxsize=1)
-def _single_machine_folder() -> str:
-    return tempfile.mkdtemp(prefix="shopstar-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the session names; a temporary one only on a single machine."""
-    context = spark.sparkContext
-    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getConf().get(CHECKPOINT_DIR)
-    if folder:
-        return folder.rstrip("/")
-    if not context.master.startswith("local"):
+    """The folder, reached by all executors, that the session names."""
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
+    if not folder:
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors reach")
-    return _single_machine_folder()
+    return folder.rstrip("/")
 
 
-def stored(rows: DataFrame) -> DataFrame:
-    """The same rows, written once to the shared folder and read back.
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in whichever store it lies; nothing if it is not there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
 
-    Cuts the lineage like a checkpoint, and unlike one lets later steps read single
-    columns and see the real size.
+class Scratch:
+    """Tables written under one folder, which leaving the `with` block removes.
+
+    A kept table cuts the lineage like a checkpoint, and unlike one lets later steps read
+    single columns and see the real size. Results that are read later must be written
+    elsewhere before the block ends.
     """
-    spark = rows.sparkSession
-    path = f"{shared_folder(spark)}/shopstar/{uuid.uuid4().hex}"
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession, folder: str | None = None):
+        self.spark = spark
+        self.path = f"{folder or shared_folder(spark)}/shopstar/{uuid.uuid4().hex}"
+        self._paths: dict[int, str] = {}
+
+    def keep(self, rows: DataFrame) -> DataFrame:
+        """The same rows, written once and read back."""
+        path = f"{self.path}/{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        kept = self.spark.read.schema(rows.schema).parquet(path)
+        self._paths[id(kept)] = path
+        return kept
+
+    def drop(self, kept: DataFrame) -> None:
+        """Remove a table that is not read any more."""
+        remove(self.spark, self._paths.pop(id(kept)))
+
+    def close(self) -> None:
+        remove(self.spark, self.path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.close()
+
+
+def stored(rows: DataFrame) -> DataFrame:
+    """The same rows, written to the shared folder and read back; the caller's to remove."""
+    return Scratch(rows.sparkSession).keep(rows)
