@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstar.llm import langid, maxscore, pieces, toxicity, vptree, warc
+from shopstar.llm import jaccard, langid, maxscore, pieces, toxicity, vptree, warc
 from shopstar.llm.ship import ship
 
 TOXIC = 0.7
@@ -52,6 +52,10 @@ def op5_maxscore(spark: SparkSession, folder: str) -> DataFrame:
     return maxscore.search(_table(spark, folder, "embeddings"), F.col("id") % 100 == 0, k=10)
 
 
+def op6_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digests(_table(spark, folder, "documents"), model_path())
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_warc": op4_warc,
     "op5_maxscore": op5_maxscore,
+    "op6_jaccard": op6_jaccard,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_vptree": op10_vptree,
 }
