@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstar.llm import jaccard, langid, maxscore, pieces, toxicity, vptree, warc
+from shopstar.llm import jaccard, langid, maxscore, pieces, substring, toxicity, vptree, warc
 from shopstar.llm.ship import ship
 
 TOXIC = 0.7
@@ -56,6 +56,10 @@ def op6_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op7_substring(spark: SparkSession, folder: str) -> DataFrame:
+    return substring.digests(_table(spark, folder, "documents"))
+
+
 def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digests(_table(spark, folder, "documents"), model_path())
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op5_maxscore": op5_maxscore,
     "op6_jaccard": op6_jaccard,
+    "op7_substring": op7_substring,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_vptree": op10_vptree,
 }
