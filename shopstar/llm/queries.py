@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstar.llm import jaccard, langid, maxscore, pieces, substring, toxicity, vptree, warc
+from shopstar.llm import jaccard, langid, maxscore, mixing, pieces, substring, toxicity, vptree, warc
 from shopstar.llm.ship import ship
 
 TOXIC = 0.7
@@ -27,6 +27,10 @@ def model_path() -> str:
     return public_tokenizers.path(MODEL)
 
 
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_table(spark, folder, "documents"))
+
+
 def op2_langid(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     model = langid.fit(docs, langid.fold(4) != 2)
@@ -69,6 +73,7 @@ def op10_vptree(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op2_langid": op2_langid,
     "op3_toxicity": op3_toxicity,
     "op4_warc": op4_warc,
