@@ -26,19 +26,18 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopstar.llm.links import components, picked
+from shopstar.llm.sums import totals
 from shopstar.llm.words import texts, windows
 from shopstar.sources.scratch import Scratch, stored
 
 SIZE = 5
 PERCENT = 75
 CELLS = 1 << 17
-BLOCKS = 32
 ROUND_GROWTH = 8
 
 
@@ -63,26 +62,17 @@ def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
 def _frequencies(docs: DataFrame, size: int) -> np.ndarray:
     """Per cell of element hashes, the logarithm of its count over all texts."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         sums = np.zeros(CELLS, np.int64)
         for batch in batches:
             held = [found & np.uint64(CELLS - 1) for found in shingle_sets(batch.column(0), size)]
             if held:
                 sums += np.bincount(np.concatenate(held).astype(np.int64), minlength=CELLS)
-        if sums.any():
-            blocks = [pa.py_buffer(x.tobytes()).to_pybytes() for x in np.split(sums, BLOCKS)]
-            yield pa.RecordBatch.from_pydict({"block": pa.array(range(BLOCKS), pa.int32()), "sums": pa.array(blocks, pa.binary())})
-
-    def add(key, group: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(x, np.int64) for x in group["sums"])
-        return pd.DataFrame({"block": [key[0]], "sums": [total.tobytes()]})
-
-    counted = docs.mapInArrow(count, "block int, sums binary")
-    rows = counted.groupBy("block").applyInPandas(add, "block int, sums binary").collect()
-    whole = np.zeros((BLOCKS, CELLS // BLOCKS), np.int64)
-    for row in rows:
-        whole[row["block"]] = np.frombuffer(row["sums"], np.int64)
-    return np.ceil(4 * np.log2(whole.reshape(-1) + 1)).astype(np.uint8)
+        return sums
+
+    whole = totals(docs, count)
+    whole = np.zeros(CELLS) if whole is None else whole
+    return np.ceil(4 * np.log2(whole + 1)).astype(np.uint8)
 
 
 def _prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstar.llm import jaccard, langid, maxscore, mixing, pieces, substring, toxicity, vptree, warc
+from shopstar.llm import jaccard, langid, lm, maxscore, mixing, pieces, substring, toxicity, vptree, warc
 from shopstar.llm.ship import ship
 
 TOXIC = 0.7
@@ -64,6 +64,11 @@ def op7_substring(spark: SparkSession, folder: str) -> DataFrame:
     return substring.digests(_table(spark, folder, "documents"))
 
 
+def op8_lm(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return lm.score(docs, lm.fit(docs))
+
+
 def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digests(_table(spark, folder, "documents"), model_path())
 
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_maxscore": op5_maxscore,
     "op6_jaccard": op6_jaccard,
     "op7_substring": op7_substring,
+    "op8_lm": op8_lm,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_vptree": op10_vptree,
 }
