@@ -1,14 +1,63 @@
-"""Corpus preparation: language, near copies, repeated passages, source mix, token ids."""
+"""Corpus preparation: language, near copies, repeated passages, source mix, token ids.
+
+Every stage reads what the stage before it wrote and returns the columns of documents; the
+last returns what a trainer stores of each text: the digests of its ids and their decoding.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES = []
+from shopstar.llm import jaccard, langid, mixing, pieces, substring
+from shopstar.llm.queries import model_path
+from shopstar.llm.ship import ship
+from shopstar.sources.scratch import Scratch, stored
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is identified; the others go."""
+    ship(spark)
+    return langid.accepted(docs, langid.fit(docs, langid.fold(4) != 2))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near copies the document with the smallest id."""
+    ship(spark)
+    return jaccard.distinct_documents(docs)
+
+
+def passages_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the passages of 35 words and more that occur elsewhere."""
+    ship(spark)
+    return substring.without_repeats(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them: not at all, once or twice."""
+    return mixing.mixed_documents(docs)
+
+
+def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, number and digest of the token ids, and digest of the decoded text."""
+    ship(spark)
+    return pieces.digests(docs, model_path())
+
+
+STAGES = [
+    ("language_id", known_language),
+    ("near_duplicates", one_of_each),
+    ("repeated_passages", passages_once),
+    ("source_mix", mixed),
+    ("sentencepiece", tokenised),
+]
+# Trained models and merges are not expressible in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table documents, each stored and read again for the next."""
+    """All stages over the table documents, each written as Parquet and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+    with Scratch(spark) as scratch:
+        for _, stage in STAGES[:-1]:
+            docs = scratch.keep(stage(spark, docs, sf_dir))
+        return stored(STAGES[-1][1](spark, docs, sf_dir))

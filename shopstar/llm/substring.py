@@ -313,9 +313,9 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
             yield pa.RecordBatch.from_arrays(arrays, batch.schema.names[:-1])
 
     with Scratch(docs.sparkSession) as scratch:
-        spans = repeated_spans(docs, scratch, key, text, length)
-        ids = scratch.keep(spans.select("__id").distinct())
-        rows = _marked(docs, key, text)
-        touched = picked(rows, "__id", ids).join(spans, ["__id", "__h"], "left").select(*docs.columns, F.col("spans").alias("__spans"))
-        rest = picked(rows, "__id", ids, without=True).select(*docs.columns)
-        return stored(touched.mapInArrow(run, shape).union(rest))
+        spans = stored(repeated_spans(docs, scratch, key, text, length))
+    ids = stored(spans.select("__id").distinct())
+    rows = _marked(docs, key, text)
+    touched = picked(rows, "__id", ids).join(spans, ["__id", "__h"], "left").select(*docs.columns, F.col("spans").alias("__spans"))
+    rest = picked(rows, "__id", ids, without=True).select(*docs.columns)
+    return touched.mapInArrow(run, shape).union(rest)
