@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 
 from shopstar.queries import QUERIES
@@ -49,7 +50,8 @@ def timed(spark, key: str, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS") or str(os.cpu_count())
-    spark = local_session("shopstar-bench", cpus=cpus)
+    scratch = tempfile.mkdtemp(prefix="shopstar-bench-")
+    spark = local_session("shopstar-bench", cpus=cpus, scratch=scratch)
     cold, warm = {}, {}
     for key in HEADLINE:
         cold[key] = round(timed(spark, key, folder), 3)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,8 +31,12 @@ def or_default(text: Column, default: str = MISSING) -> Column:
     return F.coalesce(text, F.lit(default))
 
 
-def street_line(street: Column) -> Column:
+def street_line(street: Column, ignore_case: bool = False) -> Column:
     """One leading street prefix, however many the raw text carries."""
-    bare = F.ltrim(F.replace(F.trim(street), F.lit(STREET_PREFIX), F.lit("")))
-    line = F.trim(F.concat(F.lit(STREET_PREFIX + " "), _capitalise(bare)))
+    prefix = F.lit(STREET_PREFIX)
+    if ignore_case:
+        without = F.regexp_replace(F.trim(street), F.lit("(?i)" + re.escape(STREET_PREFIX)), F.lit(""))
+    else:
+        without = F.replace(F.trim(street), prefix, F.lit(""))
+    line = F.trim(F.concat(prefix, F.lit(" "), _capitalise(F.ltrim(without))))
     return F.when(is_blank(street), F.lit(MISSING)).otherwise(line)

@@ -87,12 +87,12 @@ def clean_products(raw: DataFrame) -> DataFrame:
     )
 
 
-def clean_addresses(raw: DataFrame) -> DataFrame:
+def clean_addresses(raw: DataFrame, ignore_case: bool = False) -> DataFrame:
     return raw.select(
         "address_id",
         F.trim("country").alias("country"),
         sentence_case(F.col("city")).alias("city"),
-        street_line(F.col("street")).alias("street"),
+        street_line(F.col("street"), ignore_case).alias("street"),
         F.replace(F.trim("postal_code"), F.lit(" "), F.lit("")).alias("postal_code"),
         *_source_stamps(),
     )

@@ -6,9 +6,9 @@ every range its starting number, and the rows are numbered within their range. T
 numbers equal `row_number() over (order by key)`, and since a key is unique no range
 holds more rows than its width, however the keys are distributed.
 
-The running total has two levels: ranges within a block, and blocks. Only the blocks meet
-in one task, one row per RANGE_WIDTH * RANGES_PER_BLOCK of key span: 43 for INT keys, and
-100,000 for a BIGINT span of ten trillion.
+The running total has as many levels as the key type needs: ranges, blocks of them, blocks
+of those, until the whole span of the type has fewer than RANGES_PER_BLOCK blocks. That top
+level alone meets in one task: at most 43 rows for INT keys, 185 for BIGINT.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 RANGE_WIDTH = 100_000
 RANGES_PER_BLOCK = 1_000
+# How many keys the whole-number types can tell apart.
+KEY_SPAN = {"tinyint": 1 << 8, "smallint": 1 << 16, "int": 1 << 32, "bigint": 1 << 64}
 
 
 def running_start(group: list[str], order: str, count: str) -> Column:
@@ -27,36 +29,43 @@ def running_start(group: list[str], order: str, count: str) -> Column:
 
 
 def range_of(key: str, width: int) -> Column:
-    """Number of the key range; whole-number division keeps the order of the keys."""
-    return F.call_function("div", F.col(key), F.lit(width))
+    """Number of the key range: the quotient rounded down, also below zero."""
+    wide, by = F.col(key).cast("bigint"), F.lit(width)
+    below = -F.call_function("div", -(wide + 1), by) - 1
+    return F.when(wide >= 0, F.call_function("div", wide, by)).otherwise(below)
 
 
-def _range_starts(ranges: DataFrame) -> DataFrame:
-    """Rows before each range, over all of them."""
-    blocked = ranges.withColumn("_block", range_of("_range", RANGES_PER_BLOCK))
-    blocks = blocked.groupBy("_block").agg(F.sum("_rows").alias("_block_rows"))
-    block_starts = blocks.select(
-        "_block", running_start([], "_block", "_block_rows").alias("_before")
-    )
-    in_block = running_start(["_block"], "_range", "_rows")
-    return (
-        blocked.select("_block", "_range", in_block.alias("_in_block"))
-        .join(block_starts, "_block")
-        .select("_range", (F.col("_before") + F.col("_in_block")).alias("_start"))
-    )
+def _starts(counts: DataFrame, column: str, span: int) -> DataFrame:
+    """`column` and _start: the rows before each of its values, over all of them.
+
+    counts: `column` and _rows; span: how many values the column can have.
+    """
+    if span <= RANGES_PER_BLOCK:
+        return counts.select(column, running_start([], column, "_rows").alias("_start"))
+    block = column + "_block"
+    blocked = counts.withColumn(block, range_of(column, RANGES_PER_BLOCK))
+    sums = blocked.groupBy(block).agg(F.sum("_rows").alias("_rows"))
+    before = _starts(sums, block, span // RANGES_PER_BLOCK + 2)
+    inside = blocked.select(column, block, running_start([block], column, "_rows").alias("_inside"))
+    return inside.join(before, block).select(column, (F.col("_start") + F.col("_inside")).alias("_start"))
 
 
 def assign_keys(
     rows: DataFrame, key: str, name: str, first: Column | int = 1, width: int = RANGE_WIDTH
 ) -> DataFrame:
-    """Add `name`: first, first + 1, ... in order of the unique integer column `key`."""
+    """Add `name`: first, first + 1, ... in order of the unique integer column `key`.
+
+    A row without a key stays, without a number. The rows are read twice, so this belongs
+    before joins that decorate them.
+    """
     ranged = rows.withColumn("_range", range_of(key, width))
-    ranges = ranged.groupBy("_range").agg(F.count("*").alias("_rows"))
+    counts = ranged.filter("_range is not null").groupBy("_range").agg(F.count("*").alias("_rows"))
+    span = KEY_SPAN[dict(rows.dtypes)[key]] // width + 2
     within = F.row_number().over(Window.partitionBy("_range").orderBy(key))
     base = first if isinstance(first, Column) else F.lit(first)
     number = (base - 1 + F.col("_start") + within).cast("bigint")
     return (
-        ranged.join(_range_starts(ranges), "_range")
+        ranged.join(_starts(counts, "_range", span), "_range", "left")
         .withColumn(name, number)
         .drop("_range", "_start")
     )
@@ -65,3 +74,17 @@ def assign_keys(
 def next_key(table: DataFrame, name: str) -> Column:
     """One above the largest key in use, 1 for an empty table (scalar subquery)."""
     return table.agg(F.coalesce(F.max(name), F.lit(0)) + 1).scalar()
+
+
+def dense_identity(rows: DataFrame, name: str, keep) -> DataFrame:
+    """Add `name`: 1, 2, ... in the order in which tasks produce the rows, without a shuffle.
+
+    `keep` stores the rows once, numbered within their task; the running total of the
+    tasks' counts, a row for each task, then closes the gaps.
+    """
+    numbered = keep(rows.withColumn("_id", F.monotonically_increasing_id()))
+    task, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
+    counts = numbered.groupBy(task.alias("_task")).agg(F.count("*").alias("_rows"))
+    starts = counts.select("_task", running_start([], "_task", "_rows").alias("_start"))
+    found = numbered.withColumn("_task", task).join(starts, "_task")
+    return found.withColumn(name, F.col("_start") + place + 1).drop("_id", "_task", "_start")

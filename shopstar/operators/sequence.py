@@ -1,30 +1,13 @@
-"""Numbering within groups of any size, and the groups that need care."""
+"""Numbering within groups of any size."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopstar.operators.keys import RANGE_WIDTH, range_of, running_start
-
-# A group above HOT_ROWS rows is cut into slots; below it one task sorts it easily.
-HOT_ROWS = 1_000_000
-# At most this many groups are cut, which keeps their list at a few megabytes. A group
-# that is not among them has less than one part in HOT_GROUPS of all rows, and the plain
-# window numbers it.
-HOT_GROUPS = 100_000
-
-
-def hot_groups(
-    rows: DataFrame, group: str, over: int = HOT_ROWS, at_most: int = HOT_GROUPS
-) -> DataFrame:
-    """The largest groups with their sizes: never more than `at_most` rows.
-
-    Ties are settled by the group, so that every evaluation picks the same ones.
-    """
-    sizes = rows.groupBy(group).agg(F.count("*").alias("_group_rows"))
-    large = sizes.filter(F.col("_group_rows") > over)
-    return large.orderBy(F.desc("_group_rows"), group).limit(at_most)
+from shopstar.operators.keys import running_start
 
 
 def number_in_group(
@@ -34,44 +17,29 @@ def number_in_group(
     key: str,
     number: str,
     total: str,
-    hot_rows: int = HOT_ROWS,
-    width: int = RANGE_WIDTH,
+    keep: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
     """Add the position of each row in its group, by `slot` then `key`, and the group size.
 
-    `key` is a unique integer. Equal to a window over the whole group, but the rows of
-    a hot group are spread by slot and key range, numbered there, and moved up by the
-    running count of the slots and ranges before. A piece never exceeds `width` rows.
+    `key` is unique within the group. Equal to a window over the whole group, but rows are
+    dealt out by range of (group, slot, key), so that a group of any size is cut into pieces
+    no larger than a range. They are numbered within their piece and moved up by the
+    group's rows in the ranges before, a count for each piece. `keep` stores the dealt rows,
+    since cutting them anew could cut them elsewhere.
     """
-    hot = F.broadcast(hot_groups(rows, group, hot_rows))  # at most HOT_GROUPS rows
-    is_hot = F.col("_group_rows").isNotNull()
-    spread = rows.join(hot, group, "left").withColumns(
-        {
-            "_slot": F.when(is_hot, F.coalesce(slot.cast("bigint"), F.lit(-1))).otherwise(F.lit(0)),
-            "_range": F.when(is_hot, range_of(key, width)).otherwise(F.lit(0)),
-        }
-    )
-    piece = [group, "_slot", "_range"]
-    pieces = spread.filter(is_hot).groupBy(*piece).agg(F.count("*").alias("_rows"))
-    slots = pieces.groupBy(group, "_slot").agg(F.sum("_rows").alias("_slot_rows"))
-    slot_starts = slots.select(
-        group, "_slot", running_start([group], "_slot", "_slot_rows").alias("_slot_start")
-    )
-    in_slot = running_start([group, "_slot"], "_range", "_rows")
-    starts = (
-        pieces.select(*piece, in_slot.alias("_in_slot"))
-        .join(slot_starts, [group, "_slot"])
-        .select(*piece, (F.col("_slot_start") + F.col("_in_slot")).alias("_start"))
+    order = [slot.asc_nulls_first(), F.col(key)]
+    dealt = rows.repartitionByRange(F.col(group), *order).withColumn("_range", F.spark_partition_id())
+    dealt = keep(dealt)
+    pieces = dealt.groupBy("_range", group).agg(F.count("*").alias("_rows"))
+    starts = pieces.select(
+        "_range",
+        group,
+        running_start([group], "_range", "_rows").alias("_start"),
+        F.sum("_rows").over(Window.partitionBy(group)).alias(total),
     )
-    in_piece = Window.partitionBy(*piece)
-    position = F.row_number().over(in_piece.orderBy(slot.asc_nulls_first(), key))
+    position = F.row_number().over(Window.partitionBy("_range", group).orderBy(*order))
     return (
-        spread.join(starts, piece, "left")
-        .withColumns(
-            {
-                number: (position + F.coalesce("_start", F.lit(0))).cast("bigint"),
-                total: F.coalesce("_group_rows", F.count("*").over(in_piece)),
-            }
-        )
-        .drop("_group_rows", "_slot", "_range", "_start")
+        dealt.join(starts, ["_range", group])
+        .withColumn(number, (position + F.col("_start")).cast("bigint"))
+        .drop("_range", "_start")
     )

@@ -115,8 +115,11 @@ def dim_customers(customers: DataFrame, addresses: DataFrame, as_of) -> DataFram
     today = timestamp_lit(as_of)
     born = F.col("date_of_birth")
     place = addresses.select("address_id", "city", "country")
-    current = customers.filter("is_current").join(place, "address_id", "left")
-    people = current.select(
+    live = customers.filter("is_current")
+    numbers = assign_keys(live.select("customer_id"), "customer_id", "customer_key")
+    current = live.join(numbers, "customer_id").join(place, "address_id", "left")
+    keyed = current.select(
+        "customer_key",
         "customer_id",
         F.concat("first_name", F.lit(" "), "last_name").alias("full_name"),
         "email",
@@ -127,7 +130,6 @@ def dim_customers(customers: DataFrame, addresses: DataFrame, as_of) -> DataFram
         "country",
         "join_date",
     )
-    keyed = assign_keys(people, "customer_id", "customer_key")
     unknown = _unknown_member(
         customers.sparkSession,
         keyed,
@@ -137,7 +139,7 @@ def dim_customers(customers: DataFrame, addresses: DataFrame, as_of) -> DataFram
         city=UNKNOWN_CITY,
         country=UNKNOWN_PERSON,
     )
-    return keyed.unionByName(unknown).select("customer_key", *people.columns)
+    return keyed.unionByName(unknown)
 
 
 def dim_products(products: DataFrame, brands: DataFrame, categories: DataFrame) -> DataFrame:
@@ -151,11 +153,14 @@ def dim_products(products: DataFrame, brands: DataFrame, categories: DataFrame)
     )
     labelled = own.join(parent, "parent_category_id", "left").drop("parent_category_id")
     brand = brands.select("brand_id", F.col("brand_name").alias("own_brand"))
-    goods = (
-        products.filter("is_current")
+    live = products.filter("is_current")
+    numbers = assign_keys(live.select("product_id"), "product_id", "product_key")
+    keyed = (
+        live.join(numbers, "product_id")
         .join(brand, "brand_id", "left")
         .join(labelled, "category_id", "left")
         .select(
+            "product_key",
             "product_id",
             "product_name",
             "description",
@@ -165,7 +170,6 @@ def dim_products(products: DataFrame, brands: DataFrame, categories: DataFrame)
             "list_price",
         )
     )
-    keyed = assign_keys(goods, "product_id", "product_key")
     unknown = _unknown_member(
         products.sparkSession,
         keyed,
@@ -177,4 +181,4 @@ def dim_products(products: DataFrame, brands: DataFrame, categories: DataFrame)
         subcategory=UNKNOWN_CATEGORY,
         list_price=0,
     )
-    return keyed.unionByName(unknown).select("product_key", *goods.columns)
+    return keyed.unionByName(unknown)

@@ -14,17 +14,18 @@ from pyspark.sql import functions as F
 
 from shopstar.functions import timestamp_lit
 from shopstar.operators import cleaning, ingest, quality, scd
+from shopstar.operators.evolution import conform
+from shopstar.operators.keys import dense_identity
 from shopstar.operators.quality import FAILED, SUCCESS
 from shopstar.plans import dimensions, facts, marts
 from shopstar.schemas import SOURCES, SourceTable
-from shopstar.session import tune
+from shopstar.session import bytes_under, size_shuffles, tune
 from shopstar.sources.files import read_delimited
-from shopstar.sources.scratch import stored
 from shopstar.sources.snapshots import Lake, Layer, now
 
-# Tolerated malformed lines per file, load orders, status words and the
-# names of the reporting views.
-MAX_ERRORS = 10
+# What happens to lines that do not fit their layout, however many they are.
+QUARANTINE, FAIL = "quarantine", "fail"
+# Load orders, status words and the names of the reporting views.
 BRONZE_ORDER = (
     "customers",
     "addresses",
@@ -48,12 +49,34 @@ SILVER_DIMENSIONS = (
 )
 SILVER_FACTS = ("website_sessions", "pageviews", "orders", "order_items", "order_item_returns")
 SKIPPED, GOLD_ERROR, GOLD_FAILURE = "Skipped", "Error", "ORCHESTRATOR FAILURE"
+GOLD_ORDER = (
+    "dim_date",
+    "dim_time",
+    "dim_customers",
+    "dim_products",
+    "fact_sessions",
+    "fact_sales",
+    "fact_web_analytics",
+    "fact_returns",
+)
+# The facts' folders, and the date each fact is filed under.
+MONTH = "year_month"
+MONTH_OF = {
+    "fact_sessions": "start_date_key",
+    "fact_sales": "date_key",
+    "fact_web_analytics": "date_key",
+    "fact_returns": "return_date_key",
+}
 SALES_VIEW, CAMPAIGN_VIEW = "vw_sales_summary", "vw_campaign_summary"
 ABANDONMENT_VIEW, CUSTOMER_VIEW = "vw_abandonment_rate", "vw_customer_summary"
 
 
 class LoadError(RuntimeError):
-    """A load broke a constraint of its table."""
+    """A load broke a constraint of its table; `found` goes to the log with it."""
+
+    def __init__(self, message: str, found: dict):
+        super().__init__(message)
+        self.found = found
 
 
 class NothingToLoad(RuntimeError):
@@ -64,11 +87,6 @@ def _message(error: Exception) -> str:
     return (str(error).splitlines() or [type(error).__name__])[0]
 
 
-def _identity() -> Column:
-    """Unique, increasing, but not dense; given per task, so it costs no shuffle."""
-    return F.monotonically_increasing_id() + 1
-
-
 # --- Bronze --------------------------------------------------------------------------
 
 
@@ -78,23 +96,29 @@ def load_bronze(
     root: str,
     batch_id: str | None = None,
     as_of: datetime | None = None,
-    max_errors: int = MAX_ERRORS,
+    on_malformed: str = QUARANTINE,
     tables: Collection[str] = BRONZE_ORDER,
 ) -> DataFrame:
     """Load `<source>/<table>.csv` for the raw tables; returns the log of the batch.
 
-    Up to `max_errors` malformed lines per file are set aside under `bronze/rejected`.
+    Lines that do not fit the layout are set aside with the batch that met them, their
+    number and place in the log; under "fail" any such line fails its table.
     """
+    if on_malformed not in (QUARANTINE, FAIL):
+        raise ValueError(f"on_malformed is {QUARANTINE!r} or {FAIL!r}, not {on_malformed!r}")
     lake = Lake(tune(spark), root)
     batch_id = batch_id or f"BATCH_{now():%Y%m%d_%H%M%S}"
+    size_shuffles(spark, bytes_under(spark, *[f"{source}/{name}.csv" for name in tables]))
     for name in tables:
         started = now()
         try:
             text = read_delimited(spark, f"{source}/{name}.csv", SOURCES[name])
-            location, rows = _load_raw(
-                lake, text, SOURCES[name], batch_id, as_of or started, max_errors
+            outcome = _load_raw(
+                lake, text, SOURCES[name], batch_id, as_of or started, on_malformed
             )
-            outcome = dict(status=SUCCESS, row_count=rows, location=location)
+            outcome["status"] = SUCCESS
+        except LoadError as error:
+            outcome = dict(status=FAILED, error_message=_message(error), **error.found)
         except Exception as error:  # noqa: BLE001 - one table must not stop the others
             outcome = dict(status=FAILED, error_message=_message(error))
         ended = now()
@@ -111,41 +135,36 @@ def load_bronze(
 
 
 def _load_raw(
-    lake: Lake, text: DataFrame, table: SourceTable, batch_id: str, as_of, max_errors: int
-) -> tuple[str, int]:
-    """Parse and store in one pass, then check the constraints on the stored columns."""
-    typed = ingest.type_cells(text, table)
-    sound = F.size("_bad") == 0
-    stamped = ingest.stamp(
-        typed.withColumnRenamed("bad_columns", "_bad"), batch_id, as_of
-    )
-    location, counts = lake.write(
-        "bronze",
-        table.name,
-        stamped,
-        counts={"rows": F.count(F.when(sound, 1)), "broken": F.count(F.when(~sound, 1))},
-        keep=sound,
-    )
-    if counts["broken"] > max_errors:
-        raise LoadError(f"{counts['broken']} malformed lines, {max_errors} tolerated")
-    if counts["broken"]:
-        lake.write("bronze", f"rejected/{table.name}", ingest.rejected(typed).withColumnRenamed(
-            ingest.CORRUPT, "line"
-        ))
-    stored = lake.spark.read.parquet(location)
-    broken = quality.table_violations(stored, table).filter("violations > 0").collect()
-    if broken:
-        raise LoadError("; ".join(f"{b.rule} {b.column_name}: {b.violations}" for b in broken))
-    return location, counts["rows"]
+    lake: Lake, text: DataFrame, table: SourceTable, batch_id: str, as_of, on_malformed: str
+) -> dict:
+    """Parse once, store sound and broken lines, then check the constraints as stored."""
+    with lake.scratch() as scratch:
+        parsed = scratch.keep(ingest.stamp(ingest.type_cells(text, table), batch_id, as_of))
+        broken = ingest.rejected(parsed).withColumnRenamed(ingest.CORRUPT, "line")
+        broken = broken.withColumn("load_batch_id", F.lit(batch_id))
+        found = {"rows_rejected": broken.count()}
+        if found["rows_rejected"]:
+            place, _ = lake.write("bronze", f"rejected/{table.name}", broken)
+            found["rejected_location"] = place
+            if on_malformed == FAIL:
+                raise LoadError(f"{found['rows_rejected']} malformed lines", found)
+        location, counts = lake.write("bronze", table.name, ingest.accepted(parsed))
+    violated = quality.table_violations(lake.spark.read.parquet(location), table)
+    rules = violated.filter("violations > 0").collect()
+    if rules:
+        told = "; ".join(f"{b.rule} {b.column_name}: {b.violations}" for b in rules)
+        raise LoadError(told, found)
+    return dict(location=location, row_count=counts["rows"], **found)
 
 
 # --- Silver --------------------------------------------------------------------------
 
 
-def _cleaner(name: str, as_of) -> Callable[[DataFrame], DataFrame]:
-    dated = {"customers": cleaning.clean_customers, "order_item_returns": cleaning.clean_returns}
-    plain = {
-        "addresses": cleaning.clean_addresses,
+def _cleaner(name: str, as_of, ignore_case: bool) -> Callable[[DataFrame], DataFrame]:
+    cleaners = {
+        "customers": lambda raw: cleaning.clean_customers(raw, as_of, ignore_case),
+        "addresses": lambda raw: cleaning.clean_addresses(raw, ignore_case),
+        "order_item_returns": lambda raw: cleaning.clean_returns(raw, as_of),
         "brands": cleaning.clean_brands,
         "categories": cleaning.clean_categories,
         "payment_methods": cleaning.clean_payment_methods,
@@ -155,7 +174,7 @@ def _cleaner(name: str, as_of) -> Callable[[DataFrame], DataFrame]:
         "website_sessions": cleaning.clean_sessions,
         "pageviews": cleaning.clean_pageviews,
     }
-    return (lambda raw: dated[name](raw, as_of)) if name in dated else plain[name]
+    return cleaners[name]
 
 
 def _changed(*kinds: str) -> Column:
@@ -166,19 +185,19 @@ def _load_dimension(
     lake: Lake, name: str, target: DataFrame | None, cleaned: DataFrame, batch_id, as_of, collation
 ) -> dict:
     dim = scd.DIMENSIONS[name]
-    if target is None:
-        target = scd.empty(lake.spark, dim)
+    # A snapshot stored under an older layout has NULL in the columns added since.
+    target = scd.empty(lake.spark, dim) if target is None else conform(target, dim.schema)
+    apply = scd.scd2_apply if dim.versioned else scd.scd1_apply
+    counts = {"rows_inserted": _changed(scd.INSERT, scd.OVERWRITE)}
     if dim.versioned:
-        rows = scd.scd2_apply(target, cleaned, dim, batch_id, as_of, collation, True, stored)
         counts = {
             "rows_inserted": _changed(scd.INSERT),
             "rows_updated": _changed(scd.NEW_VERSION),
             "rows_deleted": _changed(scd.CLOSED),
         }
-    else:
-        rows = scd.scd1_apply(target, cleaned, dim, batch_id, as_of, collation, True, stored)
-        counts = {"rows_inserted": _changed(scd.INSERT, scd.OVERWRITE)}
-    location, counted = lake.write("silver", name, rows, counts)
+    with lake.scratch() as scratch:
+        rows = apply(target, cleaned, dim, batch_id, as_of, collation, True, scratch.keep)
+        location, counted = lake.write("silver", name, rows, counts)
     kind = "Type 2" if dim.versioned else "Type 1"
     return dict(location=location, scd_type=kind, **counted)
 
@@ -188,9 +207,11 @@ def _load_fact_rows(lake: Lake, name: str, cleaned: DataFrame, batch_id, as_of)
         name, name.removesuffix("s") + "_skey"
     )
     rows = cleaned.withColumns(
-        {skey: _identity(), "dwh_load_date": timestamp_lit(as_of), "dwh_batch_id": F.lit(batch_id)}
+        {"dwh_load_date": timestamp_lit(as_of), "dwh_batch_id": F.lit(batch_id)}
     )
-    location, counted = lake.write("silver", name, rows)
+    with lake.scratch() as scratch:
+        numbered = dense_identity(rows, skey, scratch.keep)
+        location, counted = lake.write("silver", name, numbered)
     return dict(location=location, scd_type="Fact", rows_inserted=counted["rows"])
 
 
@@ -208,14 +229,15 @@ def load_silver(
 
     A table whose last raw load failed is skipped, and so is a versioned dimension whose
     source has no rows, since that would close every version; `allow_empty_source` lets
-    an empty source through. `collation` (say UTF8_LCASE) makes comparison of text
-    attributes blind to case.
+    an empty source through. `collation` (say UTF8_LCASE) makes cleaning and comparison of
+    text attributes blind to case.
     """
     lake = Lake(tune(spark), root)
     as_of = as_of or now()
     batch_id = silver_batch_id or f"SILVER_{now():%Y%m%d_%H%M%S}"
     source_batch_id = source_batch_id or quality.latest_success(lake.log("bronze")).first()[0]
     bronze, silver = lake.layer("bronze"), lake.layer("silver")
+    size_shuffles(spark, bytes_under(spark, *bronze.locations()))
     for name in tables:
         started = now()
         try:
@@ -225,7 +247,7 @@ def load_silver(
             is_versioned = name in scd.DIMENSIONS and scd.DIMENSIONS[name].versioned
             if is_versioned and not allow_empty_source and raw.isEmpty():
                 raise NothingToLoad("the source has no rows")
-            cleaned = _cleaner(name, as_of)(raw)
+            cleaned = _cleaner(name, as_of, ignore_case=collation is not None)(raw)
             if name in scd.DIMENSIONS:
                 outcome = _load_dimension(
                     lake, name, silver.get(name), cleaned, batch_id, as_of, collation
@@ -255,12 +277,12 @@ def load_silver(
 
 
 def _gold_builders(
-    spark: SparkSession, silver: Layer, fresh: dict[str, str], as_of, calendar
+    spark: SparkSession, silver: Layer, fresh: dict[str, str], as_of, calendar, keep
 ) -> dict[str, Callable[[], DataFrame]]:
     """Tables in load order; facts read the dimensions written just before them."""
     gold = lambda name: spark.read.parquet(fresh[name])
     loaded = lambda rows: rows.withColumn("dwh_load_date", timestamp_lit(as_of))
-    numbered = lambda rows, key: loaded(rows).withColumn(key, _identity())
+    numbered = lambda rows, key: dense_identity(loaded(rows), key, keep)
     return {
         "dim_date": lambda: dimensions.dim_date(spark, *calendar),
         "dim_time": lambda: dimensions.dim_time(spark),
@@ -307,6 +329,11 @@ def _gold_builders(
     }
 
 
+def by_month(rows: DataFrame, date_key: str) -> DataFrame:
+    """Adds year_month and deals the rows out by it; a crowded month is cut up again."""
+    return rows.withColumn(MONTH, F.floor(F.col(date_key) / 100).cast("int")).hint("rebalance", MONTH)
+
+
 def load_gold(
     spark: SparkSession,
     root: str,
@@ -316,7 +343,8 @@ def load_gold(
     """Rebuild dimensions and facts from silver; the first failure ends the load.
 
     Dimension keys start over on every rebuild, so the tables become valid together: a
-    load that fails half-way leaves the star schema of the load before in place.
+    load that fails half-way leaves the star schema of the load before in place. Facts
+    have a folder for each month, so that reports over a span of time read no other.
     """
     lake = Lake(tune(spark), root)
     as_of = as_of or now()
@@ -324,11 +352,19 @@ def load_gold(
     fresh: dict[str, str] = {}
     records = []
     try:
-        builders = _gold_builders(spark, lake.layer("silver"), fresh, as_of, calendar)
-        for name, build in builders.items():
+        silver = lake.layer("silver")
+        size_shuffles(spark, bytes_under(spark, *silver.locations()))
+        for name in GOLD_ORDER:
             started = now()
             try:
-                fresh[name], counted = lake.write("gold", name, build())
+                with lake.scratch() as scratch:
+                    builders = _gold_builders(spark, silver, fresh, as_of, calendar, scratch.keep)
+                    rows, month = builders[name](), MONTH_OF.get(name)
+                    if month:
+                        rows = by_month(rows, month)
+                    fresh[name], counted = lake.write(
+                        "gold", name, rows, by=MONTH if month else None
+                    )
             except Exception as error:
                 lake.append_log("gold", _gold_record(name, started, error=error))
                 raise

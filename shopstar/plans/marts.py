@@ -8,11 +8,13 @@ a third of the rows arrives as partial results only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopstar.functions import ratio
-from shopstar.operators.sequence import HOT_ROWS, number_in_group
+from shopstar.operators.sequence import number_in_group
 from shopstar.plans.dimensions import UNKNOWN_KEY
 
 
@@ -22,9 +24,13 @@ def session_attributes(web: DataFrame, *columns: str) -> DataFrame:
 
 
 def sales_summary(
-    fact_sales: DataFrame, dim_date: DataFrame, dim_customers: DataFrame
+    fact_sales: DataFrame, dim_date: DataFrame, dim_customers: DataFrame | None
 ) -> DataFrame:
-    """Monthly sales. Sales outside the calendar are dropped; unknown customers count."""
+    """Monthly sales. Sales outside the calendar are dropped; unknown customers count.
+
+    An order's month and customer follow from the order. Without customers the sales are
+    taken to be keyed by them already, as they are when built in one go.
+    """
     month = ["year", "month", "month_name"]
     sums = {
         "total_revenue": "total_amount",
@@ -41,15 +47,21 @@ def sales_summary(
             *[F.sum(source).alias(name) for name, source in sums.items()],
         )
     )
-    known = per_order.join(dim_customers.select("customer_key"), "customer_key", "left_semi")
+    # Combined by customer first: then orders and customers are plain counts.
+    added = ["num_line_items", *sums, "valued_lines"]
+    per_customer = per_order.groupBy(*month, "customer_key").agg(
+        F.count("*").alias("num_orders"), *[F.sum(name).alias(name) for name in added]
+    )
+    if dim_customers is not None:
+        known = dim_customers.select("customer_key")
+        per_customer = per_customer.join(known, "customer_key", "left_semi")
     return (
-        known.groupBy(*month)
+        per_customer.groupBy(*month)
         .agg(
-            F.countDistinct("order_id").alias("num_orders"),
+            F.sum("num_orders").alias("num_orders"),
             F.sum("num_line_items").alias("num_line_items"),
-            F.countDistinct("customer_key").alias("unique_customers"),
-            *[F.sum(name).alias(name) for name in sums],
-            F.sum("valued_lines").alias("valued_lines"),
+            F.count("*").alias("unique_customers"),
+            *[F.sum(name).alias(name) for name in (*sums, "valued_lines")],
         )
         .withColumn(
             "avg_order_line_value",
@@ -76,7 +88,7 @@ def campaign_summary(
         .join(tagged, "session_key")
         .select("session_key", *cell)
     )
-    sessions = visits.groupBy(*cell).agg(F.countDistinct("session_key").alias("total_sessions"))
+    sessions = visits.groupBy(*cell).agg(F.count("*").alias("total_sessions"))
     orders = (
         fact_sales.filter("session_key is not null")
         .groupBy("session_key", "order_id")
@@ -85,7 +97,7 @@ def campaign_summary(
     sales = (
         orders.join(visits, "session_key")
         .groupBy(*cell)
-        .agg(F.countDistinct("order_id").alias("num_orders"), F.sum("amount").alias("revenue"))
+        .agg(F.count("*").alias("num_orders"), F.sum("amount").alias("revenue"))
     )
     joined = sessions.join(sales, cell, "left").withColumn(
         "num_orders", F.coalesce("num_orders", F.lit(0))
@@ -119,25 +131,41 @@ def abandonment_rate(web: DataFrame, fact_sessions: DataFrame) -> DataFrame:
     return counted.withColumn("abandonment_rate", rate)
 
 
-def _customer_visits(fact_sessions: DataFrame, web: DataFrame) -> DataFrame:
-    """Sessions of known customers with their attributes and place in time.
+def _customer_visits(fact_sessions: DataFrame) -> DataFrame:
+    """Sessions of known customers with their place in time.
 
-    `moment` orders the sessions of a customer; it has minute precision, and the session
-    key settles ties that the calendar leaves open.
+    `moment` orders the sessions of a customer in one fixed-width number, which Spark can
+    aggregate in place: the minute, and behind it the session key, which settles ties that
+    the calendar leaves open.
     """
-    attributes = session_attributes(web, "utm_campaign", "device_type")
-    moment = F.struct(
-        "start_date_key", "start_time_key", "session_key", "utm_campaign", "device_type"
+    minute = F.coalesce("start_date_key", F.lit(0)).cast("bigint") * 10_000
+    minute = (minute + F.coalesce("start_time_key", F.lit(0))).cast("decimal(18,0)")
+    shifted = (minute * F.lit("100000000000000000000").cast("decimal(21,0)")).cast("decimal(38,0)")
+    return fact_sessions.filter(F.col("customer_key") != UNKNOWN_KEY).select(
+        "customer_key",
+        "session_key",
+        "resulted_in_sale",
+        (shifted + F.col("session_key").cast("decimal(19,0)")).cast("decimal(38,0)").alias("moment"),
     )
+
+
+def _last_converting_campaign(visits: DataFrame, attributes: DataFrame) -> DataFrame:
+    """The campaign last in the alphabet among a customer's converting sessions."""
+    sold = visits.filter("resulted_in_sale").select("customer_key", "session_key")
+    named = attributes.filter("utm_campaign is not null").select("session_key", "utm_campaign")
+    seen = sold.join(named, "session_key").select("customer_key", "utm_campaign").distinct()
+    last = Window.partitionBy("customer_key").orderBy(F.desc("utm_campaign"))
     return (
-        fact_sessions.filter(F.col("customer_key") != UNKNOWN_KEY)
-        .join(attributes, "session_key", "left")
-        .withColumn("moment", moment)
+        seen.withColumn("_turn", F.row_number().over(last))
+        .filter("_turn = 1")
+        .select("customer_key", F.col("utm_campaign").alias("converting_campaign"))
     )
 
 
-def customer_session_sequence(fact_sessions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Running number and count of a known customer's sessions."""
+def customer_session_sequence(
+    fact_sessions: DataFrame, keep: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Running number and count of a known customer's sessions; `keep` stores a table."""
     known = fact_sessions.filter(F.col("customer_key") != UNKNOWN_KEY).select(
         "customer_key", "session_key", "start_date_key", "start_time_key"
     )
@@ -149,7 +177,7 @@ def customer_session_sequence(fact_sessions: DataFrame, hot_rows: int = HOT_ROWS
         "session_key",
         number="session_number",
         total="total_sessions",
-        hot_rows=hot_rows,
+        keep=keep,
     )
 
 
@@ -168,28 +196,41 @@ def customer_summary(
     Numbering every session is not needed: the first session is a minimum, and the number
     of the first converting one is how many sessions start no later than it.
     """
-    visits = _customer_visits(fact_sessions, web)
+    visits = _customer_visits(fact_sessions)
+    attributes = session_attributes(web, "utm_campaign", "device_type")
     sold = F.col("resulted_in_sale")
     per_customer = visits.groupBy("customer_key").agg(
         F.count("*").alias("total_sessions"),
         F.min("moment").alias("first_visit"),
+        F.min_by("session_key", "moment").alias("first_session"),
         F.min(F.when(sold, F.col("moment"))).alias("first_sale"),
-        F.max(F.when(sold, F.col("utm_campaign"))).alias("converting_campaign"),
         F.count(F.when(sold, 1)).alias("converted"),
     )
-    orders = (
+    first = attributes.select(
+        F.col("session_key").alias("first_session"),
+        F.col("utm_campaign").alias("first_campaign"),
+        F.col("device_type").alias("first_device"),
+    )
+    # An order has one session: orders per session are a count, sessions per customer too.
+    per_session = (
         fact_sales.filter("session_key is not null")
         .groupBy("session_key", "order_id")
         .agg(F.count("*").alias("lines"), F.sum("total_amount").alias("amount"))
+        .groupBy("session_key")
+        .agg(
+            F.count("*").alias("orders"),
+            F.sum("lines").alias("lines"),
+            F.sum("amount").alias("amount"),
+        )
     )
     bought = (
-        orders.join(visits, "session_key")
+        per_session.join(visits.drop("moment"), "session_key")
         .groupBy("customer_key")
         .agg(
-            F.countDistinct("order_id").alias("total_orders"),
+            F.sum("orders").alias("total_orders"),
             F.sum("amount").alias("lifetime_value"),
             F.sum(F.when(sold, F.col("lines"))).alias("lines"),
-            F.countDistinct(F.when(sold, F.col("moment"))).alias("converted_with_lines"),
+            F.count(F.when(sold, 1)).alias("converted_with_lines"),
         )
     )
     # A converting session whose order has no lines still counts once.
@@ -211,6 +252,8 @@ def customer_summary(
     return (
         per_customer.join(bought, "customer_key", "left")
         .join(waited, "customer_key", "left")
+        .join(_last_converting_campaign(visits, attributes), "customer_key", "left")
+        .join(first, "first_session", "left")
         .join(person, "customer_key")
         .select(
             "customer_key",
@@ -219,8 +262,8 @@ def customer_summary(
             "country",
             "age_group",
             "total_sessions",
-            F.col("first_visit.utm_campaign").alias("first_campaign"),
-            F.col("first_visit.device_type").alias("first_device"),
+            "first_campaign",
+            "first_device",
             "converting_campaign",
             purchases.alias("sessions_with_purchase"),
             first_purchase.cast("bigint").alias("first_purchase_session"),

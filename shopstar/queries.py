@@ -18,9 +18,11 @@ from pyspark.sql.types import (
 
 from shopstar import functions as fn
 from shopstar.operators import ingest, keys, quality, scd
+from shopstar.operators.evolution import conform
 from shopstar.plans import dimensions, facts, marts
 from shopstar.schemas import SOURCES
 from shopstar.session import tune
+from shopstar.sources.scratch import stored
 from shopstar.warehouse import AS_OF, LOADS, Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -184,9 +186,14 @@ def schema_evolution_union(w: Warehouse) -> DataFrame:
     sales = w.sales_for_marts.select(
         "order_id", "date_key", "quantity", "unit_price", "discount_amount", "total_amount"
     )
-    older = sales.filter("date_key < 19980101").drop("discount_amount")
-    newer = sales.filter("date_key >= 19980101")
-    return newer.unionByName(older, allowMissingColumns=True)
+    return _evolved(stored(sales))
+
+
+def _evolved(sales: DataFrame) -> DataFrame:
+    """Sales of 1998 on as they are, earlier and undated ones under the layout before."""
+    later = F.coalesce(F.col("date_key") >= 19980101, F.lit(False))
+    older = sales.filter(~later).drop("discount_amount")
+    return sales.filter(later).unionByName(conform(older, sales.schema))
 
 
 # --- Silver --------------------------------------------------------------------------
@@ -427,7 +434,7 @@ def session_attributes(w: Warehouse) -> DataFrame:
 
 @query
 def customer_session_sequence(w: Warehouse) -> DataFrame:
-    return marts.customer_session_sequence(w.fact_sessions)
+    return marts.customer_session_sequence(w.fact_sessions, stored)
 
 
 # --- Marts ---------------------------------------------------------------------------

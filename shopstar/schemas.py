@@ -134,7 +134,7 @@ LOGS = {
         "load_end_time TIMESTAMP_NTZ, last_load_date TIMESTAMP_NTZ NOT NULL, "
         "batch_id STRING NOT NULL, row_count BIGINT, status STRING NOT NULL, "
         "error_message STRING, comments STRING, created_at TIMESTAMP_NTZ NOT NULL, "
-        "location STRING"
+        "location STRING, rows_rejected BIGINT, rejected_location STRING"
     ),
     "silver": (
         "table_name STRING NOT NULL, source_layer STRING NOT NULL, "

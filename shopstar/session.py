@@ -18,6 +18,7 @@ SKEW_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
+CHECKPOINT_DIR = "spark.checkpoint.dir"
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
 
 
@@ -40,13 +41,26 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     return partitions
 
 
+def bytes_under(spark: SparkSession, *paths: str) -> int:
+    """Stored bytes of files and folders in whichever store; 0 for what is not there."""
+    total = 0
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        if store.exists(place):
+            total += store.getContentSummary(place).getLength()
+    return total
+
+
 def one_row(spark: SparkSession) -> DataFrame:
     """A single row in a single task, to hang literals on."""
     return spark.range(0, 1, 1, 1)
 
 
-def local_session(app: str, cpus: int | str = 8, partitions: int | None = None) -> SparkSession:
-    """Local session for tests and the benchmark."""
+def local_session(
+    app: str, cpus: int | str = 8, partitions: int | None = None, scratch: str | None = None
+) -> SparkSession:
+    """Local session for tests and the benchmark; `scratch` where no folder is set yet."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -58,5 +72,7 @@ def local_session(app: str, cpus: int | str = 8, partitions: int | None = None)
     for name, value in SKEW_SETTINGS.items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
+    if scratch and not spark.sparkContext.getConf().get(CHECKPOINT_DIR):
+        spark.conf.set(CHECKPOINT_DIR, scratch)
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-CHECKPOINT_DIR = "spark.checkpoint.dir"
+from shopstar.session import CHECKPOINT_DIR
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -21,6 +21,7 @@ from shopstar.functions import timestamp_lit
 from shopstar.operators.quality import SUCCESS
 from shopstar.schemas import LOGS
 from shopstar.session import one_row
+from shopstar.sources.scratch import Scratch
 
 
 def now() -> datetime:
@@ -40,6 +41,9 @@ class Layer:
         )
         self._tables = {row.table_name: row for row in per_table.collect()}
 
+    def locations(self) -> list[str]:
+        return [row.location for row in self._tables.values() if row.location]
+
     def status(self, table: str) -> str | None:
         """Outcome of the last load of the table."""
         return self._tables[table].status if table in self._tables else None
@@ -94,23 +98,27 @@ class Lake:
     def read(self, layer: str, table: str) -> DataFrame:
         return self.layer(layer)[table]
 
+    def scratch(self) -> Scratch:
+        """Intermediate tables beside the layers, gone when the block ends."""
+        return Scratch(self.spark, f"{self.root}/_scratch")
+
     def write(
         self,
         layer: str,
         table: str,
         rows: DataFrame,
         counts: dict[str, Column] | None = None,
-        keep: Column | None = None,
+        by: str | None = None,
     ) -> tuple[str, dict[str, int]]:
         """Write a new snapshot; give its location and the counts taken on the way.
 
-        Counts see all rows, only those under `keep` are stored. Columns that start with
-        an underscore serve the counts and are not stored.
+        Columns that start with an underscore serve the counts and are not stored. `by`
+        names a column with a folder for each value.
         """
         location = f"{self.root}/{layer}/{table}/load={uuid.uuid4().hex}"
         seen = Observation()
         measures = counts or {"rows": F.count(F.lit(1))}
         watched = rows.observe(seen, *[m.alias(name) for name, m in measures.items()])
-        kept = watched if keep is None else watched.filter(keep)
-        kept.select(*[c for c in rows.columns if not c.startswith("_")]).write.parquet(location)
+        writer = watched.select(*[c for c in rows.columns if not c.startswith("_")]).write
+        (writer.partitionBy(by) if by else writer).parquet(location)
         return location, {name: int(value or 0) for name, value in seen.get.items()}

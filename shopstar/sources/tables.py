@@ -346,7 +346,8 @@ def later_batch(name: str, rows: DataFrame) -> DataFrame:
     """The same raw table one load later: keys gone, changed, and new.
 
     Keys with remainder 0 of 11 are gone; those with 1 of 13 also appear as a copy SHIFT
-    further on. The changes hit attributes that matter and attributes that do not.
+    further on. The changes hit attributes that matter and attributes that do not, and
+    take values away and put them where there were none.
     """
     key = SOURCES[name].key
     on = lambda n, r, new, old: F.when(_every(n, key, r), new).otherwise(F.col(old))
@@ -367,13 +368,19 @@ def later_batch(name: str, rows: DataFrame) -> DataFrame:
         },
         "customers": {
             "address_id": on(7, 3, F.coalesce(F.col("address_id"), F.lit(0)) + 1, "address_id"),
-            "first_name": on(5, 2, louder("first_name"), "first_name"),
-            "date_of_birth": on(19, 4, F.lit(None), "date_of_birth"),
+            "first_name": F.when(_every(16, key, 6), F.lit("Nowa"))
+            .when(_every(29, key, 3), F.lit(None))
+            .otherwise(on(5, 2, louder("first_name"), "first_name")),
+            "email": on(23, 6, F.lit(None), "email"),
+            "date_of_birth": F.when(_every(82, key), F.lit("1900-01-01").cast("date"))
+            .when(_every(82, key, 41), F.lit("1990-05-05").cast("date"))
+            .otherwise(on(19, 4, F.lit(None), "date_of_birth")),
             "join_date": on(3, 1, F.date_add("join_date", 1), "join_date"),
         },
         "products": {
-            "list_price": on(7, 3, (F.col("list_price") + F.lit(1)).cast("decimal(18,2)"),
-                             "list_price"),
+            "list_price": F.when(_every(86, key), F.lit(5))
+            .when(_every(10, key, 4), F.lit(None))
+            .otherwise(on(7, 3, F.col("list_price") + F.lit(1), "list_price")),
             "name": on(5, 2, louder("name"), "name"),
             "brand_id": on(9, 4, F.lit(None), "brand_id"),
         },

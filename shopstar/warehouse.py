@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shopstar.operators import cleaning, scd
 from shopstar.plans import dimensions, facts, marts
+from shopstar.session import bytes_under, size_shuffles
 from shopstar.sources.scratch import stored
 from shopstar.sources.tables import ShopTables, later_batch
 
@@ -45,6 +46,7 @@ _CLEANERS = {
 class Warehouse:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
+        size_shuffles(spark, bytes_under(spark, folder))
         self.raw = ShopTables(spark, folder)
         self._cleaned: dict[tuple[str, bool], DataFrame] = {}
 
@@ -157,7 +159,7 @@ class Warehouse:
         )
 
     def mart_sales_summary(self) -> DataFrame:
-        return marts.sales_summary(self.sales_for_marts, self.dim_date, self.customer_keys)
+        return marts.sales_summary(self.sales_for_marts, self.dim_date, None)
 
     def mart_campaign_summary(self) -> DataFrame:
         return marts.campaign_summary(

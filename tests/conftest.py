@@ -10,8 +10,9 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("shopstar-tests", cpus=8, partitions=4)
+def spark(tmp_path_factory):
+    scratch = str(tmp_path_factory.mktemp("checkpoints"))
+    session = local_session("shopstar-tests", cpus=8, partitions=4, scratch=scratch)
     yield session
     session.stop()
 

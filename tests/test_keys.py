@@ -6,9 +6,10 @@ import random
 
 from pyspark.sql import functions as F
 
-from shopstar.operators.keys import assign_keys, next_key
-from shopstar.operators.sequence import hot_groups, number_in_group
+from shopstar.operators.keys import assign_keys, dense_identity, next_key, range_of
+from shopstar.operators.sequence import number_in_group
 from shopstar.plans import dimensions
+from shopstar.sources.scratch import stored
 
 
 def test_keys_are_dense_over_sparse_and_negative_keys(spark):
@@ -20,6 +21,25 @@ def test_keys_are_dense_over_sparse_and_negative_keys(spark):
     assert shifted.agg(F.min("n"), F.max("n")).first() == (8, 3_007)
 
 
+def test_keys_of_the_whole_span(spark):
+    """Hashed keys lie anywhere in a BIGINT, its ends included."""
+    rng = random.Random(3)
+    keys = [-(1 << 63), (1 << 63) - 1, -1, 0, 1, *(rng.randrange(-(1 << 63), 1 << 63) for _ in range(2_000))]
+    rows = spark.createDataFrame([(k,) for k in keys], "k BIGINT")
+    got = assign_keys(rows, "k", "n").orderBy("n").collect()
+    assert [(r.k, r.n) for r in got] == [(k, i + 1) for i, k in enumerate(sorted(keys))]
+
+
+def test_ranges_are_as_wide_below_zero(spark):
+    sizes = spark.range(-1_000, 1_000).groupBy(range_of("id", 10)).count()
+    assert {r["count"] for r in sizes.collect()} == {10}
+
+
+def test_rows_without_a_key_stay(spark):
+    rows = spark.createDataFrame([(5, "a"), (None, "b"), (-5, "c")], "k INT, v STRING")
+    assert {r.v: r.n for r in assign_keys(rows, "k", "n").collect()} == {"a": 2, "b": None, "c": 1}
+
+
 def test_next_key_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "s BIGINT")
     assert spark.range(1).select(next_key(empty, "s").alias("n")).first().n == 1
@@ -36,23 +56,46 @@ def _sessions(spark):
     return rows, spark.createDataFrame(rows, "c BIGINT, k BIGINT, s BIGINT")
 
 
-def test_numbering_in_hot_and_cold_groups(spark):
+def test_numbering_in_groups_of_any_size(spark):
     rows, frame = _sessions(spark)
     ordered = sorted(rows, key=lambda r: (r[0], -1 if r[2] is None else r[2], r[1]))
     expected, count = {}, {}
     for customer, key, _ in ordered:
         count[customer] = count.get(customer, 0) + 1
         expected[customer, key] = count[customer]
-    for hot_rows in (100, 10_000):
-        got = number_in_group(frame, "c", F.col("s"), "k", "n", "total", hot_rows, width=5_000)
-        found = {(r.c, r.k): (r.n, r.total) for r in got.collect()}
-        assert found == {ck: (n, count[ck[0]]) for ck, n in expected.items()}
+    got = number_in_group(frame, "c", F.col("s"), "k", "n", "total", stored)
+    found = {(r.c, r.k): (r.n, r.total) for r in got.collect()}
+    assert found == {ck: (n, count[ck[0]]) for ck, n in expected.items()}
 
 
-def test_hot_groups_are_few(spark):
+def test_a_hot_group_is_numbered_in_pieces(spark):
+    """The group holds a third of the rows; no piece is larger than a range of all rows."""
     _, frame = _sessions(spark)
-    assert [r.c for r in hot_groups(frame, "c", over=100).collect()] == [1]
-    assert hot_groups(frame, "c", over=0, at_most=7).count() == 7
+    held = []
+
+    def keep(rows):
+        held.append(stored(rows))
+        return held[0]
+
+    partitions, adaptive = "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled"
+    before = {name: spark.conf.get(name) for name in (partitions, adaptive)}
+    spark.conf.set(partitions, "16")
+    spark.conf.set(adaptive, "false")
+    try:
+        assert number_in_group(frame, "c", F.col("s"), "k", "n", "total", keep).count() == 3_000
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    pieces = held[0].groupBy("_range", "c").count()
+    assert pieces.filter("c = 1").count() >= 4
+    assert pieces.agg(F.max("count")).first()[0] <= 2 * 3_000 / 16
+
+
+def test_dense_identity_in_storage_order(spark):
+    rows = spark.range(0, 1_000, 1, 7).filter("id % 3 = 0")
+    got = dense_identity(rows, "n", stored).orderBy("id").collect()
+    assert [r.n for r in got] == list(range(1, 335))
+    assert dense_identity(rows.filter("id < 0"), "n", stored).count() == 0
 
 
 def test_calendar(spark):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shopstar.plans import marts
 from shopstar.queries import QUERIES
+from shopstar.session import SHUFFLE_PARTITION_BYTES, bytes_under, size_shuffles
 
 
 @pytest.fixture
@@ -35,9 +36,7 @@ def test_plan_scales(spark, sf_dir, no_small_tables, key):
         if "Exchange SinglePartition" in line:
             above = " ".join(lines[max(0, i - 3) : i])
             assert "Window" not in above or "_block" in above, above
-    # The only broadcast asked for is the list of hot customers, a thousand at most.
-    if key != "customer_session_sequence":
-        assert "BroadcastExchange" not in plan
+    assert "BroadcastExchange" not in plan
 
 
 def test_scans_read_only_what_is_used(spark, sf_dir):
@@ -62,3 +61,31 @@ def test_single_partition_exchange_only_after_aggregation(spark):
     )
     plan = physical(marts.abandonment_rate(web, sessions))
     assert "Expand" not in plan and "Window" not in plan
+
+
+def test_marts_aggregate_in_place(spark, sf_dir):
+    """No distinct counts that need an Expand, no text in an aggregation buffer."""
+    plan = physical(QUERIES["mart_sales_summary"](spark, sf_dir))
+    assert "Expand" not in plan and plan.count("customer.parquet") <= 2
+    plan = physical(QUERIES["mart_customer_summary"](spark, sf_dir))
+    assert "SortAggregate" not in plan and "Expand" not in plan
+
+
+def test_dimensions_plan_their_joins_once(spark, sf_dir, no_small_tables):
+    plan = physical(QUERIES["dim_products"](spark, sf_dir))
+    assert len(re.findall(r"Join \[brand_id", plan)) == 1
+
+
+def test_shuffles_follow_the_input(spark, tmp_path):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "3")
+        assert size_shuffles(spark, 1) == 3
+        assert size_shuffles(spark, 10 * SHUFFLE_PARTITION_BYTES + 1) == 11
+        assert spark.conf.get(name) == "11"
+    finally:
+        spark.conf.set(name, before)
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x").write_bytes(b"12345")
+    assert bytes_under(spark, str(tmp_path), str(tmp_path / "none")) == 5
