@@ -30,7 +30,7 @@ from shopstar.llm.words import Texts, mix, texts
 UNKNOWN = "und"
 BUCKETS = 1 << 16
 WIDTH = 16
-SAMPLE_ROWS = 6000
+SAMPLE_ROWS = 5000
 EPOCHS = 6
 RATE = 4.0
 _LETTER = re.compile(r"[^\W\d_]")
@@ -89,22 +89,23 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def train(examples: list[tuple[str, np.ndarray]], seed: int = 7) -> Model | None:
-    """Fit to (language, buckets of the text) pairs, in any order."""
-    languages = sorted({name for name, _ in examples})
+def train(examples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Model | None:
+    """Fit to (language, distinct buckets of the text, their counts), in any order."""
+    languages = sorted({name for name, _, _ in examples})
     if not languages:
         return None
     draw = np.random.default_rng(seed)
     own = {name: i for i, name in enumerate(languages)}
-    whole = [(own[n], *np.unique(b, return_counts=True)) for n, b in sorted(examples, key=lambda x: (x[0], len(x[1]), x[1][:64].tobytes())) if len(b)]
+    examples = sorted(examples, key=lambda x: (x[0], len(x[1]), x[1][:64].tobytes()))
+    whole = [(own[name], buckets, counts) for name, buckets, counts in examples if len(buckets)]
     draw.shuffle(whole)
     kept_back = max(1, len(whole) // 5) if len(whole) > 20 else 0
     checks, learnt = whole[:kept_back], whole[kept_back:]
     # Short pieces of the same texts teach short texts.
     short = []
-    for name, buckets, _ in learnt:
+    for name, buckets, counts in learnt:
         size = int(draw.integers(4, 40))
-        some = draw.choice(buckets, min(size, len(buckets)), replace=False)
+        some = draw.choice(buckets, min(size, len(buckets)), p=counts / counts.sum())
         short.append((name, *np.unique(some, return_counts=True)))
     both = learnt + short
     embed = draw.normal(0, 0.1, (BUCKETS, WIDTH))
@@ -163,12 +164,14 @@ def fit(docs: DataFrame, learn: Column, sample_rows: int = SAMPLE_ROWS) -> Model
         for batch in batches:
             for row, part in texts(batch.column(1)):
                 found, begin = subwords(part)
-                runs = [found[a:b].astype(np.uint16 if BUCKETS <= 1 << 16 else np.uint32).tobytes() for a, b in zip(begin, begin[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(part)), pa.array(runs, pa.binary())], ["lang", "runs"])
-
-    kind = np.uint16 if BUCKETS <= 1 << 16 else np.uint32
-    rows = sample.select("lang", "text").mapInArrow(read, "lang string, runs binary").toLocalIterator(prefetchPartitions=True)
-    return train([(r["lang"], np.frombuffer(r["runs"], kind).astype(np.int64)) for r in rows])
+                bags = [np.unique(found[i:j], return_counts=True) for i, j in zip(begin, begin[1:])]
+                runs = [buckets.astype(np.uint16).tobytes() for buckets, _ in bags]
+                counts = [number.astype(np.uint32).tobytes() for _, number in bags]
+                arrays = [pa.array(runs, pa.binary()), pa.array(counts, pa.binary())]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(part)), *arrays], ["lang", "runs", "counts"])
+
+    rows = sample.select("lang", "text").mapInArrow(read, "lang string, runs binary, counts binary").toLocalIterator()
+    return train([(r["lang"], np.frombuffer(r["runs"], np.uint16), np.frombuffer(r["counts"], np.uint32)) for r in rows])
 
 
 def judge(column: pa.Array, model: Model | None) -> tuple[list[str], np.ndarray, np.ndarray]:

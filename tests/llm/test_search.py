@@ -1,0 +1,119 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shopstar.llm import maxscore, vectors, vptree
+
+SHAPE = "vec_id bigint, embedding array<float>, id int, dim int, part int, rank int, score int"
+ODD = [
+    (1000, None),
+    (1010, []),
+    (1020, [0.0] * 8),
+    (1030, [float("nan")] * 8),
+    (1040, [1.0, None] + [0.0] * 6),
+    (1050, [float("inf")] + [0.0] * 7),
+    (None, [1.0] * 8),
+    (1060, [1.0, 2.0]),
+    (1070, [2.0, 1.0]),
+]
+
+
+def made(n=300, seed=4):
+    draw = np.random.default_rng(seed)
+    data = draw.normal(0, 0.4, (n, 8)).astype(np.float32)
+    data[40:80] = data[0]
+    data[100:110] = -data[5]
+    return [(i, [float(x) for x in row]) for i, row in enumerate(data)]
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(*r, 1, 1, 1, 1, 1) for r in rows], SHAPE)
+
+
+def usable(rows, zero):
+    kept = [(i, np.array(v, np.float64)) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all()]
+    return [(i, v) for i, v in kept if zero or np.any(v)]
+
+
+def best(rows, every, k, score):
+    out = []
+    for q, a in rows:
+        if q % every == 0:
+            scores = [(-score(a, b), i) for i, b in rows if i != q and len(a) == len(b)]
+            out += [(q, r, i, -s) for r, (s, i) in enumerate(sorted(scores)[:k], 1)]
+    return sorted(out)
+
+
+def whole(a, b):
+    return int(np.floor(1024 * a) @ np.floor(1024 * b))
+
+
+def cosine(a, b):
+    return float((a * b).sum() / (np.sqrt((a * a).sum()) * np.sqrt((b * b).sum())))
+
+
+@pytest.mark.parametrize("shard_rows", [20, 1000])
+def test_maxscore_is_exact(spark, shard_rows):
+    rows = made() + ODD
+    found = maxscore.search(table(spark, rows), F.col("id") % 10 == 0, k=7, shard_rows=shard_rows, block_rows=9)
+    assert sorted(tuple(r) for r in found.collect()) == best(usable(rows, True), 10, 7, whole)
+
+
+def test_maxscore_prunes():
+    values = np.zeros((500, 6))
+    values[:, 0] = np.arange(500)
+    values[:, 1:] = 1
+    shard = maxscore.Shard(np.arange(500), values)
+    ids, scores = shard.best(-1, np.array([10.0, 1, 1, 1, 1, 1]), 3)
+    assert ids.tolist() == [499, 498, 497] and scores[0] == 4995
+
+
+def test_fewer_candidates_than_places(spark):
+    rows = [(0, [1.0, 0.0]), (10, [0.5, -1.0]), (20, [-1.0, 0.0])]
+    found = maxscore.search(table(spark, rows), F.col("id") % 10 == 0, k=10)
+    assert sorted(tuple(r) for r in found.collect()) == best(usable(rows, True), 10, 10, whole)
+    found = vptree.search(table(spark, rows), F.col("id") % 10 == 0, k=10)
+    assert sorted(tuple(r) for r in found.collect()) == best(usable(rows, False), 10, 10, cosine)
+
+
+@pytest.mark.parametrize("shard_rows", [60, 1000])
+def test_tree_is_exact_at_factor_one(spark, shard_rows):
+    rows = made() + ODD
+    found = vptree.search(table(spark, rows), F.col("id") % 10 == 0, k=7, relax=1.0, shard_rows=shard_rows, block_rows=9)
+    got, want = sorted(tuple(r) for r in found.collect()), best(usable(rows, False), 10, 7, cosine)
+    assert [x[:3] for x in got] == [x[:3] for x in want]
+    assert np.allclose([x[3] for x in got], [x[3] for x in want], rtol=0, atol=1e-12)
+
+
+def test_relaxing_visits_less_and_keeps_recall(spark, sf_dir):
+    from shopstar.llm.queries import RELAX, op10_vptree
+
+    given = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding").collect()
+    want = {x[::2][:2] for x in best(usable([tuple(r) for r in given], False), 50, 5, cosine)}
+    got = {(r["query_id"], r["vec_id"]) for r in op10_vptree(spark, sf_dir).collect()}
+    assert len(got & want) >= 0.9 * len(want)
+    values = np.array([r["embedding"] for r in given[:400]], np.float64)
+    seen = []
+    for relax in (1.0, RELAX, 50.0):
+        tree = vptree.Tree(np.arange(400), values, *vptree.build(values, 8))
+        count = [0]
+        leaf = tree._leaf
+        tree._leaf = lambda node, queries, leaf=leaf, count=count: (count.__setitem__(0, count[0] + len(queries)), leaf(node, queries))[1]
+        tree.best(np.arange(20), values[:20], 5, relax)
+        seen.append(count[0])
+    assert seen[0] >= seen[1] > seen[2]
+
+
+def test_no_rows(spark):
+    for rows in ([], ODD[:5]):
+        assert maxscore.search(table(spark, rows), F.col("id") % 10 == 0).count() <= 10
+        assert vptree.search(table(spark, rows), F.col("id") % 10 == 0).count() == 0
+
+
+def test_packing_keeps_every_row(spark):
+    rows = vectors.usable(table(spark, made()), "vec_id", "embedding")
+    parts, n = vectors.packed(rows, 25)
+    ids = [i for r in parts.collect() for i in np.frombuffer(r["ids"], np.int64)]
+    assert n == 12 and sorted(ids) == list(range(300))

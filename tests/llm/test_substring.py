@@ -1,0 +1,117 @@
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+import pytest
+
+from shopstar.llm import substring
+from tests.llm.rows import ODD, documents, words
+
+
+def kept(rows, length):
+    """Words kept of each row, by counting every window."""
+    texts = [words(t) for _, t, *_ in rows]
+    places = Counter(tuple(w[i : i + length]) for w in texts for i in range(len(w) - length + 1))
+    out = []
+    for own in texts:
+        gone = [False] * len(own)
+        for i in range(len(own) - length + 1):
+            if places[tuple(own[i : i + length])] > 1:
+                gone[i : i + length] = [True] * length
+        out.append([w for w, g in zip(own, gone) if not g])
+    return texts, out
+
+
+def expected(rows, length=35):
+    out = []
+    for (doc_id, *_), own, left in zip(rows, *kept(rows, length)):
+        out.append((doc_id, len(own), len(own) - len(left), hashlib.sha256(" ".join(left).encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def found(spark, rows, length=35):
+    out = substring.digests(documents(spark, rows, extra=True), length=length).collect()
+    return sorted((tuple(r) for r in out), key=repr)
+
+
+def varied(seed, n=80):
+    draw = random.Random(seed)
+    passages = [[f"w{draw.randint(0, 200)}" for _ in range(draw.choice([10, 34, 35, 36, 60, 150]))] for _ in range(10)]
+    rows = []
+    for i in range(n):
+        own = []
+        for _ in range(draw.randint(1, 4)):
+            own += [f"u{draw.randint(0, 10**6)}" for _ in range(draw.randint(0, 30))]
+            piece = list(draw.choice(passages))
+            cut = draw.randint(0, len(piece) // 3)
+            own += piece[cut:] if draw.random() < 0.4 else piece
+            if draw.random() < 0.3:
+                own[draw.randrange(len(own))] = "edit"
+        rows.append((i, draw.choice([" ", "\n"]).join(own), "en", "s", 1))
+    return rows
+
+
+@pytest.mark.parametrize(("seed", "length"), [(1, 35), (2, 35), (3, 12), (4, 9)])
+def test_equals_counting_every_window(spark, seed, length):
+    rows = varied(seed)
+    assert found(spark, rows, length) == expected(rows, length)
+
+
+def test_crowded_anchors_are_counted(spark, monkeypatch):
+    monkeypatch.setattr(substring, "CROWD", 2)
+    rows = varied(5)
+    assert found(spark, rows) == expected(rows)
+
+
+def test_odd_rows(spark):
+    assert found(spark, ODD) == expected(ODD)
+    assert found(spark, []) == []
+
+
+def test_repeats_within_one_text_and_rows_alike(spark):
+    one = " ".join(f"a{i}" for i in range(50))
+    rows = [(1, f"{one} x {one}", "en", "s", 1), (2, one.replace("a1 ", "b "), "en", "s", 1), (3, "q " * 40, "en", "s", 1)]
+    rows += [(4, " ".join(f"c{i}" for i in range(40)), "en", "s", 1)] * 2
+    assert found(spark, rows) == expected(rows)
+    # The same id over different texts.
+    rows = [(1, one, "en", "s", 1), (1, "z " + one, "en", "s", 1), (1, "short", "en", "s", 1)]
+    assert found(spark, rows) == expected(rows)
+
+
+def test_lengths_that_do_not_fit(spark):
+    for length in (substring.GRAM - 1, substring.GRAM + 62):
+        with pytest.raises(ValueError):
+            substring.digests(documents(spark), length=length)
+
+
+def test_automaton_counts_places():
+    draw = random.Random(7)
+    for _ in range(200):
+        texts = [[draw.randint(0, 2) for _ in range(draw.randint(4, 12))] for _ in range(draw.randint(1, 4))]
+        copies = [draw.choice([1, 2]) for _ in texts]
+        own = substring.Automaton()
+        for text, n in zip(texts, copies):
+            own.add(text, n)
+        own.close()
+        places = Counter()
+        for text, n in zip(texts, copies):
+            for i in range(len(text) - 3):
+                places[tuple(text[i : i + 4])] += n
+        for text in texts:
+            bits = own.repeats(text, 4)
+            assert [bits >> i & 1 for i in range(len(text) - 3)] == [int(places[tuple(text[i : i + 4])] > 1) for i in range(len(text) - 3)]
+
+
+def test_rows_without_repeats_stay(spark):
+    rows = varied(6) + ODD
+    docs = documents(spark, rows, extra=True)
+    out = substring.without_repeats(docs)
+    assert out.columns == docs.columns
+    texts, left = kept(rows, 35)
+    want = []
+    for (doc_id, text, *_, n), own, rest in zip(rows, texts, left):
+        joined = " ".join(rest)
+        want.append((doc_id, text, n) if len(own) == len(rest) else (doc_id, joined, len(joined)))
+    assert sorted(((r["doc_id"], r["text"], r["n_chars"]) for r in out.collect()), key=repr) == sorted(want, key=repr)
