@@ -9,7 +9,8 @@ among the first n - ceil(n * percent / 100) + 1 in any common order; the order h
 elements rare in the corpus first. How rare is read from a fixed-size count over all texts,
 which any error leaves a common order. Classes whose prefix and size are equal form a
 group; groups sharing a prefix element, and passing the size and position filters, are
-candidate pairs, which expand to pairs of members, and those are verified on whole sets.
+candidate pairs, which expand to pairs of members. Parities, a bit or two for each element,
+rule most of the dissimilar out without the sets, and the rest is verified on whole sets.
 
 Only components are wanted, so no list emits all its pairs: its first members are compared
 with the rest, then the next few of those still apart, in rounds that grow eightfold, until
@@ -72,28 +73,46 @@ def _frequencies(docs: DataFrame, size: int) -> np.ndarray:
 
     whole = totals(docs, count)
     whole = np.zeros(CELLS) if whole is None else whole
-    return np.ceil(4 * np.log2(whole + 1)).astype(np.uint8)
+    return np.ceil(64 * np.log2(whole + 1)).astype(np.uint16)
+
+
+def _parities(found: np.ndarray) -> bytes:
+    """A bit for each of at least len(found) places: whether an odd number falls there."""
+    places = 1 << max(6, (len(found) - 1).bit_length())
+    counts = np.bincount((found >> np.uint64(24) & np.uint64(places - 1)).astype(np.int64), minlength=places)
+    return np.packbits(counts & 1, bitorder="little").tobytes()
+
+
+def _unlike(x: np.ndarray, y: np.ndarray) -> int:
+    """At least how many elements are in one set only, by the sets' parities."""
+    if len(x) != len(y):
+        x, y = (x, y) if len(x) < len(y) else (y, x)
+        y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def _prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """id, n, digests of the set and of the prefix, and the prefix of every text."""
+    """id, n, digests of the set and of the prefix, parities and prefix of every text."""
     rank = docs.sparkSession.sparkContext.broadcast(_frequencies(docs.select("text"), size))
-    names = ["id", "n", "whole", "same", "prefix"]
+    names = ["id", "n", "whole", "same", "parities", "prefix"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, whole, same, prefix = [], [], [], []
+            n, whole, same, parities, prefix = [], [], [], [], []
             for found in shingle_sets(batch.column(1), size):
                 order = np.argsort(rank.value[found & np.uint64(CELLS - 1)], kind="stable")
                 kept = found[order[: len(found) - -(-len(found) * percent // 100) + 1]]
                 n.append(len(found))
                 whole.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
                 same.append(hashlib.blake2b(kept.tobytes() + len(found).to_bytes(8), digest_size=16).digest() if len(found) else None)
+                parities.append(_parities(found) if len(found) else None)
                 prefix.append(kept.view(np.int64))
-            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, k) for x, k in zip((n, whole, same, prefix), kinds))], names)
+            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+            columns = (n, whole, same, parities, prefix)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, k) for x, k in zip(columns, kinds))], names)
 
-    return docs.select("id", "text").mapInArrow(run, "id bigint, n bigint, whole binary, same binary, prefix array<bigint>")
+    shape = "id bigint, n bigint, whole binary, same binary, parities binary, prefix array<bigint>"
+    return docs.select("id", "text").mapInArrow(run, shape)
 
 
 def _able(n1: Column, at1: Column, n2: Column, at2: Column, percent: int) -> Column:
@@ -103,6 +122,33 @@ def _able(n1: Column, at1: Column, n2: Column, at2: Column, percent: int) -> Col
     return (smaller * 100 >= larger * percent) & (most * (100 + percent) >= (n1 + n2) * percent)
 
 
+def _paired(pairs: DataFrame, held: DataFrame, *columns: str) -> DataFrame:
+    """a, b and, for either, the columns held under its id."""
+    for side in ("a", "b"):
+        own = held.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
+        pairs = pairs.join(own, side)
+    return pairs.select("a", "b", *[f"{c}_{side}" for c in columns for side in ("a", "b")])
+
+
+def _plausible(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose parities leave room for enough common elements.
+
+    What two sets do not share shows in odd places, so the count of those that differ is
+    never above the number of such elements: no similar pair is lost.
+    """
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = (batch.column(2).to_numpy() + batch.column(3).to_numpy()).tolist()
+            keep = []
+            for n, x, y in zip(both, batch.column(4), batch.column(5)):
+                apart = _unlike(np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8))
+                keep.append((n - apart) * (100 + percent) >= 2 * n * percent)
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    return _paired(pairs, found, "n", "parities").mapInArrow(check, "a bigint, b bigint").distinct()
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
     ids = scratch.keep(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
@@ -123,9 +169,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int, scratc
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     sets = scratch.keep(picked(docs.select("id", "text"), "id", ids).mapInArrow(read, "id bigint, held binary"))
-    right = pairs.join(sets.select(F.col("id").alias("b"), F.col("held").alias("held_b")), "b")
-    both = right.join(sets.select(F.col("id").alias("a"), F.col("held").alias("held_a")), "a")
-    links = scratch.keep(both.select("a", "b", "held_a", "held_b").mapInArrow(check, "a bigint, b bigint"))
+    links = scratch.keep(_paired(pairs, sets, "held").mapInArrow(check, "a bigint, b bigint"))
     scratch.drop(sets)
     return links
 
@@ -143,7 +187,8 @@ def _links(found: DataFrame, docs: DataFrame, size: int, percent: int, scratch:
     at = F.shiftleft("n", 32)
     entries = heads.select(F.posexplode("prefix").alias("at", "token"), F.col("id").alias("g"), at.alias("n"))
     entries = entries.select("token", "g", (F.col("n") + F.col("at")).alias("where"))
-    sizes = found.filter("n > 0").select("id", at.alias("where"))
+    sized = found.filter("n > 0").select("id", "n", "parities")
+    sizes = sized.select("id", at.alias("where"))
     inner = members.join(sizes, "id").select("token", F.col("id").alias("g"), "where").distinct()
     by_token = Window.partitionBy("token").orderBy("g")
     lists = entries.union(inner).select(
@@ -179,7 +224,8 @@ def _links(found: DataFrame, docs: DataFrame, size: int, percent: int, scratch:
             first = own.filter((F.col("rank") >= low) & (F.col("rank") < high))
             first = first.select("token", F.col("g").alias("a"), F.col("where").alias("a_where"), F.col("rank").alias("a_rank"), F.col("component").alias("a_in"))
             pairs = own.join(first, "token").filter((F.col("rank") > F.col("a_rank")) & (F.col("component") != F.col("a_in")) & able)
-        pairs = scratch.keep(expanded(pairs.select("a", F.col("g").alias("b")).distinct()).distinct())
+        pairs = expanded(pairs.select("a", F.col("g").alias("b")).distinct())
+        pairs = scratch.keep(_plausible(pairs, sized, percent))
         links = _verified(pairs, docs, size, percent, scratch)
         if joined is not None:
             links = links.union(joined.select(F.col("node").alias("a"), F.col("component").alias("b")))

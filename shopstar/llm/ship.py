@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 
 from shopstar.sources.scratch import shared_folder
 
+BATCH_ROWS = 1000
 _ROOT = Path(__file__).resolve().parents[2]
 _shipped: set[str] = set()
 
@@ -18,8 +19,11 @@ _shipped: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Hand the package to the workers, unless PYTHONPATH or a local session does.
 
+    Texts then come in batches small enough for a worker's memory.
+
     The archive lies in the folder that the cluster shares, where that is a plain folder.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context = spark.sparkContext
     on_path = {Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p}
     if context.master.startswith("local["):
