@@ -38,7 +38,7 @@ from shopstar.sources.scratch import Scratch, stored
 
 SIZE = 5
 PERCENT = 75
-CELLS = 1 << 17
+CELLS = 1 << 20
 ROUND_GROWTH = 8
 
 
@@ -71,7 +71,7 @@ def _frequencies(docs: DataFrame, size: int) -> np.ndarray:
                 sums += np.bincount(np.concatenate(held).astype(np.int64), minlength=CELLS)
         return sums
 
-    whole = totals(docs, count)
+    whole = totals(docs, count, np.int32)
     whole = np.zeros(CELLS) if whole is None else whole
     return np.ceil(64 * np.log2(whole + 1)).astype(np.uint16)
 
@@ -214,11 +214,15 @@ def _links(found: DataFrame, docs: DataFrame, size: int, percent: int, scratch:
         if joined is None:
             pairs = lists.filter("rank > 1").filter(able)
         else:
-            own = lists.drop("a", "a_where").join(joined.withColumnRenamed("node", "g"), "g", "left")
+            own = lists.select("token", "g", "where", "rank").join(joined.withColumnRenamed("node", "g"), "g", "left")
             own = scratch.keep(own.withColumn("component", F.coalesce("component", "g")))
+            scratch.drop(lists)
             state = own.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.max("rank").alias("last"))
             apart = state.filter((F.col("x") != F.col("y")) & (F.col("last") > low)).select("token")
-            own = scratch.keep(own.join(apart, "token", "left_semi"))
+            # A list that is one component, or compared throughout, is done with.
+            lists = scratch.keep(own.join(apart, "token", "left_semi"))
+            scratch.drop(own)
+            own = lists
             if own.isEmpty():
                 return joined
             first = own.filter((F.col("rank") >= low) & (F.col("rank") < high))

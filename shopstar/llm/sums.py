@@ -11,28 +11,31 @@ from pyspark.sql import DataFrame
 BLOCKS = 16
 
 
-def _blocks(values: np.ndarray) -> pa.RecordBatch:
-    parts = [x.tobytes() for x in np.array_split(values.astype(np.float64), BLOCKS)]
+def _blocks(values: np.ndarray, kind: type) -> pa.RecordBatch:
+    parts = [x.tobytes() for x in np.array_split(values.astype(kind), BLOCKS)]
     return pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array(parts, pa.binary())], ["block", "sums"])
 
 
-def totals(rows: DataFrame, of: Callable[[Iterator[pa.RecordBatch]], np.ndarray | None]) -> np.ndarray | None:
+def totals(
+    rows: DataFrame, of: Callable[[Iterator[pa.RecordBatch]], np.ndarray | None], kind: type = np.float64
+) -> np.ndarray | None:
     """The sum over all partitions of what `of` makes of a partition; None if of nothing.
 
-    Every partition sends its array in blocks; a task adds up a block as the pieces come
-    and holds no more than the array. The size of the array bounds what the driver gets.
+    Every partition sends its array in blocks, as numbers of this kind; a task adds up a
+    block as the pieces come and holds no more than the array. The size of the array bounds
+    what the driver gets.
     """
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values = of(batches)
         if values is not None:
-            yield _blocks(values)
+            yield _blocks(values, kind)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, piece in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                values = np.frombuffer(piece)
+                values = np.frombuffer(piece, kind).astype(np.float64)
                 sums[block] = sums[block] + values if block in sums else values
         if sums:
             blocks, parts = pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())
