@@ -8,17 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstar.llm import jaccard, langid, lm, maxscore, mixing, pieces, substring, toxicity, vptree, warc
+from shopstar.llm.oracle import ORACLE
 from shopstar.llm.ship import ship
+from shopstar.session import bytes_under, size_shuffles
 
 TOXIC = 0.7
-# Recall against brute force is measured in tests/llm/test_vptree.py.
+# Recall against brute force is measured in tests/llm/test_search.py.
 RELAX = 1.5
 MODEL = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    path = f"{folder}/{name}.parquet"
     ship(spark)
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    size_shuffles(spark, bytes_under(spark, path))
+    return spark.read.parquet(path)
 
 
 def model_path() -> str:
@@ -77,6 +81,8 @@ def op10_vptree(spark: SparkSession, folder: str) -> DataFrame:
     return vptree.search(_table(spark, folder, "embeddings"), F.col("id") % 50 == 0, k=5, relax=RELAX)
 
 
+__all__ = ["ORACLE", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_langid": op2_langid,
@@ -89,4 +95,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_vptree": op10_vptree,
 }
-ORACLE: dict[str, str] = {}
