@@ -1,10 +1,11 @@
 """Gold facts.
 
 Attributes are looked up at the coarsest grain that determines them: the customer at
-order or session grain, never per line or page view, so the largest table of each fact
-is shuffled once for its parent and once more only for a key of its own. Every lookup
-joins a unique key with the fact on the left, the form in which adaptive execution can
-split a hot key over many tasks; no frame is hinted to broadcast.
+order or session grain and not per line or page view, so the largest table of each fact
+is shuffled once for its parent and once more only for a key of its own. Returns are the
+exception: fewer than orders, they look the customer up themselves. Every lookup joins a
+unique key with the fact on the left, the form in which adaptive execution can split a
+hot key over many tasks; no frame is hinted to broadcast.
 """
 
 from __future__ import annotations
