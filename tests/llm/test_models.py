@@ -139,8 +139,9 @@ def test_order_of_words_is_learnt_from_both_sides(spark):
     draw = random.Random(2)
     verse = [f"w{i}" for i in range(40)]
     rows = []
-    for i in range(120):
-        own = [w for k in range(60) for w in verse[(start := draw.randrange(38)) : start + 3]]
+    for i in range(600):
+        starts = [draw.randrange(38) for _ in range(60)]
+        own = [w for at in starts for w in verse[at : at + 3]]
         rows.append((i, " ".join(own), "en", "s", 1))
     docs = documents(spark, rows, extra=True)
     model = lm.fit(docs)
