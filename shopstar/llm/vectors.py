@@ -34,7 +34,7 @@ def packed(rows: DataFrame, per_part: int) -> tuple[DataFrame, int]:
     """The rows in parts of about this many, each one packed row; and how many parts."""
     parts = max(1, -(-rows.count() // per_part))
 
-    def pack(key, group: pd.DataFrame) -> pd.DataFrame:
+    def pack(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("id", kind="stable")
         data = np.stack([np.asarray(v, np.float64) for v in group["vec"]])
         ids = group["id"].to_numpy(np.int64)
