@@ -178,7 +178,7 @@ def _judged(contents: DataFrame, regions: int, length: int) -> DataFrame:
     """anchor, region and found (bits of repeated windows) by the automaton of its shard."""
     shards = max(1, -(-regions // SHARD_REGIONS))
 
-    def run(key, group: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates(["anchor", "region"])
         parts = [np.frombuffer(x, np.uint64) for x in group["words"]]
         # Small numbers for the words of this shard.
@@ -257,11 +257,11 @@ def _marked(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """__id, __h (the key and the text's hash) and spans of each text with a repeat."""
+    """__id, __h (the key and the text's hash) and __spans of each text with a repeat."""
     if not GRAM <= length < GRAM + 62:
         raise ValueError(f"windows of {GRAM} to {GRAM + 61} words can be handled")
     rows = _marked(docs, key, text).select(F.col("__id").alias("id"), F.col("__h").alias("h"), F.col(text).cast("string").alias("text"))
-    return _spans(rows, length, scratch).withColumnsRenamed({"id": "__id", "h": "__h"})
+    return _spans(rows, length, scratch).withColumnsRenamed({"id": "__id", "h": "__h", "spans": "__spans"})
 
 
 def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -286,7 +286,7 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
         ids = scratch.keep(spans.select("__id").distinct())
         rows = _marked(docs, key, text)
         touched = picked(rows, "__id", ids).join(spans, ["__id", "__h"], "left")
-        touched = touched.select(*columns, F.coalesce("spans", F.array()).alias("spans")).mapInArrow(run, shape)
+        touched = touched.select(*columns, F.coalesce("__spans", F.array()).alias("spans")).mapInArrow(run, shape)
         rest = picked(rows, "__id", ids, without=True).select(*columns).mapInArrow(run, shape)
         return stored(touched.union(rest).withColumnRenamed("_key", key))
 
@@ -316,6 +316,6 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
         spans = stored(repeated_spans(docs, scratch, key, text, length))
     ids = stored(spans.select("__id").distinct())
     rows = _marked(docs, key, text)
-    touched = picked(rows, "__id", ids).join(spans, ["__id", "__h"], "left").select(*docs.columns, F.col("spans").alias("__spans"))
+    touched = picked(rows, "__id", ids).join(spans, ["__id", "__h"], "left").select(*docs.columns, "__spans")
     rest = picked(rows, "__id", ids, without=True).select(*docs.columns)
     return touched.mapInArrow(run, shape).union(rest)
