@@ -38,7 +38,7 @@ from shopstar.sources.scratch import Scratch, stored
 LENGTH = 35
 GRAM = 9
 CROWD = 5000
-SHARD_REGIONS = 2000
+SHARD_REGIONS = 1000
 NO_ID = -(1 << 63)
 
 
