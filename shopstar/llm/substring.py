@@ -218,24 +218,27 @@ def _counted(contents: DataFrame, length: int) -> DataFrame:
 
 def _spans(docs: DataFrame, length: int, scratch: Scratch) -> DataFrame:
     """id, h and spans (first word and bits of repeated windows) of each text that has any."""
+    placed = scratch.keep(_placed(docs, length))
+    # Copies of a region are counted on the map side first, so that a region standing
+    # everywhere is one row for its anchor. What first() gives is one row's, any of them.
+    regions = placed.groupBy("anchor", "region").agg(
+        F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("id", "h", "place")]
+    )
     by_anchor = Window.partitionBy("anchor").orderBy("region")
-    before, after = F.lag("region").over(by_anchor), F.lead("region").over(by_anchor)
-    shared = _placed(docs, length).select("*", before.alias("before"), after.alias("after"))
-    shared = shared.filter("before is not null or after is not null").select(
-        "anchor", "region", "id", "h", "place",
-        F.coalesce(F.col("before") != F.col("region"), F.lit(True)).alias("head"),
-        F.when(F.col("after") == F.col("region"), 2).otherwise(1).cast("int").alias("copies"),
+    near = [F.lag("region").over(by_anchor).alias("before"), F.lead("region").over(by_anchor).alias("after")]
+    repeated = F.col("before").isNotNull() | F.col("after").isNotNull() | (F.col("copies") > 1)
+    heads = regions.select("*", *near).filter(repeated)
+    heads = scratch.keep(
+        heads.select("anchor", "region", "id", "h", "place", F.least("copies", F.lit(2)).cast("int").alias("copies"))
     )
-    shared = scratch.keep(shared)
-    heads = shared.filter("head")
     crowded = scratch.keep(heads.groupBy("anchor").count().filter(F.col("count") > CROWD).select("anchor"))
-    contents = scratch.keep(_contents(heads.select("anchor", "region", "id", "h", "place", "copies"), docs, length, scratch))
+    contents = scratch.keep(_contents(heads, docs, length, scratch))
     calm = picked(contents, "anchor", crowded, without=True)
     found = _judged(calm, contents.count(), length)
     found = found.union(_counted(picked(contents, "anchor", crowded), length))
     found = scratch.keep(found.filter("found != 0"))
     scratch.drop(contents)
-    places = shared.select("anchor", "region", "id", "h", "place").join(found, ["anchor", "region"])
+    places = placed.join(found, ["anchor", "region"])
     span = F.struct(F.shiftright("place", 16).alias("start"), "found")
     return scratch.keep(places.groupBy("id", "h").agg(F.collect_set(span).alias("spans")))
 
