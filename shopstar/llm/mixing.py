@@ -27,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopstar.llm.links import BROADCAST_IDS
 from shopstar.sources.scratch import Scratch, stored
 
 WEIGHTS = (5, 2, 1)
@@ -152,6 +153,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """Every row as often as the mix takes it, to the nearest whole number of times."""
     found = mix(docs, **options)
     times = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
-    found = found.groupBy("doc_id").agg(F.max(times).alias("__times")).filter("__times > 0")
+    found = stored(found.groupBy("doc_id").agg(F.max(times).alias("__times")).filter("__times > 0"))
+    if found.count() <= BROADCAST_IDS:
+        found = F.broadcast(found)
     own = docs.join(found.withColumnRenamed("doc_id", "__id"), F.col("doc_id").eqNullSafe(F.col("__id")))
     return own.withColumn("__turn", F.explode(F.sequence(F.lit(1), "__times"))).select(*docs.columns)
