@@ -1,4 +1,4 @@
-"""Near-duplicate components by a grouped prefix join on word shingles.
+"""Near-duplicate components by a prefix join on word shingles.
 
 A text's set holds the distinct runs of `size` words, A-Z as a-z; a shorter text's is its
 whole sequence, and one without words has none and is linked with nothing. Two sets are
@@ -7,9 +7,8 @@ linked if their Jaccard similarity is at least `percent` hundredths.
 Texts with equal sets fall into one class first. Two sets that similar share an element
 among the first n - ceil(n * percent / 100) + 1 in any common order; the order here puts
 elements rare in the corpus first. How rare is read from a fixed-size count over all texts,
-which any error leaves a common order. Classes whose prefix and size are equal form a
-group; groups sharing a prefix element, and passing the size and position filters, are
-candidate pairs, which expand to pairs of members. Parities, a bit or two for each element,
+which any error leaves a common order. Classes sharing a prefix element, and passing the
+size and position filters, are candidate pairs. Parities, a bit or two for each element,
 rule most of the dissimilar out without the sets, and the rest is verified on whole sets.
 
 Only components are wanted, so no list emits all its pairs: its first members are compared
@@ -92,26 +91,25 @@ def _unlike(x: np.ndarray, y: np.ndarray) -> int:
 
 
 def _prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """id, n, digests of the set and of the prefix, parities and prefix of every text."""
+    """id, n, digest of the set, parities and prefix of every text."""
     rank = docs.sparkSession.sparkContext.broadcast(_frequencies(docs.select("text"), size))
-    names = ["id", "n", "whole", "same", "parities", "prefix"]
+    names = ["id", "n", "whole", "parities", "prefix"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, whole, same, parities, prefix = [], [], [], [], []
+            n, whole, parities, prefix = [], [], [], []
             for found in shingle_sets(batch.column(1), size):
                 order = np.argsort(rank.value[found & np.uint64(CELLS - 1)], kind="stable")
                 kept = found[order[: len(found) - -(-len(found) * percent // 100) + 1]]
                 n.append(len(found))
                 whole.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
-                same.append(hashlib.blake2b(kept.tobytes() + len(found).to_bytes(8), digest_size=16).digest() if len(found) else None)
                 parities.append(_parities(found) if len(found) else None)
                 prefix.append(kept.view(np.int64))
-            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
-            columns = (n, whole, same, parities, prefix)
+            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+            columns = (n, whole, parities, prefix)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, k) for x, k in zip(columns, kinds))], names)
 
-    shape = "id bigint, n bigint, whole binary, same binary, parities binary, prefix array<bigint>"
+    shape = "id bigint, n bigint, whole binary, parities binary, prefix array<bigint>"
     return docs.select("id", "text").mapInArrow(run, shape)
 
 
@@ -176,22 +174,16 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int, scratc
 
 def _links(found: DataFrame, docs: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
     """node and component of every linked class, by its smallest id."""
-    classes = found.filter("n > 0 and id is not null").groupBy("whole").agg(F.min("id").alias("id"), F.first("same").alias("same"))
-    classes = scratch.keep(classes.select("id", "same"))
-    groups = scratch.keep(classes.groupBy("same").agg(F.min("id").alias("g"), F.count(F.lit(1)).alias("members")))
-    crowded = groups.filter("members > 1").select("same", "g")
-    members = scratch.keep(classes.join(crowded, "same").select("g", "id", F.xxhash64("same").alias("token")))
-
-    # One row for each group and element of its prefix; a crowded group is a list as well.
-    heads = picked(found.filter("n > 0").select("id", "n", "prefix"), "id", scratch.keep(groups.select("g")))
-    at = F.shiftleft("n", 32)
-    entries = heads.select(F.posexplode("prefix").alias("at", "token"), F.col("id").alias("g"), at.alias("n"))
+    classes = found.filter("n > 0 and id is not null").groupBy("whole").agg(F.min("id").alias("id"))
+    classes = scratch.keep(classes.select("id").distinct())
+
+    # One row for each class and element of its prefix.
+    heads = picked(found.filter("n > 0").select("id", "n", "prefix"), "id", classes)
+    entries = heads.select(F.posexplode("prefix").alias("at", "token"), F.col("id").alias("g"), F.shiftleft("n", 32).alias("n"))
     entries = entries.select("token", "g", (F.col("n") + F.col("at")).alias("where"))
     sized = found.filter("n > 0").select("id", "n", "parities")
-    sizes = sized.select("id", at.alias("where"))
-    inner = members.join(sizes, "id").select("token", F.col("id").alias("g"), "where").distinct()
     by_token = Window.partitionBy("token").orderBy("g")
-    lists = entries.union(inner).select(
+    lists = entries.select(
         "*",
         F.row_number().over(by_token).alias("rank"),
         F.first("g").over(by_token).alias("a"),
@@ -202,12 +194,6 @@ def _links(found: DataFrame, docs: DataFrame, size: int, percent: int, scratch:
     n, place = lambda c: F.shiftright(c, 32), lambda c: F.col(c).bitwiseAND(0xFFFFFFFF)
     able = _able(n("a_where"), place("a_where"), n("where"), place("where"), percent)
 
-    def expanded(pairs: DataFrame) -> DataFrame:
-        for side in ("a", "b"):
-            own = members.select(F.col("g").alias(side), F.col("id").alias("member"))
-            pairs = pairs.join(own, side, "left").withColumn(side, F.coalesce("member", side)).drop("member")
-        return pairs.filter("a != b")
-
     joined = None
     low, high = 1, 2
     while True:
@@ -228,7 +214,7 @@ def _links(found: DataFrame, docs: DataFrame, size: int, percent: int, scratch:
             first = own.filter((F.col("rank") >= low) & (F.col("rank") < high))
             first = first.select("token", F.col("g").alias("a"), F.col("where").alias("a_where"), F.col("rank").alias("a_rank"), F.col("component").alias("a_in"))
             pairs = own.join(first, "token").filter((F.col("rank") > F.col("a_rank")) & (F.col("component") != F.col("a_in")) & able)
-        pairs = expanded(pairs.select("a", F.col("g").alias("b")).distinct())
+        pairs = pairs.select("a", F.col("g").alias("b")).filter("a != b").distinct()
         pairs = scratch.keep(_plausible(pairs, sized, percent))
         links = _verified(pairs, docs, size, percent, scratch)
         if joined is not None:

@@ -117,3 +117,17 @@ def test_one_document_of_each(spark):
     assert kept.columns == docs.columns
     want = {i for i, _, c in expected(rows) if i == c}
     assert {r["doc_id"] for r in kept.select(F.col("doc_id")).collect()} == want | {None}
+
+
+def test_texts_of_equal_prefix_and_size_are_judged_one_by_one(spark):
+    """Texts 2 and 3 agree in prefix and size but are not similar: that 1, 2 and 4 are one
+    component does not spare 3, which is similar to 4 alone, the comparison with it."""
+    prefix = [f"p{i}" for i in range(26)]
+    core, x, y = ([f"{k}{i}" for i in range(n)] for k, n in (("k", 58), ("x", 16), ("y", 16)))
+    sets = [prefix + core + x + ["c"], prefix + core + x, prefix + core + y, prefix + core + x[:8] + y[:8] + ["b1", "b2"]]
+    assert [len(s) for s in sets] == [101, 100, 100, 102]
+    # These make all but the prefix frequent, and are similar to none of the four.
+    usual = core + x + y + ["c", "b1", "b2"] + [f"u{i}" for i in range(300)]
+    rows = [(i, " ".join(s), "en", "s", 1) for i, s in enumerate(sets + [usual] * 9, 1)]
+    component = {i: c for i, _, c in found(spark, rows, size=1)}
+    assert component == {1: 1, 2: 1, 3: 1, 4: 1} | {i: 5 for i in range(5, 14)}
