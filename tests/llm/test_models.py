@@ -176,6 +176,19 @@ def test_scores_equal_those_word_by_word(spark):
     assert all((r["n_tokens"] == 0) == (r["mean_log_likelihood"] is None) for r in got)
 
 
+def test_every_word_is_a_target_once():
+    first = np.array([0, 0, 1, 3, 12, 40])
+    turns = [lm._targets(first, turn) for turn in range(lm.ROUNDS)]
+    assert sorted(np.concatenate(turns).tolist()) == list(range(40))
+
+
+def test_words_at_every_place_are_learnt(spark):
+    """The second of two words stands at no place that is a multiple of four."""
+    docs = spark.range(0, 60000, 1, 1).selectExpr("id as doc_id", "'lead tail' as text")
+    model = lm.fit(docs)
+    assert lm.score(docs.limit(1), model).first()["log_likelihood"] > -2
+
+
 def test_no_text_to_model(spark):
     none = documents(spark, [])
     assert lm.score(none, lm.fit(none)).count() == 0
