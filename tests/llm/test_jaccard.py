@@ -131,3 +131,15 @@ def test_texts_of_equal_prefix_and_size_are_judged_one_by_one(spark):
     rows = [(i, " ".join(s), "en", "s", 1) for i, s in enumerate(sets + [usual] * 9, 1)]
     component = {i: c for i, _, c in found(spark, rows, size=1)}
     assert component == {1: 1, 2: 1, 3: 1, 4: 1} | {i: 5 for i in range(5, 14)}
+
+
+def test_near_copies_of_equal_prefix_are_not_all_paired(spark, monkeypatch):
+    prefix, core, own = ([f"{k}{i}" for i in range(n)] for k, n in (("p", 26), ("k", 73), ("x", 30)))
+    usual = core + own + [f"u{i}" for i in range(300)]
+    rows = [(i, " ".join(prefix + core + [x]), "en", "s", 1) for i, x in enumerate(own, 1)]
+    rows += [(i, " ".join(usual), "en", "s", 1) for i in range(31, 71)]
+    compared, plausible = [], jaccard._plausible
+    monkeypatch.setattr(jaccard, "_plausible", lambda pairs, *rest: compared.append(pairs.count()) or plausible(pairs, *rest))
+    component = {i: c for i, _, c in found(spark, rows, size=1)}
+    assert component == {i: 1 if i < 31 else 31 for i in range(1, 71)}
+    assert sum(compared) == 29
