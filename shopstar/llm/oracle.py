@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 _WORDS = r"regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+')"
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE: dict[str, str] = {
@@ -77,4 +78,79 @@ kept AS (
 SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
   sha256(coalesce(rest, '')) AS kept_sha256
 FROM texts LEFT JOIN kept USING (doc_id)""",
+    # An item's windows all have one length, so documents are cut into windows of that length.
+    "op11_decontamination": f"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce({_FOLDED}, ''), '{_ALNUM}') AS w FROM documents),
+own AS (
+  SELECT item_id, regexp_extract_all(coalesce({_FOLDED}, ''), '{_ALNUM}') AS w FROM benchmark),
+cut AS (
+  SELECT item_id, least(len(w), 10) AS m, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
+  FROM own WHERE len(w) > 0),
+items AS (SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS s FROM cut),
+lengths AS (SELECT DISTINCT m FROM items),
+windows AS (
+  SELECT doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') AS s
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM texts, lengths)),
+hits AS (SELECT doc_id, i, windows.m, item_id FROM windows JOIN items USING (s)),
+covered AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + m)) AS place FROM hits) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM texts LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    "op12_filter_audit": f"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {_WORDS.format("text")} AS w
+  FROM documents),
+firsts AS (SELECT t, min(doc_id) AS least FROM texts GROUP BY t),
+known AS (
+  SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic
+  FROM labels GROUP BY doc_id),
+judged AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    {{'A': len(w) < 200,
+      'B': 100 * len(list_distinct(w)) < 50 * len(w),
+      'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t),
+      'D': regexp_matches(t, '[#$%&*|]'),
+      'E': coalesce(least < doc_id, false)}} AS f
+  FROM texts JOIN firsts USING (t) LEFT JOIN known USING (doc_id)),
+failed AS (
+  SELECT part, good, toxic, concat(CASE WHEN f.A THEN 'A' ELSE '' END, CASE WHEN f.B THEN 'B' ELSE '' END,
+    CASE WHEN f.C THEN 'C' ELSE '' END, CASE WHEN f.D THEN 'D' ELSE '' END, CASE WHEN f.E THEN 'E' ELSE '' END) AS letters
+  FROM judged),
+sets AS (
+  SELECT part, letters, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+  FROM failed GROUP BY part, letters),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letter a JOIN letter b ON b.x <> a.x JOIN letter c ON c.x NOT IN (a.x, b.x)
+    JOIN letter d ON d.x NOT IN (a.x, b.x, c.x) JOIN letter e ON e.x NOT IN (a.x, b.x, c.x, d.x)),
+steps AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM orders),
+at_step AS (
+  SELECT part, filter_order, step, filter_order[step] AS filter, n, good, toxic,
+    letters <> '' AND regexp_matches(letters, '[' || filter_order[1:step] || ']') AS gone,
+    step > 1 AND regexp_matches(letters, '[' || filter_order[1:greatest(step - 1, 1)] || ']') AS gone_before,
+    contains(letters, filter_order[step]) AS fails, letters = filter_order[step] AS alone
+  FROM sets, steps),
+counted AS (
+  SELECT part, filter_order, step, filter,
+    sum(CASE WHEN gone THEN 0 ELSE n END) AS kept,
+    sum(CASE WHEN fails AND NOT gone_before THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN fails AND gone_before THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN alone THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN fails AND NOT gone_before THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN fails AND NOT gone_before THEN toxic ELSE 0 END) AS toxic_lost
+  FROM at_step GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INT) AS step, filter, CAST(kept AS BIGINT) AS kept,
+  CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
+FROM counted""",
 }

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstar.llm import jaccard, langid, lm, maxscore, mixing, pieces, substring, toxicity, vptree, warc
+from shopstar.llm import (
+    decontam,
+    jaccard,
+    langid,
+    lm,
+    maxscore,
+    mixing,
+    pieces,
+    spelling,
+    substring,
+    survival,
+    toxicity,
+    vptree,
+    warc,
+)
 from shopstar.llm.oracle import ORACLE
 from shopstar.llm.ship import ship
 from shopstar.session import bytes_under, size_shuffles
@@ -81,6 +95,20 @@ def op10_vptree(spark: SparkSession, folder: str) -> DataFrame:
     return vptree.search(_table(spark, folder, "embeddings"), F.col("id") % 50 == 0, k=5, relax=RELAX)
 
 
+def op11_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return decontam.digests(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return survival.audit(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(_table(spark, folder, "documents"))
+
+
 __all__ = ["ORACLE", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -94,4 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm": op8_lm,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_vptree": op10_vptree,
+    "op11_decontamination": op11_decontamination,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_spelling": op13_spelling,
 }

@@ -31,6 +31,9 @@ COLUMNS = {
     "op8": ["doc_id", "n_tokens", "log_likelihood"],
     "op9": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op10": ["query_id", "rank", "vec_id", "score"],
+    "op11": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+    "op12": ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"],
+    "op13": ["word", "form", "root", "n", "n_near", "form_n"],
 }
 
 
@@ -49,7 +52,7 @@ def test_one_query_for_each_operator():
 def test_columns(spark, key):
     out = QUERIES[key](spark, small())
     assert set(COLUMNS[key.split("_")[0]]) <= set(out.columns)
-    table = {"op4": "pages", "op5": None, "op10": None}.get(key.split("_")[0], "documents")
+    table = {"op4": "pages", "op5": None, "op10": None, "op12": None, "op13": None}.get(key.split("_")[0], "documents")
     if table:
         assert out.count() == spark.read.parquet(f"{SMALL}/{table}.parquet").count()
 
