@@ -56,6 +56,19 @@ def rejected(typed: DataFrame) -> DataFrame:
     return typed.filter(F.size("bad_columns") > 0)
 
 
+def by_outcome(typed: DataFrame, batch_id: str) -> DataFrame:
+    """Sound and broken rows together, told apart by `accepted`.
+
+    Broken rows carry their line, the columns at fault, and the batch that met them; sound
+    ones have NULL there.
+    """
+    sound = F.size("bad_columns") == 0
+    told = {"line": F.col(CORRUPT), "bad_columns": F.col("bad_columns"), "load_batch_id": F.lit(batch_id)}
+    return typed.withColumns(
+        {name: F.when(~sound, value) for name, value in told.items()} | {"accepted": sound}
+    ).drop(CORRUPT)
+
+
 def stamp(rows: DataFrame, batch_id: str, loaded_at) -> DataFrame:
     """Fill the audit columns where the file left the batch empty."""
     unstamped = F.col("batch_id").isNull()

@@ -1,25 +1,26 @@
 """Dense running numbers without a single-task window over the rows.
 
-A global `row_number` pulls the whole table into one task. Here rows are cut into key
-ranges of fixed width; only the count per range travels on, its running total gives
-every range its starting number, and the rows are numbered within their range. The
-numbers equal `row_number() over (order by key)`, and since a key is unique no range
-holds more rows than its width, however the keys are distributed.
-
-The running total has as many levels as the key type needs: ranges, blocks of them, blocks
-of those, until the whole span of the type has fewer than RANGES_PER_BLOCK blocks. That top
-level alone meets in one task: at most 43 rows for INT keys, 185 for BIGINT.
+A global `row_number` pulls the whole table into one task. Here rows are sorted by one range
+exchange and stored as they come out of it; each stored row knows its task and its place in
+it. What is left is a number per task: how many rows the tasks before it have. The numbers
+equal `row_number() over (order by key)`, whatever the keys look like, and a plan that reads
+them has neither an exchange nor a join for them.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGE_WIDTH = 100_000
-RANGES_PER_BLOCK = 1_000
-# How many keys the whole-number types can tell apart.
-KEY_SPAN = {"tinyint": 1 << 8, "smallint": 1 << 16, "int": 1 << 32, "bigint": 1 << 64}
+from shopstar.sources.scratch import stored
+
+Keep = Callable[[DataFrame], DataFrame]
+# Fixed value: bits of monotonically_increasing_id() below the number of the task.
+PLACE_BITS = 33
 
 
 def running_start(group: list[str], order: str, count: str) -> Column:
@@ -28,63 +29,41 @@ def running_start(group: list[str], order: str, count: str) -> Column:
     return F.coalesce(F.sum(count).over(before), F.lit(0).cast("bigint"))
 
 
-def range_of(key: str, width: int) -> Column:
-    """Number of the key range: the quotient rounded down, also below zero."""
-    wide, by = F.col(key).cast("bigint"), F.lit(width)
-    below = -F.call_function("div", -(wide + 1), by) - 1
-    return F.when(wide >= 0, F.call_function("div", wide, by)).otherwise(below)
+def dense_identity(rows: DataFrame, name: str, keep: Keep = stored, first: Column | int = 1) -> DataFrame:
+    """Add `name`: first, first + 1, ... in the order in which tasks produce the rows.
 
+    `keep` stores the rows, since running them again could deal them out differently. The
+    driver gets one count for each task of that write.
+    """
+    kept = keep(rows.withColumn("_id", F.monotonically_increasing_id()))
+    task, place = F.shiftright("_id", PLACE_BITS), F.col("_id").bitwiseAND((1 << PLACE_BITS) - 1)
+    counted = kept.groupBy(task.alias("_task")).agg(F.count("*").alias("_rows")).collect()
+    counts = {r["_task"]: r["_rows"] for r in counted}
+    starts = list(accumulate((counts.get(t, 0) for t in range(max(counts, default=0))), initial=0))
+    start = F.element_at(F.from_json(F.lit(json.dumps(starts)), "array<bigint>"), (task + 1).cast("int"))
+    base = first if isinstance(first, Column) else F.lit(first)
+    return kept.withColumn(name, (base + start + place).cast("bigint")).drop("_id")
 
-def _starts(counts: DataFrame, column: str, span: int) -> DataFrame:
-    """`column` and _start: the rows before each of its values, over all of them.
 
-    counts: `column` and _rows; span: how many values the column can have.
-    """
-    if span <= RANGES_PER_BLOCK:
-        return counts.select(column, running_start([], column, "_rows").alias("_start"))
-    block = column + "_block"
-    blocked = counts.withColumn(block, range_of(column, RANGES_PER_BLOCK))
-    sums = blocked.groupBy(block).agg(F.sum("_rows").alias("_rows"))
-    before = _starts(sums, block, span // RANGES_PER_BLOCK + 2)
-    inside = blocked.select(column, block, running_start([block], column, "_rows").alias("_inside"))
-    return inside.join(before, block).select(column, (F.col("_start") + F.col("_inside")).alias("_start"))
-
-
-def assign_keys(
-    rows: DataFrame, key: str, name: str, first: Column | int = 1, width: int = RANGE_WIDTH
-) -> DataFrame:
-    """Add `name`: first, first + 1, ... in order of the unique integer column `key`.
-
-    A row without a key stays, without a number. The rows are read twice, so this belongs
-    before joins that decorate them.
+def assign_keys(rows: DataFrame, key: str, name: str, first: Column | int = 1, keep: Keep = stored) -> DataFrame:
+    """Add `name`: first, first + 1, ... in order of the unique column `key`.
+
+    A row without a key stays, without a number. All columns given are sorted and stored, so
+    this belongs before joins that decorate them.
     """
-    ranged = rows.withColumn("_range", range_of(key, width))
-    counts = ranged.filter("_range is not null").groupBy("_range").agg(F.count("*").alias("_rows"))
-    span = KEY_SPAN[dict(rows.dtypes)[key]] // width + 2
-    within = F.row_number().over(Window.partitionBy("_range").orderBy(key))
-    base = first if isinstance(first, Column) else F.lit(first)
-    number = (base - 1 + F.col("_start") + within).cast("bigint")
-    return (
-        ranged.join(_starts(counts, "_range", span), "_range", "left")
-        .withColumn(name, number)
-        .drop("_range", "_start")
-    )
+    known = rows.filter(F.col(key).isNotNull())
+    numbered = dense_identity(known.repartitionByRange(key).sortWithinPartitions(key), name, keep, first)
+    if not rows.schema[key].nullable:
+        return numbered
+    return numbered.unionByName(rows.filter(F.col(key).isNull()).withColumn(name, F.lit(None).cast("bigint")))
+
+
+def key_map(rows: DataFrame, key: str, name: str, first: Column | int = 1, keep: Keep = stored) -> DataFrame:
+    """`key` and `name` alone, of the rows that have a key; numbers like `assign_keys`."""
+    known = rows.select(key).filter(F.col(key).isNotNull())
+    return dense_identity(known.repartitionByRange(key).sortWithinPartitions(key), name, keep, first)
 
 
 def next_key(table: DataFrame, name: str) -> Column:
     """One above the largest key in use, 1 for an empty table (scalar subquery)."""
     return table.agg(F.coalesce(F.max(name), F.lit(0)) + 1).scalar()
-
-
-def dense_identity(rows: DataFrame, name: str, keep) -> DataFrame:
-    """Add `name`: 1, 2, ... in the order in which tasks produce the rows, without a shuffle.
-
-    `keep` stores the rows once, numbered within their task; the running total of the
-    tasks' counts, a row for each task, then closes the gaps.
-    """
-    numbered = keep(rows.withColumn("_id", F.monotonically_increasing_id()))
-    task, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
-    counts = numbered.groupBy(task.alias("_task")).agg(F.count("*").alias("_rows"))
-    starts = counts.select("_task", running_start([], "_task", "_rows").alias("_start"))
-    found = numbered.withColumn("_task", task).join(starts, "_task")
-    return found.withColumn(name, F.col("_start") + place + 1).drop("_id", "_task", "_start")

@@ -2,18 +2,16 @@
 
 Spark tables on Parquet have no MERGE, so each upsert is a function from the stored
 snapshot and the cleaned source to the next snapshot. Live rows and source meet in one
-full outer join on the business key; closed versions never take part in it and are
-unioned back unchanged, so the cost follows the live rows. Keys are unique on both sides,
-so no join key can be hot.
+full outer join on the business key, out of which each key gives the row that stays, the row
+that is added, or both. Closed versions never take part in it, so the cost follows the live
+rows. Keys are unique on both sides, so no join key can be hot.
 
-The joined rows feed three readers: the rows that stay, the rows that are added, and the
-count of the added ones that their surrogate keys need. `stage` may store them once (see
-`shopstar.sources.scratch.stored`), which spares two more joins.
+Which keys get a new row is found beforehand, from the keys and the attributes that open a
+version alone; these keys are numbered and stored (`keep`), and nothing else is.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -22,8 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shopstar.functions import timestamp_lit
-from shopstar.operators.keys import assign_keys, next_key
+from shopstar.operators.keys import Keep, key_map, next_key
 from shopstar.session import one_row
+from shopstar.sources.scratch import stored
 
 INSERT, NEW_VERSION, OVERWRITE, UNCHANGED, CLOSED = (
     "INSERT",
@@ -174,13 +173,6 @@ DIMENSIONS = {
 }
 
 
-Stage = Callable[[DataFrame], DataFrame]
-
-
-def _unstaged(rows: DataFrame) -> DataFrame:
-    return rows
-
-
 def empty(spark: SparkSession, dim: Dimension) -> DataFrame:
     """The snapshot before the first load; the optimizer sees that it has no rows."""
     columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in dim.schema]
@@ -201,16 +193,20 @@ def current_versions(snapshot: DataFrame) -> DataFrame:
     return snapshot.filter("is_current")
 
 
-def _changes(
-    live: DataFrame, source: DataFrame, dim: Dimension, missing: str, collation: str | None
-) -> DataFrame:
-    """Live rows and source side by side with what is to happen, one row per key.
+def _new_keys(live: DataFrame, source: DataFrame, dim: Dimension, first: Column, collation: str | None, keep: Keep) -> DataFrame:
+    """Surrogate keys for the source keys that get a row: unknown ones, and new versions."""
+    compared = [c.column for c in dim.versions]
+    known = live.select(F.col(dim.key).alias("t_key"), *[F.col(c).alias("t_" + c) for c in compared])
+    found = source.select(dim.key, *compared).join(known, F.col(dim.key) == F.col("t_key"), "left")
+    opens = dim.any_differs(dim.versions, lambda c: F.col("t_" + c), F.col, collation)
+    return key_map(found.filter(F.col("t_key").isNull() | opens), dim.key, "s_skey", first, keep)
 
-    The source side is kept only where it is needed; elsewhere it is NULL and costs
-    nothing to store.
-    """
-    copied = [*dim.attribute_names, *_STAMPS]
-    stored = live.withColumn("t_hit", F.lit(True))
+
+def _matched(
+    live: DataFrame, source: DataFrame, dim: Dimension, missing: str, first: Column, collation: str | None, keep: Keep
+) -> DataFrame:
+    """Live rows and source side by side with what is to happen, one row per key."""
+    numbers = _new_keys(live, source, dim, first, collation, keep).withColumnRenamed(dim.key, "s_key")
     new = lambda c: F.col("s_" + c)
     change = (
         F.when(F.col("t_hit").isNull(), INSERT)
@@ -219,33 +215,33 @@ def _changes(
         .when(dim.any_differs(dim.overwrites, F.col, new, collation), OVERWRITE)
         .otherwise(UNCHANGED)
     )
-    matched = stored.join(
-        _incoming(source, dim, copied), F.col(dim.key) == F.col("s_key"), "full_outer"
-    ).withColumn("_change", change)
-    needed = F.col("_change").isin(INSERT, NEW_VERSION, OVERWRITE)
-    return matched.select(
-        *live.columns,
-        "_change",
-        F.coalesce("s_key", dim.key).alias("s_key"),
-        *[F.when(needed, new(c)).alias("s_" + c) for c in copied],
-    )
-
+    # The numbers join the source on its key, so that the source is dealt out once for both.
+    incoming = _incoming(source, dim, [*dim.attribute_names, *_STAMPS]).join(numbers, "s_key", "left")
+    stored_rows = live.withColumn("t_hit", F.lit(True))
+    joined = stored_rows.join(incoming, F.col(dim.key) == F.col("s_key"), "full_outer")
+    return joined.withColumn("_change", change)
 
-def _stay(changes: DataFrame) -> DataFrame:
-    return changes.filter(F.col("_change") != INSERT)
 
+def _stay_and_open(matched: DataFrame, dim: Dimension, stays: dict[str, Column], opens: dict[str, Column]) -> DataFrame:
+    """The rows that each matched key gives, in one pass over the join.
 
-def _added(
-    changes: DataFrame, dim: Dimension, kinds: list[str], first: Column, *extra: Column
-) -> DataFrame:
-    """Source rows of the given kinds as new rows, keyed on from `first`."""
-    rows = changes.filter(F.col("_change").isin(*kinds)).select(
-        F.col("s_key").alias(dim.key),
-        *[F.col("s_" + c).alias(c) for c in (*dim.attribute_names, *_STAMPS)],
-        *extra,
-        F.lit(INSERT).alias("_change"),
+    stays: what becomes of a stored row's columns; opens: the columns of a new row that are
+    not the source's.
+    """
+    opens = {dim.skey: F.col("s_skey"), dim.key: F.col("s_key")} | opens
+
+    def row(values: dict[str, Column], change: Column) -> Column:
+        cells = [values[f.name].cast(f.dataType).alias(f.name) for f in dim.schema]
+        return F.struct(*cells, change.alias("_change"))
+
+    old = {f.name: stays.get(f.name, F.col(f.name)) for f in dim.schema}
+    new = {f.name: opens.get(f.name, F.col("s_" + f.name) if f.name in (*dim.attribute_names, *_STAMPS) else None) for f in dim.schema}
+    change = F.col("_change")
+    rows = F.array(
+        F.when(change != INSERT, row(old, change)),
+        F.when(change.isin(INSERT, NEW_VERSION), row(new, F.lit(INSERT))),
     )
-    return assign_keys(rows, dim.key, dim.skey, first)
+    return matched.select(F.inline(F.array_compact(rows)))
 
 
 def scd1_apply(
@@ -256,27 +252,20 @@ def scd1_apply(
     as_of,
     collation: str | None = None,
     tag: bool = False,
-    stage: Stage = _unstaged,
+    keep: Keep = stored,
 ) -> DataFrame:
     """Next snapshot of an in-place dimension; rows missing from the source stay.
 
     With `tag`, a `_change` column (INSERT, TYPE1_UPDATE or NO_CHANGE) is kept so that
     the writer can count changes while it writes.
     """
-    changes = stage(_changes(target, source, dim, UNCHANGED, collation))
+    matched = _matched(target, source, dim, UNCHANGED, next_key(target, dim.skey), collation, keep)
     stamp = {"dwh_load_date": timestamp_lit(as_of), "dwh_batch_id": F.lit(batch_id)}
     news = {c: F.col("s_" + c) for c in (*dim.attribute_names, *_STAMPS)} | stamp
     overwritten = F.col("_change") == OVERWRITE
-    stored = _stay(changes).select(
-        dim.skey,
-        dim.key,
-        *[F.when(overwritten, new).otherwise(F.col(c)).alias(c) for c, new in news.items()],
-        "_change",
-    )
-    extra = [value.alias(name) for name, value in stamp.items()]
-    added = _added(changes, dim, [INSERT], next_key(target, dim.skey), *extra)
-    both = stored.unionByName(added)
-    return both if tag else _conform(both, dim)
+    stays = {c: F.when(overwritten, value).otherwise(F.col(c)) for c, value in news.items()}
+    both = _stay_and_open(matched, dim, stays, stamp)
+    return both if tag else both.drop("_change")
 
 
 def scd2_classify(
@@ -312,49 +301,55 @@ def deleted_keys(target: DataFrame, source: DataFrame, dim: Dimension) -> DataFr
     return current_versions(target).join(source.select(dim.key), dim.key, "left_anti")
 
 
-def scd2_apply(
-    target: DataFrame,
+def scd2_next(
+    live: DataFrame,
     source: DataFrame,
     dim: Dimension,
     batch_id: str,
     as_of,
+    first: Column,
     collation: str | None = None,
-    tag: bool = False,
-    stage: Stage = _unstaged,
+    keep: Keep = stored,
 ) -> DataFrame:
-    """Next snapshot of a versioned dimension.
+    """What a load makes of the current versions: those kept, changed and ended, and new ones.
 
     A current version is kept, overwritten in place, or ended (a new version follows, or
     the source dropped the key). A key that was closed and comes back has no current
-    version, so it is an insert. With `tag`, `_change` says what happened to each row;
-    the old half of a new version is tagged SCD2_UPDATE and its new half INSERT.
+    version, so it is an insert. New rows are numbered from `first` on. `_change` says what
+    happened to each row; the old half of a new version is tagged SCD2_UPDATE and its new
+    half INSERT.
     """
     now = timestamp_lit(as_of)
-    changes = stage(_changes(current_versions(target), source, dim, CLOSED, collation))
+    matched = _matched(live, source, dim, CLOSED, first, collation, keep)
     overwritten = F.col("_change") == OVERWRITE
     ended = F.col("_change").isin(CLOSED, NEW_VERSION)
-    news = {c: F.col("s_" + c) for c in (*dim.in_place, "source_updated_at")}
-    news |= {"dwh_load_date": now, "dwh_batch_id": F.lit(batch_id)}
-    after = {c: F.when(overwritten, new).otherwise(F.col(c)) for c, new in news.items()}
-    after["valid_to"] = F.when(ended, now).otherwise(F.col("valid_to"))
-    after["is_current"] = ~ended
-    live = _stay(changes).select(
-        *[after.get(f.name, F.col(f.name)).alias(f.name) for f in dim.schema], "_change"
-    )
-    opened = _added(
-        changes,
-        dim,
-        [INSERT, NEW_VERSION],
-        next_key(target, dim.skey),
-        now.alias("valid_from"),
-        F.lit(None).cast("timestamp_ntz").alias("valid_to"),
-        F.lit(True).alias("is_current"),
-        now.alias("dwh_load_date"),
-        F.lit(batch_id).alias("dwh_batch_id"),
-    )
-    history = target.filter("not is_current").withColumn("_change", F.lit(UNCHANGED))
-    snapshot = history.unionByName(live).unionByName(opened)
-    return snapshot if tag else _conform(snapshot, dim)
+    loaded = {"dwh_load_date": now, "dwh_batch_id": F.lit(batch_id)}
+    news = {c: F.col("s_" + c) for c in (*dim.in_place, "source_updated_at")} | loaded
+    stays = {c: F.when(overwritten, value).otherwise(F.col(c)) for c, value in news.items()}
+    stays |= {"valid_to": F.when(ended, now).otherwise(F.col("valid_to")), "is_current": ~ended}
+    opens = loaded | {"valid_from": now, "valid_to": F.lit(None), "is_current": F.lit(True)}
+    return _stay_and_open(matched, dim, stays, opens)
+
+
+def scd2_apply(
+    target: DataFrame,
+    source: DataFrame,
+    dim: Dimension,
+    batch_id: str,
+    as_of,
+    collation: str | None = None,
+    tag: bool = False,
+    keep: Keep = stored,
+) -> DataFrame:
+    """Next snapshot of a versioned dimension, its closed versions included.
+
+    With `tag`, `_change` is kept; see `scd2_next`.
+    """
+    live, first = current_versions(target), next_key(target, dim.skey)
+    changed = scd2_next(live, source, dim, batch_id, as_of, first, collation, keep)
+    history = _conform(target.filter("not is_current"), dim).withColumn("_change", F.lit(UNCHANGED))
+    snapshot = history.unionByName(changed)
+    return snapshot if tag else snapshot.drop("_change")
 
 
 def change_counts(

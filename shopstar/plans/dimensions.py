@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstar.functions import age, age_band, date_key, time_key, timestamp_lit, us_week
-from shopstar.operators.keys import assign_keys
+from shopstar.operators.keys import Keep, key_map
 from shopstar.session import one_row
+from shopstar.sources.scratch import stored
 
 UNKNOWN_KEY = -1
+# Year and month in one number; facts are filed by it.
+MONTH = "year_month"
 # Default calendar range, part-of-day labels with their last hour, and
 # the texts of unknown members.
 CALENDAR_START, CALENDAR_END = date(2023, 1, 1), date(2030, 12, 31)
@@ -30,6 +33,7 @@ def calendar_days(bounds: DataFrame) -> DataFrame:
         F.year(day).alias("year"),
         F.quarter(day).alias("quarter"),
         F.month(day).alias("month"),
+        (F.year(day) * 100 + F.month(day)).alias(MONTH),
         F.date_format(day, "MMMM").alias("month_name"),
         us_week(day).alias("week_of_year"),
         F.dayofweek(day).alias("day_of_week"),
@@ -89,34 +93,25 @@ def _unknown_member(spark: SparkSession, like: DataFrame, **values) -> DataFrame
     return one_row(spark).select(*columns)
 
 
-def _key_lookup(current: DataFrame, business_key: str, key: str) -> DataFrame:
-    """Business key to surrogate key alone, the unknown member included.
+def customer_keys(customers: DataFrame, keep: Keep = stored) -> DataFrame:
+    """customer_id to customer_key, 1, 2, ... by id, of the current customers; stored.
 
-    The numbers follow the business key only, so they are those of the full dimension;
-    a fact built in one go with its dimensions need not wait for their attributes.
+    The unknown member is not among them: a fact gives its key to whatever is not found.
     """
-    keyed = assign_keys(current.select(business_key), business_key, key)
-    unknown = _unknown_member(
-        current.sparkSession, keyed, **{business_key: UNKNOWN_KEY, key: UNKNOWN_KEY}
-    )
-    return keyed.unionByName(unknown)
-
-
-def customer_keys(customers: DataFrame) -> DataFrame:
-    return _key_lookup(customers.filter("is_current"), "customer_id", "customer_key")
+    return key_map(customers.filter("is_current"), "customer_id", "customer_key", keep=keep)
 
 
-def product_keys(products: DataFrame) -> DataFrame:
-    return _key_lookup(products.filter("is_current"), "product_id", "product_key")
+def product_keys(products: DataFrame, keep: Keep = stored) -> DataFrame:
+    """product_id to product_key, like the customers'."""
+    return key_map(products.filter("is_current"), "product_id", "product_key", keep=keep)
 
 
-def dim_customers(customers: DataFrame, addresses: DataFrame, as_of) -> DataFrame:
-    """Current customers with address and age, keyed 1, 2, ... by customer id."""
+def dim_customers(customers: DataFrame, addresses: DataFrame, as_of, numbers: DataFrame) -> DataFrame:
+    """Current customers with address and age under the keys that `numbers` gives them."""
     today = timestamp_lit(as_of)
     born = F.col("date_of_birth")
     place = addresses.select("address_id", "city", "country")
     live = customers.filter("is_current")
-    numbers = assign_keys(live.select("customer_id"), "customer_id", "customer_key")
     current = live.join(numbers, "customer_id").join(place, "address_id", "left")
     keyed = current.select(
         "customer_key",
@@ -142,7 +137,7 @@ def dim_customers(customers: DataFrame, addresses: DataFrame, as_of) -> DataFram
     return keyed.unionByName(unknown)
 
 
-def dim_products(products: DataFrame, brands: DataFrame, categories: DataFrame) -> DataFrame:
+def dim_products(products: DataFrame, brands: DataFrame, categories: DataFrame, numbers: DataFrame) -> DataFrame:
     """Current products with brand, own category and the category one level up."""
     own = categories.select(
         "category_id", F.col("category_name").alias("own_name"), "parent_category_id"
@@ -154,7 +149,6 @@ def dim_products(products: DataFrame, brands: DataFrame, categories: DataFrame)
     labelled = own.join(parent, "parent_category_id", "left").drop("parent_category_id")
     brand = brands.select("brand_id", F.col("brand_name").alias("own_brand"))
     live = products.filter("is_current")
-    numbers = assign_keys(live.select("product_id"), "product_id", "product_key")
     keyed = (
         live.join(numbers, "product_id")
         .join(brand, "brand_id", "left")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from shopstar.functions import date_key, seconds_between, time_key
 from shopstar.operators.cleaning import line_total
-from shopstar.plans.dimensions import UNKNOWN_KEY
+from shopstar.plans.dimensions import MONTH, UNKNOWN_KEY
 
 UNKNOWN_PAYMENT = "Unknown"
 
@@ -29,6 +29,11 @@ def _customer_keys(dim_customers: DataFrame, business_key: str) -> DataFrame:
     return dim_customers.select(F.col("customer_id").alias(business_key), "customer_key")
 
 
+def by_month(rows: DataFrame, date_key: str) -> DataFrame:
+    """Adds year_month and deals the rows out by it; a crowded month is cut up again."""
+    return rows.withColumn(MONTH, F.floor(F.col(date_key) / 100).cast("int")).hint("rebalance", MONTH)
+
+
 def fact_sales(
     orders: DataFrame,
     order_items: DataFrame,

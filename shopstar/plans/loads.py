@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 from shopstar.functions import timestamp_lit
 from shopstar.operators import cleaning, ingest, quality, scd
 from shopstar.operators.evolution import conform
-from shopstar.operators.keys import dense_identity
+from shopstar.operators.keys import next_key
 from shopstar.operators.quality import FAILED, SUCCESS
 from shopstar.plans import dimensions, facts, marts
 from shopstar.schemas import SOURCES, SourceTable
 from shopstar.session import bytes_under, size_shuffles, tune
+from shopstar.sources import store
 from shopstar.sources.files import read_delimited
-from shopstar.sources.snapshots import Lake, Layer, now
+from shopstar.sources.snapshots import Lake, Layer, now, read_parts
 
 # What happens to lines that do not fit their layout, however many they are.
 QUARANTINE, FAIL = "quarantine", "fail"
@@ -59,8 +60,12 @@ GOLD_ORDER = (
     "fact_web_analytics",
     "fact_returns",
 )
-# The facts' folders, and the date each fact is filed under.
-MONTH = "year_month"
+# The running numbers of facts, and the date whose month each fact is filed under.
+NUMBER_OF = {
+    "fact_sales": "sales_key",
+    "fact_web_analytics": "web_analytics_key",
+    "fact_returns": "return_key",
+}
 MONTH_OF = {
     "fact_sessions": "start_date_key",
     "fact_sales": "date_key",
@@ -137,24 +142,26 @@ def load_bronze(
 def _load_raw(
     lake: Lake, text: DataFrame, table: SourceTable, batch_id: str, as_of, on_malformed: str
 ) -> dict:
-    """Parse once, store sound and broken lines, then check the constraints as stored."""
-    with lake.scratch() as scratch:
-        parsed = scratch.keep(ingest.stamp(ingest.type_cells(text, table), batch_id, as_of))
-        broken = ingest.rejected(parsed).withColumnRenamed(ingest.CORRUPT, "line")
-        broken = broken.withColumn("load_batch_id", F.lit(batch_id))
-        found = {"rows_rejected": broken.count()}
-        if found["rows_rejected"]:
-            place, _ = lake.write("bronze", f"rejected/{table.name}", broken)
-            found["rejected_location"] = place
-            if on_malformed == FAIL:
-                raise LoadError(f"{found['rows_rejected']} malformed lines", found)
-        location, counts = lake.write("bronze", table.name, ingest.accepted(parsed))
-    violated = quality.table_violations(lake.spark.read.parquet(location), table)
-    rules = violated.filter("violations > 0").collect()
+    """Parse and store sound and broken lines in one pass, then check the constraints as stored."""
+    typed = ingest.stamp(ingest.type_cells(text, table), batch_id, as_of)
+    sound = F.col("accepted")
+    counts = {"rows": F.count(F.when(sound, 1)), "broken": F.count(F.when(~sound, 1))}
+    place, seen = lake.write("bronze", table.name, ingest.by_outcome(typed, batch_id), counts, by="accepted")
+    found = {"rows_rejected": seen["broken"]}
+    if seen["broken"]:
+        found["rejected_location"] = f"{place}/accepted=false"
+        if on_malformed == FAIL:
+            raise LoadError(f"{seen['broken']} malformed lines", found)
+    location = f"{place}/accepted=true"
+    if not seen["rows"]:
+        # No row, no folder: an empty file keeps the layout.
+        ingest.accepted(typed).limit(0).write.parquet(location)
+    rows = lake.spark.read.parquet(location)
+    rules = quality.table_violations(rows, table).filter("violations > 0").collect()
     if rules:
         told = "; ".join(f"{b.rule} {b.column_name}: {b.violations}" for b in rules)
         raise LoadError(told, found)
-    return dict(location=location, row_count=counts["rows"], **found)
+    return dict(location=location, row_count=seen["rows"], **found)
 
 
 # --- Silver --------------------------------------------------------------------------
@@ -182,24 +189,114 @@ def _changed(*kinds: str) -> Column:
 
 
 def _load_dimension(
-    lake: Lake, name: str, target: DataFrame | None, cleaned: DataFrame, batch_id, as_of, collation
+    lake: Lake, name: str, silver: Layer, cleaned: DataFrame, batch_id, as_of, collation
 ) -> dict:
     dim = scd.DIMENSIONS[name]
-    # A snapshot stored under an older layout has NULL in the columns added since.
-    target = scd.empty(lake.spark, dim) if target is None else conform(target, dim.schema)
-    apply = scd.scd2_apply if dim.versioned else scd.scd1_apply
-    counts = {"rows_inserted": _changed(scd.INSERT, scd.OVERWRITE)}
     if dim.versioned:
-        counts = {
-            "rows_inserted": _changed(scd.INSERT),
-            "rows_updated": _changed(scd.NEW_VERSION),
-            "rows_deleted": _changed(scd.CLOSED),
-        }
+        return _load_versions(lake, dim, silver, cleaned, batch_id, as_of, collation)
+    target = _conformed(lake, dim, silver.get(name))
     with lake.scratch() as scratch:
-        rows = apply(target, cleaned, dim, batch_id, as_of, collation, True, scratch.keep)
+        rows = scd.scd1_apply(target, cleaned, dim, batch_id, as_of, collation, True, scratch.keep)
+        counts = {"rows_inserted": _changed(scd.INSERT, scd.OVERWRITE)}
         location, counted = lake.write("silver", name, rows, counts)
-    kind = "Type 2" if dim.versioned else "Type 1"
-    return dict(location=location, scd_type=kind, **counted)
+    return dict(location=location, scd_type="Type 1", **counted)
+
+
+def load_dimension(lake: Lake, name: str, cleaned: DataFrame, batch_id: str, as_of, collation=None) -> dict:
+    """Maintain one dimension of a lake with cleaned source rows, and log it."""
+    started = now()
+    outcome = _load_dimension(lake, name, lake.layer("silver"), cleaned, batch_id, as_of, collation)
+    lake.append_log("silver", _silver_record(name, started, batch_id, None) | outcome | {"status": SUCCESS})
+    return outcome
+
+
+def _silver_record(name: str, started: datetime, batch_id: str, source_batch_id: str | None) -> dict:
+    ended = now()
+    return dict(
+        table_name=name,
+        source_layer="bronze",
+        load_start_time=started,
+        load_end_time=ended,
+        silver_batch_id=batch_id,
+        source_batch_id=source_batch_id,
+        created_at=ended,
+    )
+
+
+def _conformed(lake: Lake, dim: scd.Dimension, rows: DataFrame | None) -> DataFrame:
+    """A stored snapshot; under an older layout it has NULL in the columns added since."""
+    return scd.empty(lake.spark, dim) if rows is None else conform(rows, dim.schema)
+
+
+# Columns that part a versioned dimension into folders, and how many folders of closed versions
+# a snapshot may list before small ones are written together.
+CURRENT = "is_current"
+CLOSED_FOLDERS = 16
+
+
+def _load_versions(
+    lake: Lake, dim: scd.Dimension, silver: Layer, cleaned: DataFrame, batch_id, as_of, collation
+) -> dict:
+    """Write current versions and those ended by this load; list the folders of older ones.
+
+    Versions ended before are neither read nor written: their folders are only named again.
+    """
+    target = _conformed(lake, dim, silver.get(dim.name))
+    top = silver.top_key(dim.name)
+    first = next_key(target, dim.skey) if top is None else F.lit(top + 1)
+    history = [f for f in silver.folders(dim.name) if f.endswith(f"/{CURRENT}=false")]
+    counts = {
+        "rows_inserted": _changed(scd.INSERT),
+        "rows_updated": _changed(scd.NEW_VERSION),
+        "rows_deleted": _changed(scd.CLOSED),
+        "current": F.count(F.when(F.col(CURRENT), 1)),
+        "top_key": F.max(dim.skey),
+    }
+    with lake.scratch() as scratch:
+        rows = scd.scd2_next(
+            scd.current_versions(target), cleaned, dim, batch_id, as_of, first, collation, scratch.keep
+        )
+        kept, joined = _compacted(lake, history)
+        older = None
+        if silver.folders(dim.name) and not _in_parts(silver, dim.name):
+            # Written as one folder by an earlier layout of the lake.
+            older = target.filter(f"not {CURRENT}")
+        elif joined:
+            older = _conformed(lake, dim, read_parts(lake.spark, joined))
+        if older is not None:
+            rows = rows.unionByName(older.withColumn("_change", F.lit(scd.UNCHANGED)))
+        location, counted = lake.write("silver", dim.name, rows, counts, by=CURRENT)
+    wrote = {value: f"{location}/{CURRENT}={value}" for value in ("true", "false")}
+    parts = [path for path in wrote.values() if store.exists(lake.spark, path)] + kept
+    if not parts:
+        # A dimension without a single version: an empty file keeps the layout.
+        scd.empty(lake.spark, dim).drop(CURRENT).write.parquet(wrote["true"])
+        parts = [wrote["true"]]
+    counted["top_key"] = max(counted["top_key"], top or 0)
+    counted.pop("current")
+    return dict(location=location, parts=parts, scd_type="Type 2", **counted)
+
+
+def _in_parts(silver: Layer, name: str) -> bool:
+    return any(f"/{CURRENT}=" in folder for folder in silver.folders(name))
+
+
+def _compacted(lake: Lake, folders: list[str]) -> tuple[list[str], list[str]]:
+    """Folders of closed versions, newest first: those to list on, and those to write together.
+
+    Beyond CLOSED_FOLDERS the newest are joined, and with them each older one up to twice
+    as large as all joined so far, so that a row is written anew only as its folder doubles.
+    """
+    if len(folders) < CLOSED_FOLDERS:
+        return folders, []
+    joined, size = folders[:2], bytes_under(lake.spark, *folders[:2])
+    for folder in folders[2:]:
+        more = bytes_under(lake.spark, folder)
+        if more > 2 * size:
+            break
+        joined.append(folder)
+        size += more
+    return folders[len(joined) :], joined
 
 
 def _load_fact_rows(lake: Lake, name: str, cleaned: DataFrame, batch_id, as_of) -> dict:
@@ -209,10 +306,8 @@ def _load_fact_rows(lake: Lake, name: str, cleaned: DataFrame, batch_id, as_of)
     rows = cleaned.withColumns(
         {"dwh_load_date": timestamp_lit(as_of), "dwh_batch_id": F.lit(batch_id)}
     )
-    with lake.scratch() as scratch:
-        numbered = dense_identity(rows, skey, scratch.keep)
-        location, counted = lake.write("silver", name, numbered)
-    return dict(location=location, scd_type="Fact", rows_inserted=counted["rows"])
+    location, counted = lake.write("silver", name, rows, numbered=True)
+    return dict(location=location, identity=skey, scd_type="Fact", rows_inserted=counted["rows"])
 
 
 def load_silver(
@@ -250,7 +345,7 @@ def load_silver(
             cleaned = _cleaner(name, as_of, ignore_case=collation is not None)(raw)
             if name in scd.DIMENSIONS:
                 outcome = _load_dimension(
-                    lake, name, silver.get(name), cleaned, batch_id, as_of, collation
+                    lake, name, silver, cleaned, batch_id, as_of, collation
                 )
             else:
                 outcome = _load_fact_rows(lake, name, cleaned, batch_id, as_of)
@@ -259,17 +354,7 @@ def load_silver(
             outcome = dict(status=SKIPPED, error_message=str(reason))
         except Exception as error:  # noqa: BLE001 - one table must not stop the others
             outcome = dict(status=FAILED, error_message=_message(error))
-        ended = now()
-        record = dict(
-            table_name=name,
-            source_layer="bronze",
-            load_start_time=started,
-            load_end_time=ended,
-            silver_batch_id=batch_id,
-            source_batch_id=source_batch_id,
-            created_at=ended,
-        )
-        lake.append_log("silver", record | outcome)
+        lake.append_log("silver", _silver_record(name, started, batch_id, source_batch_id) | outcome)
     return quality.run_summary(lake.log("silver"), batch_id)
 
 
@@ -282,58 +367,59 @@ def _gold_builders(
     """Tables in load order; facts read the dimensions written just before them."""
     gold = lambda name: spark.read.parquet(fresh[name])
     loaded = lambda rows: rows.withColumn("dwh_load_date", timestamp_lit(as_of))
-    numbered = lambda rows, key: dense_identity(loaded(rows), key, keep)
     return {
         "dim_date": lambda: dimensions.dim_date(spark, *calendar),
         "dim_time": lambda: dimensions.dim_time(spark),
         "dim_customers": lambda: loaded(
-            dimensions.dim_customers(silver["customers"], silver["addresses"], as_of)
+            dimensions.dim_customers(
+                silver["customers"],
+                silver["addresses"],
+                as_of,
+                dimensions.customer_keys(silver["customers"], keep),
+            )
         ),
         "dim_products": lambda: loaded(
-            dimensions.dim_products(silver["products"], silver["brands"], silver["categories"])
+            dimensions.dim_products(
+                silver["products"],
+                silver["brands"],
+                silver["categories"],
+                dimensions.product_keys(silver["products"], keep),
+            )
         ),
         "fact_sessions": lambda: loaded(
             facts.fact_sessions(
-                silver["website_sessions"],
-                silver["pageviews"],
-                silver["orders"],
+                silver.bare("website_sessions"),
+                silver.bare("pageviews"),
+                silver.bare("orders"),
                 gold("dim_customers"),
             )
         ),
-        "fact_sales": lambda: numbered(
+        "fact_sales": lambda: loaded(
             facts.fact_sales(
-                silver["orders"],
-                silver["order_items"],
+                silver.bare("orders"),
+                silver.bare("order_items"),
                 gold("dim_customers"),
                 gold("dim_products"),
                 silver["payment_methods"],
-            ),
-            "sales_key",
+            )
         ),
-        "fact_web_analytics": lambda: numbered(
+        "fact_web_analytics": lambda: loaded(
             facts.fact_web_analytics(
-                silver["pageviews"], silver["website_sessions"], gold("dim_customers")
-            ),
-            "web_analytics_key",
+                silver.bare("pageviews"), silver.bare("website_sessions"), gold("dim_customers")
+            )
         ),
-        "fact_returns": lambda: numbered(
+        "fact_returns": lambda: loaded(
             facts.fact_returns(
-                silver["order_item_returns"],
-                silver["order_items"],
-                silver["orders"],
+                silver.bare("order_item_returns"),
+                silver.bare("order_items"),
+                silver.bare("orders"),
                 gold("dim_customers"),
                 gold("dim_products"),
-            ),
-            "return_key",
+            )
         ),
     }
 
 
-def by_month(rows: DataFrame, date_key: str) -> DataFrame:
-    """Adds year_month and deals the rows out by it; a crowded month is cut up again."""
-    return rows.withColumn(MONTH, F.floor(F.col(date_key) / 100).cast("int")).hint("rebalance", MONTH)
-
-
 def load_gold(
     spark: SparkSession,
     root: str,
@@ -344,7 +430,8 @@ def load_gold(
 
     Dimension keys start over on every rebuild, so the tables become valid together: a
     load that fails half-way leaves the star schema of the load before in place. Facts
-    have a folder for each month, so that reports over a span of time read no other.
+    have a folder for each month; a report that restricts the calendar reads no other.
+    They are written once: their running numbers follow from the place of the rows.
     """
     lake = Lake(tune(spark), root)
     as_of = as_of or now()
@@ -361,9 +448,9 @@ def load_gold(
                     builders = _gold_builders(spark, silver, fresh, as_of, calendar, scratch.keep)
                     rows, month = builders[name](), MONTH_OF.get(name)
                     if month:
-                        rows = by_month(rows, month)
+                        rows = facts.by_month(rows, month)
                     fresh[name], counted = lake.write(
-                        "gold", name, rows, by=MONTH if month else None
+                        "gold", name, rows, by=dimensions.MONTH if month else None, numbered=name in NUMBER_OF
                     )
             except Exception as error:
                 lake.append_log("gold", _gold_record(name, started, error=error))
@@ -383,6 +470,7 @@ def _gold_record(name: str, started, rows: int = 0, location=None, error=None) -
         load_end_time=now(),
         rows_inserted=rows,
         location=location,
+        identity=NUMBER_OF.get(name),
         status=GOLD_ERROR if error else SUCCESS,
         error_message=_message(error) if error else None,
     )
@@ -391,8 +479,8 @@ def _gold_record(name: str, started, rows: int = 0, location=None, error=None) -
 def register_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The four reporting views over the stored star schema, by name."""
     gold = Lake(tune(spark), root).layer("gold")
-    sales, sessions = gold["fact_sales"], gold["fact_sessions"]
-    web, people, days = gold["fact_web_analytics"], gold["dim_customers"], gold["dim_date"]
+    sales, sessions, web = (gold.bare(f) for f in ("fact_sales", "fact_sessions", "fact_web_analytics"))
+    people, days = gold["dim_customers"], gold["dim_date"]
     views = {
         SALES_VIEW: marts.sales_summary(sales, days, people),
         CAMPAIGN_VIEW: marts.campaign_summary(sessions, days, web, sales),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from shopstar.functions import ratio
 from shopstar.operators.sequence import number_in_group
-from shopstar.plans.dimensions import UNKNOWN_KEY
+from shopstar.plans.dimensions import MONTH, UNKNOWN_KEY
 
 
 def session_attributes(web: DataFrame, *columns: str) -> DataFrame:
@@ -23,6 +23,20 @@ def session_attributes(web: DataFrame, *columns: str) -> DataFrame:
     return web.select("session_key", *columns).distinct()
 
 
+def _dated(facts: DataFrame, dim_date: DataFrame, date_key: str, *columns: str) -> DataFrame:
+    """Facts with columns of their day; those outside the calendar are left out.
+
+    Stored facts have a folder for each month. Joined on the month as well, they are read
+    only in the months that a filter on the calendar leaves (dynamic partition pruning).
+    """
+    month = [MONTH] if MONTH in facts.columns else []
+    # In the calendar's own order: the pruning uses the join's broadcast only if both plans
+    # are the same, and one of them would carry a projection that turns columns round.
+    read = [c for c in dim_date.columns if c in ("date_key", *month, *columns)]
+    days = dim_date.select(*read).withColumnRenamed("date_key", date_key)
+    return facts.join(days, [date_key, *month])
+
+
 def sales_summary(
     fact_sales: DataFrame, dim_date: DataFrame, dim_customers: DataFrame | None
 ) -> DataFrame:
@@ -39,7 +53,7 @@ def sales_summary(
         "total_units_sold": "quantity",
     }
     per_order = (
-        fact_sales.join(dim_date.select("date_key", *month), "date_key")
+        _dated(fact_sales, dim_date, "date_key", *month)
         .groupBy(*month, "customer_key", "order_id")
         .agg(
             F.count("*").alias("num_line_items"),
@@ -80,11 +94,9 @@ def campaign_summary(
     inner join with the sales on the left, so a session holding many orders can be split.
     """
     cell = ["utm_campaign", "year", "month"]
-    days = dim_date.select(F.col("date_key").alias("start_date_key"), "year", "month")
     tagged = session_attributes(web.filter("utm_campaign is not null"), "utm_campaign")
     visits = (
-        fact_sessions.select("session_key", "start_date_key")
-        .join(days, "start_date_key")
+        _dated(fact_sessions, dim_date, "start_date_key", "year", "month")
         .join(tagged, "session_key")
         .select("session_key", *cell)
     )

@@ -22,7 +22,8 @@ from shopstar.operators.evolution import conform
 from shopstar.plans import dimensions, facts, marts
 from shopstar.schemas import SOURCES
 from shopstar.session import tune
-from shopstar.sources.scratch import stored
+from shopstar.sources.scratch import session_folder, stored
+from shopstar.sources.snapshots import Lake, numbered
 from shopstar.warehouse import AS_OF, LOADS, Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -299,6 +300,12 @@ def scd2_products(w: Warehouse) -> DataFrame:
     return w.snapshot("products", 3)
 
 
+@query
+def scd2_products_in_folders(w: Warehouse) -> DataFrame:
+    """Products after three loads, each of which stores what it changed and lists the rest."""
+    return w.maintained("products", 3)
+
+
 @query
 def scd2_change_counts(w: Warehouse) -> DataFrame:
     counted = [
@@ -320,7 +327,7 @@ def scd2_deleted_keys(w: Warehouse) -> DataFrame:
 def surrogate_keys(w: Warehouse) -> DataFrame:
     """Dense keys for the sparse order numbers, in their order."""
     sparse = w.raw.raw("orders").select((F.col("order_id") * 7 + 13).alias("business_key"))
-    return keys.assign_keys(sparse, "business_key", "surrogate_key")
+    return keys.key_map(sparse, "business_key", "surrogate_key")
 
 
 # --- Expressions ---------------------------------------------------------------------
@@ -407,6 +414,22 @@ def fact_sales(w: Warehouse) -> DataFrame:
     return w.fact_sales
 
 
+@query
+def fact_sales_numbers(w: Warehouse) -> DataFrame:
+    """Sales stored by month and numbered by their place: how many, and the numbers given."""
+    place = Lake(w.spark, session_folder(w.spark))
+    rows = facts.by_month(w.sales_for_marts, "date_key")
+    location, counted = place.write("gold", "fact_sales", rows, by=dimensions.MONTH, numbered=True)
+    found = numbered(w.spark, location, "sales_key")
+    return found.agg(
+        F.count("*").alias("sales"),
+        F.min("sales_key").alias("first_key"),
+        F.max("sales_key").alias("last_key"),
+        F.countDistinct("sales_key").alias("different_keys"),
+        F.sum("total_amount").alias("total_amount"),
+    )
+
+
 @query
 def fact_sessions(w: Warehouse) -> DataFrame:
     return w.fact_sessions
@@ -445,6 +468,21 @@ def mart_sales_summary(w: Warehouse) -> DataFrame:
     return w.mart_sales_summary()
 
 
+@query
+def mart_sales_one_month(w: Warehouse) -> DataFrame:
+    """The sales report of one month, over sales that have a folder for each month."""
+    filed = stored(facts.by_month(w.sales_for_marts, "date_key"), by=dimensions.MONTH)
+    return marts.sales_summary(filed, w.dim_date, None).filter("year = 1997 and month = 3")
+
+
+@query
+def mart_campaigns_one_month(w: Warehouse) -> DataFrame:
+    """The campaigns of one month, over sessions that have a folder for each month."""
+    filed = stored(facts.by_month(w.sessions_for_marts, "start_date_key"), by=dimensions.MONTH)
+    report = marts.campaign_summary(filed, w.dim_date, w.page_visits, w.sales_for_marts)
+    return report.filter("year = 2024 and month = 1")
+
+
 @query
 def mart_campaign_summary(w: Warehouse) -> DataFrame:
     return w.mart_campaign_summary()

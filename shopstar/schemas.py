@@ -127,7 +127,9 @@ _SOURCES = (
 )
 SOURCES: dict[str, SourceTable] = {table.name: table for table in _SOURCES}
 
-# Run logs, one layout per layer. `location` names the published snapshot.
+# Run logs, one layout per layer. `location` names the published snapshot, `parts` the folders
+# it consists of where they are several, `top_key` the largest surrogate key given so far, and
+# `identity` a running number that its rows have by their place in its files.
 LOGS = {
     "bronze": (
         "table_name STRING NOT NULL, source_system STRING, load_start_time TIMESTAMP_NTZ, "
@@ -141,11 +143,12 @@ LOGS = {
         "load_start_time TIMESTAMP_NTZ, load_end_time TIMESTAMP_NTZ, "
         "silver_batch_id STRING NOT NULL, source_batch_id STRING, rows_inserted BIGINT, "
         "rows_updated BIGINT, rows_deleted BIGINT, scd_type STRING, status STRING NOT NULL, "
-        "error_message STRING, created_at TIMESTAMP_NTZ NOT NULL, location STRING"
+        "error_message STRING, created_at TIMESTAMP_NTZ NOT NULL, location STRING, "
+        "parts ARRAY<STRING>, top_key BIGINT, identity STRING"
     ),
     "gold": (
         "table_name STRING, source_layer STRING NOT NULL, load_start_time TIMESTAMP_NTZ, "
         "load_end_time TIMESTAMP_NTZ, rows_inserted BIGINT, status STRING, "
-        "error_message STRING, location STRING"
+        "error_message STRING, location STRING, identity STRING"
     ),
 }

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from shopstar.session import CHECKPOINT_DIR
+from shopstar.sources.store import remove
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -17,12 +20,6 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a file or folder in whichever store it lies; nothing if it is not there."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
 class Scratch:
     """Tables written under one folder, which leaving the `with` block removes.
 
@@ -36,10 +33,10 @@ class Scratch:
         self.path = f"{folder or shared_folder(spark)}/shopstar/{uuid.uuid4().hex}"
         self._paths: dict[int, str] = {}
 
-    def keep(self, rows: DataFrame) -> DataFrame:
-        """The same rows, written once and read back."""
+    def keep(self, rows: DataFrame, by: str | None = None) -> DataFrame:
+        """The same rows, written once and read back; `by`: with a folder for each value."""
         path = f"{self.path}/{uuid.uuid4().hex}"
-        rows.write.parquet(path)
+        (rows.write.partitionBy(by) if by else rows.write).parquet(path)
         kept = self.spark.read.schema(rows.schema).parquet(path)
         self._paths[id(kept)] = path
         return kept
@@ -58,6 +55,32 @@ class Scratch:
         self.close()
 
 
-def stored(rows: DataFrame) -> DataFrame:
-    """The same rows, written to the shared folder and read back; the caller's to remove."""
-    return Scratch(rows.sparkSession).keep(rows)
+_left: list[tuple[object, object]] = []
+
+
+def session_folder(spark: SparkSession) -> str:
+    """A new folder, under the shared one, that is removed when this driver program ends."""
+    path = f"{shared_folder(spark)}/shopstar/{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    _left.append((place.getFileSystem(spark._jsc.hadoopConfiguration()), place))
+    return path
+
+
+def stored(rows: DataFrame, by: str | None = None) -> DataFrame:
+    """The same rows, written to the shared folder and read back.
+
+    They stay as long as this driver program, since whatever is derived from them is read
+    later.
+    """
+    path = session_folder(rows.sparkSession)
+    return Scratch(rows.sparkSession, path).keep(rows, by)
+
+
+@atexit.register
+def remove_stored() -> None:
+    """Remove the folders that were to last as long as the program."""
+    while _left:
+        store, place = _left.pop()
+        # The JVM may be gone before the program is; then the folder's owner has to tidy up.
+        with contextlib.suppress(Exception):
+            store.delete(place, True)

@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstar.operators import cleaning, scd
-from shopstar.plans import dimensions, facts, marts
+from shopstar.plans import dimensions, facts, loads, marts
 from shopstar.session import bytes_under, size_shuffles
-from shopstar.sources.scratch import stored
+from shopstar.sources.scratch import session_folder, stored
+from shopstar.sources.snapshots import Lake
 from shopstar.sources.tables import ShopTables, later_batch
 
 # Load moments and batch ids; fixed so that every run gives the same rows.
@@ -72,12 +73,16 @@ class Warehouse:
         table = scd.empty(self.spark, dim)
         for batch, (batch_id, moment) in enumerate(LOADS[:batches], start=1):
             source = self.cleaned(name, batch)
-            if batch > 1:
-                table = apply(stored(table), source, dim, batch_id, moment, stage=stored)
-            else:
-                table = apply(table, source, dim, batch_id, moment)
+            table = apply(stored(table) if batch > 1 else table, source, dim, batch_id, moment)
         return table
 
+    def maintained(self, name: str, batches: int) -> DataFrame:
+        """Dimension after the first so many loads into a lake, which runs them like any load."""
+        lake = Lake(self.spark, session_folder(self.spark))
+        for batch, (batch_id, moment) in enumerate(LOADS[:batches], start=1):
+            loads.load_dimension(lake, name, self.cleaned(name, batch), batch_id, moment)
+        return lake.read("silver", name)
+
     @cached_property
     def dim_date(self) -> DataFrame:
         return dimensions.dim_date(self.spark, *CALENDAR)
@@ -85,13 +90,16 @@ class Warehouse:
     @cached_property
     def dim_customers(self) -> DataFrame:
         return dimensions.dim_customers(
-            self.first_load("customers"), self.cleaned("addresses"), AS_OF
+            self.first_load("customers"), self.cleaned("addresses"), AS_OF, self.customer_keys
         )
 
     @cached_property
     def dim_products(self) -> DataFrame:
         return dimensions.dim_products(
-            self.first_load("products"), self.cleaned("brands"), self.cleaned("categories")
+            self.first_load("products"),
+            self.cleaned("brands"),
+            self.cleaned("categories"),
+            self.product_keys,
         )
 
     @cached_property
@@ -170,6 +178,8 @@ class Warehouse:
         return marts.abandonment_rate(self.page_visits, self.sessions_for_marts)
 
     def mart_customer_summary(self) -> DataFrame:
+        """The mart reads the sessions four times over, so they are built and stored once."""
+        sessions = self.fact_sessions.drop("total_pageviews", "duration_seconds")
         return marts.customer_summary(
-            self.fact_sessions, self.page_visits, self.dim_customers, self.sales_for_marts
+            stored(sessions), self.page_visits, self.dim_customers, self.sales_for_marts
         )

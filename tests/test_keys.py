@@ -6,7 +6,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from shopstar.operators.keys import assign_keys, dense_identity, next_key, range_of
+from shopstar.operators.keys import assign_keys, dense_identity, key_map, next_key
 from shopstar.operators.sequence import number_in_group
 from shopstar.plans import dimensions
 from shopstar.sources.scratch import stored
@@ -15,9 +15,9 @@ from shopstar.sources.scratch import stored
 def test_keys_are_dense_over_sparse_and_negative_keys(spark):
     keys = random.Random(1).sample(range(-50_000, 5_000_000), 3_000)
     rows = spark.createDataFrame([(k,) for k in keys], "k BIGINT")
-    got = assign_keys(rows, "k", "n", width=1_000).orderBy("n").collect()
+    got = assign_keys(rows, "k", "n").orderBy("n").collect()
     assert [(r.k, r.n) for r in got] == [(k, i + 1) for i, k in enumerate(sorted(keys))]
-    shifted = assign_keys(rows, "k", "n", first=next_key(rows.selectExpr("7 AS s"), "s"), width=99)
+    shifted = assign_keys(rows, "k", "n", first=next_key(rows.selectExpr("7 AS s"), "s"))
     assert shifted.agg(F.min("n"), F.max("n")).first() == (8, 3_007)
 
 
@@ -30,9 +30,31 @@ def test_keys_of_the_whole_span(spark):
     assert [(r.k, r.n) for r in got] == [(k, i + 1) for i, k in enumerate(sorted(keys))]
 
 
-def test_ranges_are_as_wide_below_zero(spark):
-    sizes = spark.range(-1_000, 1_000).groupBy(range_of("id", 10)).count()
-    assert {r["count"] for r in sizes.collect()} == {10}
+def test_keys_are_plain_columns_of_a_stored_table(spark):
+    """No exchange, join or window is left for the plans that read a key map."""
+    rows = spark.range(0, 30_000, 1, 7).select((F.col("id") * 7919 % 30_011 - 9_000).alias("k"))
+    got = key_map(rows, "k", "n")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Exchange", "Join", "Window", "Sort"))
+    found = [r.k for r in got.orderBy("n").collect()]
+    assert found == sorted(found) and len(found) == 30_000
+    assert got.agg(F.min("n"), F.max("n")).first() == (1, 30_000)
+    assert key_map(rows.filter("k > 99999"), "k", "n").count() == 0
+
+
+def test_keys_over_many_tasks(spark):
+    """Tasks without rows, and one key range that holds nearly all rows."""
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        rows = spark.createDataFrame([(k,) for k in [*range(25), -(1 << 62), 1 << 62]], "k BIGINT")
+        got = key_map(rows, "k", "n", first=F.lit(100)).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert sorted((r.n, r.k) for r in got) == [(100 + i, k) for i, k in enumerate(sorted(r.k for r in got))]
 
 
 def test_rows_without_a_key_stay(spark):

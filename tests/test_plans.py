@@ -30,15 +30,38 @@ def test_plan_scales(spark, sf_dir, no_small_tables, key):
     plan = physical(QUERIES[key](spark, sf_dir))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert "EvalPython" not in plan and "MapInPandas" not in plan
-    # No window over all rows in one task; running totals see one row per block of keys.
+    # No window over all rows in one task.
     lines = plan.splitlines()
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
             above = " ".join(lines[max(0, i - 3) : i])
-            assert "Window" not in above or "_block" in above, above
+            assert "Window" not in above, above
     assert "BroadcastExchange" not in plan
 
 
+@pytest.mark.parametrize(
+    "key, scans, exchanges",
+    [
+        ("surrogate_keys", 1, 0),
+        ("scd1_addresses", 12, 6),
+        ("scd2_customers", 10, 6),
+        ("fact_web_analytics", 5, 4),
+        ("mart_customer_summary", 20, 40),
+    ],
+)
+def test_keys_cost_a_plan_nothing(spark, sf_dir, key, scans, exchanges):
+    """Keys are read from where they were stored once, in every branch of a plan."""
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = physical(QUERIES[key](spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert plan.count("FileScan") <= scans
+    assert len(re.findall(r"(?<!Reused)Exchange hashpartitioning", plan)) <= exchanges
+    assert "rangepartitioning" not in plan
+
+
 def test_scans_read_only_what_is_used(spark, sf_dir):
     plan = physical(QUERIES["mart_sales_summary"](spark, sf_dir))
     read = {m for schema in re.findall(r"ReadSchema: struct<([^>]*)", plan) for m in schema.split(",")}
