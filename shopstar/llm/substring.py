@@ -14,10 +14,15 @@ ends; regions stream through it for their matching statistics, and a position wh
 the corpus, so that its shards cannot be broadcast to every text: instead the anchor sends
 each region to the one shard that can hold its equals.
 
-An anchor with more than CROWD different regions would not fit one shard; its windows are
-counted by hash instead, which is exact as well. Words are compared by 64-bit hashes.
+An anchor with more than CROWD different regions would not fit one shard. Its regions are cut
+again by the smallest run of twice as many words, and dealt out to automata by that; and so
+on, up to runs as long as a window, of which one shard has only equal ones.
 
-Null texts have no words. Repeated rows are places of their own, also under one id or none.
+Words are compared by 64-bit hashes. A row is known by two 64-bit hashes of its text and id.
+
+Null texts have no words. Repeated rows are places of their own, also under one id or none;
+ids may repeat, with the same text or others. Texts of fewer than `length` words lose nothing.
+An empty table gives an empty one. Other columns, whatever their names, are left as they are.
 """
 
 from __future__ import annotations
@@ -28,18 +33,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopstar.llm.links import picked
-from shopstar.llm.words import spans_hash, texts, windows
+from shopstar.llm.words import spans_hash, texts
 from shopstar.sources.scratch import Scratch, stored
 
 LENGTH = 35
 GRAM = 9
 CROWD = 5000
 SHARD_REGIONS = 1000
-NO_ID = -(1 << 63)
 
 
 class Automaton:
@@ -108,7 +112,7 @@ class Automaton:
         return found
 
 
-def _regions(words: np.ndarray, first: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+def _regions(words: np.ndarray, first: np.ndarray, length: int, gram: int = GRAM) -> tuple[np.ndarray, ...]:
     """Anchor hash, content hash, text, first word and number of windows of each region."""
     counts = np.maximum(np.diff(first) - length + 1, 0)
     if not counts.sum():
@@ -117,10 +121,10 @@ def _regions(words: np.ndarray, first: np.ndarray, length: int) -> tuple[np.ndar
     begin = np.concatenate([[0], np.cumsum(counts)])
     owner = np.repeat(np.arange(len(counts)), counts)
     start = np.arange(begin[-1]) + (first[:-1] - begin[:-1])[owner]
-    at = np.arange(len(words) - GRAM + 1)
-    grams = spans_hash(words, at, at + GRAM)
+    at = np.arange(len(words) - gram + 1)
+    grams = spans_hash(words, at, at + gram)
     # Leftmost smallest of so many runs from each place on, by doubling.
-    least, place, reach, wanted = grams, at, 1, length - GRAM + 1
+    least, place, reach, wanted = grams, at, 1, length - gram + 1
     while reach < wanted:
         step = min(reach, wanted - reach)
         left = least[: len(least) - step] <= least[step:]
@@ -147,7 +151,7 @@ def _placed(docs: DataFrame, length: int) -> DataFrame:
                 columns = [anchor, region, ids[row + owner], marks[row + owner], start << 16 | number]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "region", "id", "h", "place"])
 
-    return docs.mapInArrow(run, "anchor bigint, region bigint, id bigint, h int, place bigint")
+    return docs.mapInArrow(run, "anchor bigint, region bigint, id bigint, h bigint, place bigint")
 
 
 def _contents(places: DataFrame, docs: DataFrame, length: int, scratch: Scratch) -> DataFrame:
@@ -174,9 +178,8 @@ def _contents(places: DataFrame, docs: DataFrame, length: int, scratch: Scratch)
     return rows.select("text", "wanted").mapInArrow(run, "anchor bigint, region bigint, copies int, words binary")
 
 
-def _judged(contents: DataFrame, regions: int, length: int) -> DataFrame:
+def _judged(contents: DataFrame, shards: int, length: int) -> DataFrame:
     """anchor, region and found (bits of repeated windows) by the automaton of its shard."""
-    shards = max(1, -(-regions // SHARD_REGIONS))
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates(["anchor", "region"])
@@ -192,53 +195,71 @@ def _judged(contents: DataFrame, regions: int, length: int) -> DataFrame:
         found = [held.repeats(words, length) for words in lists]
         return pd.DataFrame({"anchor": group["anchor"], "region": group["region"], "found": found})
 
+    # A task builds the automata of its shards one after the other.
     dealt = contents.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-    dealt = dealt.repartition(shards, "shard")
     return dealt.groupBy("shard").applyInPandas(run, "anchor bigint, region bigint, found bigint")
 
 
-def _counted(contents: DataFrame, length: int) -> DataFrame:
-    """The same for crowded anchors, by counting each window's hash."""
+def _cut(contents: DataFrame, length: int, gram: int) -> DataFrame:
+    """The regions cut by their windows' smallest runs of `gram` words.
+
+    Of each piece: the region it is of, its first window there, and what a region has.
+    """
+    names = ["of_anchor", "of_region", "at", "anchor", "region", "copies", "words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for anchor, region, copies, words in zip(*(c.to_pylist() for c in batch.columns)):
-                words = np.frombuffer(words, np.uint64)
-                hashes, _ = windows(words, np.array([0, len(words)]), length)
-                n = len(hashes)
-                arrays = [pa.array(np.full(n, v)) for v in (anchor, region)]
-                bits = pa.array(np.left_shift(1, np.arange(n)))
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), *arrays, pa.array(np.full(n, copies, np.int32)), bits], ["window", "anchor", "region", "copies", "bit"])
-
-    rows = contents.dropDuplicates(["anchor", "region"])
-    each = rows.mapInArrow(run, "window bigint, anchor bigint, region bigint, copies int, bit bigint")
-    often = each.groupBy("window").agg(F.sum("copies").alias("n")).filter("n > 1").select("window")
-    return each.join(often, "window").groupBy("anchor", "region").agg(F.bit_or("bit").alias("found"))
+            out: list[list] = [[] for _ in names]
+            for anchor, region, copies, data in zip(*(c.to_pylist() for c in batch.columns)):
+                words = np.frombuffer(data, np.uint64)
+                pieces = _regions(words, np.array([0, len(words)]), length, gram)
+                for own, content, _, start, number in zip(*(x.tolist() for x in pieces)):
+                    piece = words[start : start + number + length - 1].tobytes()
+                    for column, value in zip(out, (anchor, region, start, own, content, copies, piece)):
+                        column.append(value)
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
+
+    shape = "of_anchor bigint, of_region bigint, at int, anchor bigint, region bigint, copies int, words binary"
+    rows = contents.select("anchor", "region", "copies", "words").dropDuplicates(["anchor", "region"])
+    return rows.mapInArrow(run, shape)
+
+
+def _repeated(contents: DataFrame, length: int, scratch: Scratch, gram: int = GRAM) -> DataFrame:
+    """anchor, region and found of each region; contents are stored."""
+    crowded = scratch.keep(contents.groupBy("anchor").count().filter(F.col("count") > CROWD).select("anchor"))
+    shards = max(1, -(-contents.count() // SHARD_REGIONS))
+    found = _judged(picked(contents, "anchor", crowded, without=True), shards, length)
+    if gram == length or crowded.isEmpty():
+        return found
+    finer = min(2 * gram, length)
+    pieces = scratch.keep(_cut(picked(contents, "anchor", crowded), length, finer))
+    once = pieces.groupBy("anchor", "region").agg(
+        F.least(F.sum("copies"), F.lit(2)).cast("int").alias("copies"), F.first("words").alias("words")
+    )
+    below = _repeated(scratch.keep(once), length, scratch, finer)
+    bits = F.bit_or(F.expr("shiftleft(found, at)")).alias("found")
+    back = pieces.drop("copies", "words").join(below, ["anchor", "region"]).groupBy("of_anchor", "of_region").agg(bits)
+    return found.union(back)
 
 
 def _spans(docs: DataFrame, length: int, scratch: Scratch) -> DataFrame:
     """id, h and spans (first word and bits of repeated windows) of each text that has any."""
     placed = scratch.keep(_placed(docs, length))
-    # Copies of a region are counted on the map side first, so that a region standing
-    # everywhere is one row for its anchor. What first() gives is one row's, any of them.
-    regions = placed.groupBy("anchor", "region").agg(
-        F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("id", "h", "place")]
-    )
-    by_anchor = Window.partitionBy("anchor").orderBy("region")
-    near = [F.lag("region").over(by_anchor).alias("before"), F.lead("region").over(by_anchor).alias("after")]
-    repeated = F.col("before").isNotNull() | F.col("after").isNotNull() | (F.col("copies") > 1)
-    heads = regions.select("*", *near).filter(repeated)
+    # An anchor is counted on the map side, and met by a join that splits hot ones; only
+    # regions with an anchor that occurs twice are gathered by content.
+    often = placed.groupBy("anchor").count().filter("count > 1").select("anchor")
+    shared = scratch.keep(placed.join(often, "anchor", "left_semi"))
+    scratch.drop(placed)
+    copies = F.least(F.count(F.lit(1)), F.lit(2)).cast("int").alias("copies")
+    # What first() gives is one row's, any of them.
     heads = scratch.keep(
-        heads.select("anchor", "region", "id", "h", "place", F.least("copies", F.lit(2)).cast("int").alias("copies"))
+        shared.groupBy("anchor", "region").agg(copies, *[F.first(c).alias(c) for c in ("id", "h", "place")])
     )
-    crowded = scratch.keep(heads.groupBy("anchor").count().filter(F.col("count") > CROWD).select("anchor"))
     contents = scratch.keep(_contents(heads, docs, length, scratch))
-    calm = picked(contents, "anchor", crowded, without=True)
-    found = _judged(calm, contents.count(), length)
-    found = found.union(_counted(picked(contents, "anchor", crowded), length))
-    found = scratch.keep(found.filter("found != 0"))
+    found = scratch.keep(_repeated(contents, length, scratch).filter("found != 0"))
     scratch.drop(contents)
-    places = placed.join(found, ["anchor", "region"])
+    places = shared.join(found, ["anchor", "region"])
     span = F.struct(F.shiftright("place", 16).alias("start"), "found")
     return scratch.keep(places.groupBy("id", "h").agg(F.collect_set(span).alias("spans")))
 
@@ -254,13 +275,13 @@ def _kept(words: list[bytes], spans: list[dict], length: int) -> list[bytes]:
 
 
 def _marked(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.withColumns(
-        {"__id": F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID)), "__h": F.hash(F.col(text).cast("string"))}
-    )
+    """With __id and __h: 128 bits that tell rows of different ids or texts apart."""
+    value = F.col(text).cast("string")
+    return docs.withColumns({"__id": F.xxhash64(F.lit("row"), F.col(key), value), "__h": F.xxhash64(value)})
 
 
 def repeated_spans(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """__id, __h (the key and the text's hash) and __spans of each text with a repeat."""
+    """__id, __h (hashes of key and text) and __spans of each text with a repeat."""
     if not GRAM <= length < GRAM + 62:
         raise ValueError(f"windows of {GRAM} to {GRAM + 61} words can be handled")
     rows = _marked(docs, key, text).select(F.col("__id").alias("id"), F.col("__h").alias("h"), F.col(text).cast("string").alias("text"))

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from shopstar.llm import substring
 from tests.llm.rows import ODD, documents, words
@@ -59,9 +60,32 @@ def test_equals_counting_every_window(spark, seed, length):
     assert found(spark, rows, length) == expected(rows, length)
 
 
-def test_crowded_anchors_are_counted(spark, monkeypatch):
-    monkeypatch.setattr(substring, "CROWD", 2)
+@pytest.mark.parametrize(("crowd", "length"), [(2, 35), (1, 35), (1, 12), (3, 60)])
+def test_crowded_anchors_are_cut_by_longer_runs(spark, monkeypatch, crowd, length):
+    monkeypatch.setattr(substring, "CROWD", crowd)
+    monkeypatch.setattr(substring, "SHARD_REGIONS", 20)
     rows = varied(5)
+    assert found(spark, rows, length) == expected(rows, length)
+
+
+def test_one_passage_in_many_contexts(spark, monkeypatch):
+    """A passage shared by all texts, with words before and after that only some share."""
+    monkeypatch.setattr(substring, "CROWD", 10)
+    core = " ".join(f"k{i}" for i in range(32))
+    rows = [(i, f"a{i} b{i % 7} c{i % 3} {core} d{i % 5} e{i % 2} f{i}", "en", "s", 1) for i in range(150)]
+    assert found(spark, rows) == expected(rows)
+    assert any(r[2] for r in expected(rows))
+
+
+def test_texts_without_id_whose_short_hashes_are_equal(spark):
+    """Only one of two such texts has the passage, and it alone loses it."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    one = spark.range(200_000).select(F.concat(F.lit(passage + " "), F.col("id").cast("string")).alias("a"))
+    other = spark.range(200_000).select(F.concat(F.lit("some other words "), F.col("id").cast("string")).alias("b"))
+    pair = one.join(other, F.hash("a") == F.hash("b")).first()
+    assert pair
+    rows = [(None, pair["a"], "en", "s", 1), (None, pair["b"], "en", "s", 1), (7, f"x {passage} y", "en", "s", 1)]
+    assert sum(r[2] for r in expected(rows)) == 80
     assert found(spark, rows) == expected(rows)
 
 
