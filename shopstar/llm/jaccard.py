@@ -1,19 +1,24 @@
-"""Near-duplicate components by a prefix join on word shingles.
+"""Near-duplicate components by a grouped prefix join on word shingles.
 
 A text's set holds the distinct runs of `size` words, A-Z as a-z; a shorter text's is its
 whole sequence, and one without words has none and is linked with nothing. Two sets are
 linked if their Jaccard similarity is at least `percent` hundredths.
 
-Texts with equal sets fall into one class first. Two sets that similar share an element
-among the first n - ceil(n * percent / 100) + 1 in any common order; the order here puts
-elements rare in the corpus first. How rare is read from a fixed-size count over all texts,
-which any error leaves a common order. Classes sharing a prefix element, and passing the
-size and position filters, are candidate pairs. Parities, a bit or two for each element,
-rule most of the dissimilar out without the sets, and the rest is verified on whole sets.
-
-Only components are wanted, so no list emits all its pairs: its first members are compared
-with the rest, then the next few of those still apart, in rounds that grow eightfold, until
-each list is one component or has had every pair compared.
+Texts with equal sets are one member. Two sets that similar share an element among the first
+n - ceil(n * percent / 100) + 1 in any common order; the order here puts elements rare in the
+corpus first. How rare is read from a fixed-size count over all texts, which any error leaves
+a common order. Members with the same prefix and size are one group, which is listed under
+each element of the prefix once. Groups that share an element, and pass the size and position
+filters, which ask for no more than prefix and size, are candidate pairs. These are expanded
+to pairs of members. Parities, a bit or two for each element, rule most of the dissimilar out
+without the sets, and the rest is verified on whole sets.
+
+Only components are wanted, so no list emits all its pairs: its first entries are compared
+with the rest, then the next few, in rounds that grow eightfold. Members of a group differ and
+need not be similar. So a pair of groups is passed over only if all members of both are in one
+component, and a list is done with when all members of all its entries are, or every pair has
+been compared. The members of a group are a list of their own, and a group of more than about
+MEMBERS is several entries in the other lists, so that no product grows with it.
 
 Elements are 64-bit hashes. Null texts have no words. Rows of the same id count as one
 document; rows with a null id are linked with nothing and have a null component. Other
@@ -33,12 +38,16 @@ from pyspark.sql import functions as F
 from shopstar.llm.links import components, picked
 from shopstar.llm.sums import totals
 from shopstar.llm.words import texts, windows
+from shopstar.operators.sequence import number_in_group
 from shopstar.sources.scratch import Scratch, stored
 
 SIZE = 5
 PERCENT = 75
 CELLS = 1 << 20
 ROUND_GROWTH = 8
+MEMBERS = 8
+# Ids that stand in for missing and repeated ones begin here.
+SUBSTITUTES = 1 << 62
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -91,13 +100,13 @@ def _unlike(x: np.ndarray, y: np.ndarray) -> int:
 
 
 def _prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """id, n, digest of the set, parities and prefix of every text."""
+    """id, n, digest of the set, parities, prefix, and digest of prefix and size, of every text."""
     rank = docs.sparkSession.sparkContext.broadcast(_frequencies(docs.select("text"), size))
-    names = ["id", "n", "whole", "parities", "prefix"]
+    names = ["id", "n", "whole", "parities", "prefix", "alike"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, whole, parities, prefix = [], [], [], []
+            n, whole, parities, prefix, alike = [], [], [], [], []
             for found in shingle_sets(batch.column(1), size):
                 order = np.argsort(rank.value[found & np.uint64(CELLS - 1)], kind="stable")
                 kept = found[order[: len(found) - -(-len(found) * percent // 100) + 1]]
@@ -105,11 +114,12 @@ def _prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 whole.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
                 parities.append(_parities(found) if len(found) else None)
                 prefix.append(kept.view(np.int64))
-            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
-            columns = (n, whole, parities, prefix)
+                alike.append(hashlib.blake2b(kept.tobytes(), digest_size=16, salt=len(found).to_bytes(8)).digest() if len(found) else None)
+            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.binary())
+            columns = (n, whole, parities, prefix, alike)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, k) for x, k in zip(columns, kinds))], names)
 
-    shape = "id bigint, n bigint, whole binary, parities binary, prefix array<bigint>"
+    shape = "id bigint, n bigint, whole binary, parities binary, prefix array<bigint>, alike binary"
     return docs.select("id", "text").mapInArrow(run, shape)
 
 
@@ -172,49 +182,89 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int, scratc
     return links
 
 
+def _grouped(heads: DataFrame, scratch: Scratch) -> DataFrame:
+    """g, m, p: members of groups that have several; g is the smallest of an entry's members
+    and p tells groups apart. A group of more than MEMBERS is parted by a hash."""
+    several = heads.groupBy("alike").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    entry = F.pmod(F.xxhash64("id"), F.ceil(F.col("c") / MEMBERS))
+    rows = heads.join(several, "alike").select("alike", F.col("id").alias("m"), "n", entry.alias("entry"))
+    first = F.min("m").over(Window.partitionBy("alike", "entry"))
+    return scratch.keep(rows.select(first.alias("g"), "m", "n", F.xxhash64("alike").alias("p")))
+
+
+def _lists(found: DataFrame, classes: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
+    """Entries of every list that has at least two: inner, token, g, p, where, rank and last.
+
+    Under an element (token) are the groups with it in their prefix, `where` being their size
+    and its place; inner lists have the members of one group.
+    """
+    hidden = scratch.keep(members.filter("m != g").select("m"))
+    entries = picked(picked(found.filter("n > 0").select("id", "n", "prefix"), "id", classes), "id", hidden, without=True)
+    entries = entries.select(F.posexplode("prefix").alias("at", "token"), F.col("id").alias("g"), F.shiftleft("n", 32).alias("n"))
+    entries = scratch.keep(entries.select("token", "g", (F.col("n") + F.col("at")).alias("where")))
+    often = entries.groupBy("token").count().filter("count > 1").select("token")
+    shared = scratch.keep(entries.join(often, "token", "left_semi"))
+    scratch.drop(entries)
+    heads = members.filter("m = g").select("g", "p")
+    outer = shared.join(heads, "g", "left").select(F.lit(False).alias("inner"), "token", "g", "p", "where")
+    own = members.select(F.lit(True).alias("inner"), F.col("p").alias("token"), F.col("m").alias("g"), F.lit(None).cast("bigint").alias("p"), F.shiftleft("n", 32).alias("where"))
+    numbered = [number_in_group(rows, "token", F.col("g"), "g", "rank", "last", scratch.keep) for rows in (outer, own)]
+    return scratch.keep(numbered[0].unionByName(numbered[1]))
+
+
+def _located(lists: DataFrame, members: DataFrame, joined: DataFrame) -> DataFrame:
+    """The entries with the smallest and largest component of their members."""
+    component = F.coalesce("component", "m")
+    of_groups = members.join(joined, F.col("m") == F.col("node"), "left").groupBy("g")
+    of_groups = of_groups.agg(F.min(component).alias("low"), F.max(component).alias("high"))
+    rows = lists.drop("x", "y").join(joined.withColumnRenamed("node", "g"), "g", "left").join(of_groups, "g", "left")
+    own = F.coalesce("component", "g")
+    either = lambda end: F.when(F.col("inner"), own).otherwise(F.coalesce(end, own))
+    return rows.withColumns({"x": either("low"), "y": either("high")}).drop("component", "low", "high")
+
+
+def _expanded(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs of members, smaller one first, for pairs of entries."""
+    for side in ("a", "b"):
+        own = members.select(F.col("g").alias(side), F.col("m").alias(f"m_{side}"), F.lit(False).alias("inner"))
+        pairs = pairs.join(own, [side, "inner"], "left").withColumn(side, F.coalesce(f"m_{side}", side)).drop(f"m_{side}")
+    return pairs.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def _links(found: DataFrame, docs: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
-    """node and component of every linked class, by its smallest id."""
+    """node and component of every linked member, by its smallest id."""
     classes = found.filter("n > 0 and id is not null").groupBy("whole").agg(F.min("id").alias("id"))
     classes = scratch.keep(classes.select("id").distinct())
-
-    # One row for each class and element of its prefix.
-    heads = picked(found.filter("n > 0").select("id", "n", "prefix"), "id", classes)
-    entries = heads.select(F.posexplode("prefix").alias("at", "token"), F.col("id").alias("g"), F.shiftleft("n", 32).alias("n"))
-    entries = entries.select("token", "g", (F.col("n") + F.col("at")).alias("where"))
+    members = _grouped(picked(found.filter("n > 0").select("id", "n", "alike"), "id", classes), scratch)
+    lists = _lists(found, classes, members, scratch)
     sized = found.filter("n > 0").select("id", "n", "parities")
-    by_token = Window.partitionBy("token").orderBy("g")
-    lists = entries.select(
-        "*",
-        F.row_number().over(by_token).alias("rank"),
-        F.first("g").over(by_token).alias("a"),
-        F.first("where").over(by_token).alias("a_where"),
-        F.lead("g").over(by_token).alias("next"),
-    )
-    lists = scratch.keep(lists.filter("rank > 1 or next is not null").drop("next"))
     n, place = lambda c: F.shiftright(c, 32), lambda c: F.col(c).bitwiseAND(0xFFFFFFFF)
     able = _able(n("a_where"), place("a_where"), n("where"), place("where"), percent)
+    # Members of one group are compared in its own list.
+    other = F.coalesce(F.col("p") != F.col("a_p"), F.lit(True))
 
     joined = None
     low, high = 1, 2
     while True:
         if joined is None:
-            pairs = lists.filter("rank > 1").filter(able)
+            own, apart = lists, F.lit(True)
         else:
-            own = lists.select("token", "g", "where", "rank").join(joined.withColumnRenamed("node", "g"), "g", "left")
-            own = scratch.keep(own.withColumn("component", F.coalesce("component", "g")))
+            own = scratch.keep(_located(lists, members, joined))
             scratch.drop(lists)
-            state = own.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.max("rank").alias("last"))
-            apart = state.filter((F.col("x") != F.col("y")) & (F.col("last") > low)).select("token")
+            state = own.groupBy("inner", "token").agg(F.min("x").alias("least"), F.max("y").alias("most"), F.max("last").alias("n"))
+            going = state.filter((F.col("least") != F.col("most")) & (F.col("n") > low)).select("inner", "token")
             # A list that is one component, or compared throughout, is done with.
-            lists = scratch.keep(own.join(apart, "token", "left_semi"))
+            lists = scratch.keep(own.join(going, ["inner", "token"], "left_semi"))
             scratch.drop(own)
             own = lists
             if own.isEmpty():
                 return joined
-            first = own.filter((F.col("rank") >= low) & (F.col("rank") < high))
-            first = first.select("token", F.col("g").alias("a"), F.col("where").alias("a_where"), F.col("rank").alias("a_rank"), F.col("component").alias("a_in"))
-            pairs = own.join(first, "token").filter((F.col("rank") > F.col("a_rank")) & (F.col("component") != F.col("a_in")) & able)
-        pairs = pairs.select("a", F.col("g").alias("b")).filter("a != b").distinct()
+            apart = (F.least("x", "a_x") != F.greatest("y", "a_y"))
+        first = own.filter((F.col("rank") >= low) & (F.col("rank") < high)).select(
+            "inner", "token", *[F.col(c).alias("a" if c == "g" else f"a_{c}") for c in own.columns if c not in ("inner", "token", "last")]
+        )
+        pairs = own.join(first, ["inner", "token"]).filter((F.col("rank") > F.col("a_rank")) & apart & able & other)
+        pairs = _expanded(pairs.select("inner", "a", F.col("g").alias("b")).distinct(), members)
         pairs = scratch.keep(_plausible(pairs, sized, percent))
         links = _verified(pairs, docs, size, percent, scratch)
         if joined is not None:
@@ -238,7 +288,25 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
 
 
 def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """The rows of each component's smallest key, with all their columns."""
-    found = near_duplicates(docs, key, text, size, percent)
-    gone = stored(found.filter(F.col(key) != F.col("component_id")).select(key).distinct())
-    return picked(docs, key, gone, without=True)
+    """One row of each component, with all its columns: that of the smallest key.
+
+    Rows without a key, and rows of a key that occurs more than once, are judged by their text
+    all the same, each as a document of its own, and stay only if no row with a key of its own
+    is in their component; of rows alike in key and text one stays. Rows without words are
+    linked with nothing: all stay, unless they are alike in their key.
+    """
+    words = F.coalesce(F.col(text).cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    many = stored(docs.groupBy(key).count().filter("count > 1").select(key).filter(F.col(key).isNotNull()))
+    marked = docs.join(many.select(F.col(key).alias("__many")), F.col(key) == F.col("__many"), "left")
+    top = docs.agg(F.max(F.col(key).cast("bigint"))).first()[0]
+    if top is not None and top >= SUBSTITUTES:
+        raise ValueError(f"keys of {SUBSTITUTES} and more are taken")
+    hashed = F.xxhash64(key, F.col(text).cast("string")).bitwiseAND((1 << 61) - 1) + SUBSTITUTES
+    own = F.when(F.col(key).isNotNull() & F.col("__many").isNull(), F.col(key).cast("bigint"))
+    marked = marked.withColumn("__id", own.when(F.col(key).isNotNull() | words, hashed)).drop("__many")
+    found = near_duplicates(marked, "__id", text, size, percent)
+    gone = stored(found.filter("__id != component_id").select("__id").distinct())
+    twice = stored(found.filter("__id is not null").groupBy("__id").count().filter("count > 1").select("__id"))
+    left = picked(marked, "__id", gone, without=True)
+    once = picked(left, "__id", twice).dropDuplicates(["__id"])
+    return picked(left, "__id", twice, without=True).union(once).select(*docs.columns)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,6 +120,61 @@ def test_one_document_of_each(spark):
     assert {r["doc_id"] for r in kept.select(F.col("doc_id")).collect()} == want | {None}
 
 
+def test_one_row_of_each_with_repeated_and_missing_ids(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    near, other = text.replace("w59", "x"), " ".join(f"v{i}" for i in range(60))
+    rows = [(1, text), (1, text), (2, text), (None, text), (None, near), (None, other), (None, other), (5, other + " y")]
+    rows += [(6, "alone as it is"), (6, "alone as it is"), (7, "one text of two"), (7, "the other of the two texts")]
+    rows += [(None, None), (None, ""), (None, " "), (8, None), (8, ""), (9, "short"), (None, "short")]
+    docs = documents(spark, [(*r, "en", "s", 1) for r in rows], extra=True)
+    kept = sorted(((r["doc_id"], r["text"]) for r in jaccard.distinct_documents(docs).collect()), key=repr)
+    want = [(2, text), (5, other + " y"), (6, "alone as it is"), (7, "one text of two"), (7, "the other of the two texts")]
+    want += [(None, None), (None, ""), (None, " "), (8, None), (8, ""), (9, "short")]
+    assert kept == sorted(want, key=repr)
+    assert jaccard.distinct_documents(documents(spark, [])).collect() == []
+    with pytest.raises(ValueError):
+        jaccard.distinct_documents(documents(spark, [(jaccard.SUBSTITUTES, "a", "en", "s", 1)]))
+
+
+def test_groups_are_entries_and_large_ones_several(spark):
+    """A list has one entry for a group, and no entry stands for many members."""
+    rows = [(i, 5 if i < 3 else 6, bytes([i % 2] if i < 3 else [9])) for i in range(100)]
+    heads = spark.createDataFrame(rows, "id bigint, n bigint, alike binary")
+    with Scratch(spark) as scratch:
+        members = jaccard._grouped(heads, scratch).collect()
+    assert {r["m"] for r in members} == {0, 2, *range(3, 100)}
+    assert {r["g"] for r in members if r["m"] < 3} == {0}
+    sizes = Counter(r["g"] for r in members if r["m"] >= 3)
+    assert len(sizes) == 13 and max(sizes.values()) <= 4 * jaccard.MEMBERS
+    assert all(r["g"] == min(x["m"] for x in members if x["g"] == r["g"]) for r in members)
+
+
+def test_crowded_groups_that_are_similar_in_part(spark):
+    """Two groups of many members each, some pairs of which are similar across."""
+    draw = random.Random(8)
+    a, b = [f"p{i}" for i in range(26)], [f"p{i}" for i in range(20)] + [f"q{i}" for i in range(6)]
+    core = [f"k{i}" for i in range(150)]
+    rows = [(2 * i, " ".join(a + draw.sample(core, 74)), "en", "s", 1) for i in range(40)]
+    rows += [(2 * i + 1, " ".join(b + draw.sample(core[:90], 74)), "en", "s", 1) for i in range(40)]
+    rows += [(1000 + i, " ".join(core + [f"u{j}" for j in range(300)]), "en", "s", 1) for i in range(90)]
+    got = {i: c for i, _, c in found(spark, rows, size=1, percent=60)}
+    sets = {i: frozenset(t.split()) for i, t, *_ in rows}
+    linked = {i: i for i in sets}
+
+    def root(i):
+        while linked[i] != i:
+            i = linked[i]
+        return i
+
+    for i in sets:
+        for j in sets:
+            if i < j and 100 * len(sets[i] & sets[j]) >= 60 * len(sets[i] | sets[j]):
+                x, y = sorted((root(i), root(j)))
+                linked[y] = x
+    assert got == {i: root(i) for i in sets}
+    assert 3 <= len(set(got.values())) <= 60
+
+
 def test_texts_of_equal_prefix_and_size_are_judged_one_by_one(spark):
     """Texts 2 and 3 agree in prefix and size but are not similar: that 1, 2 and 4 are one
     component does not spare 3, which is similar to 4 alone, the comparison with it."""
