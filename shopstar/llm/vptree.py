@@ -7,20 +7,30 @@ divided by the factor `relax`: at 1 nothing nearer can be missed and the search
 above 1 more is skipped. A block of queries goes down a tree together: first each to its
 own leaf for a first k-th distance, then all through the whole tree with pruning.
 
-The index is a stored table with every usable row in one tree. Zero vectors, null ids and
-vectors that are null, empty, or hold null or non-finite components take no part. Scores
-are cosines in double precision over the original vectors; ties go to the smaller id. A
-query never finds rows of its own id. With fewer than k candidates all are returned.
+The index is a stored table with every usable row in one tree. Trees cover a region each: a
+shard's summary is the mean direction of its vectors and how far they lie from it at most. A
+tree is not sent to a query if the gap to its region exceeds the query's present k-th
+distance divided by `relax`, by the same inequality.
+
+Zero vectors, null ids and vectors that are null, empty, or hold null or non-finite
+components take no part. Rows alike in id and vector count once; an id of several vectors has
+the best of their scores, and as a query searches with each. Scores are cosines in double
+precision over the original vectors; ties go to the smaller id. A query never finds rows of
+its own id. With fewer than k candidates all are returned.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopstar.llm import vectors
+from shopstar.sources.scratch import Scratch
 
 LEAF_ROWS = 48
 # Room for rounding when unit vectors are compared; exact scores decide afterwards.
@@ -68,17 +78,21 @@ class Tree:
         self.units = _units(values)
         self.rows = self.units[order]
 
-    def best(self, asked: np.ndarray, wanted: np.ndarray, k: int, relax: float):
-        """Query ids, row ids and cosines of the k nearest found for each query."""
+    def best(self, asked: np.ndarray, wanted: np.ndarray, k: int, relax: float, floors: np.ndarray | None = None):
+        """Places of queries, row ids and cosines of the k nearest found for each query.
+
+        floors: cosines that k rows elsewhere are known to reach.
+        """
         units = _units(wanted)
-        self.asked, self.wanted, self.k, self.relax = asked, units, k, relax
-        self.top = np.full((len(asked), k), -np.inf)
+        # So many best rows have k different ids among them.
+        places = min(k * vectors.multiplicity(self.ids), len(self.ids))
+        self.asked, self.wanted, self.k, self.relax = asked, units, places, relax
+        self.top = np.full((len(asked), places), -np.inf)
         self.found: list[tuple[np.ndarray, np.ndarray]] = []
         self._descend(0, np.arange(len(asked)))
-        self.top[:] = np.minimum(self.top, np.inf)
         first = self.top[:, 0].copy()
-        self.top = np.full((len(asked), k), -np.inf)
-        self.known = first
+        self.top = np.full((len(asked), places), -np.inf)
+        self.known = first if floors is None else np.maximum(first, floors)
         self.found.clear()
         self._visit(0, np.arange(len(asked)))
         return self._exact(wanted, k)
@@ -136,48 +150,68 @@ class Tree:
         a, b = wanted[query], self.values[row]
         lengths = np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1))
         cosine = (a * b).sum(axis=1) / lengths
-        order = np.lexsort((self.ids[row], -cosine, query))
-        query, row, cosine = query[order], row[order], cosine[order]
-        first = np.searchsorted(query, query, side="left")
-        keep = np.arange(len(query)) - first < k
-        return self.asked[query[keep]], self.ids[row[keep]], cosine[keep]
+        return vectors.best_of_each(query, self.ids[row], cosine, k)
+
+
+def summary(values: np.ndarray) -> bytes:
+    """The mean direction, how far units lie from it at most."""
+    units = _units(values)
+    centre = units.mean(axis=0)
+    apart = np.sqrt(((units - centre) ** 2).sum(axis=1)).max()
+    return np.append(centre, apart).tobytes()
 
 
-def index(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", shard_rows: int = vectors.SHARD_ROWS) -> tuple[DataFrame, int]:
-    """Stored trees over every usable row, and the number of shards."""
-    shards, n_shards = vectors.packed(_directed(rows, key, vector), shard_rows)
+def bounds(queries: np.ndarray, summaries: np.ndarray, relax: float) -> np.ndarray:
+    """The best cosine that each query is taken to reach in each shard, by its region."""
+    units, centres, widths = _units(queries), summaries[:, :-1], summaries[:, -1]
+    square = 1 + (centres * centres).sum(axis=1) - 2 * units @ centres.T
+    gap = np.maximum(np.sqrt(np.maximum(square, 0)) - widths - SLACK, 0) * relax
+    return 1 - gap * gap / 2
+
+
+def index(rows: DataFrame, scratch: Scratch, shard_rows: int = vectors.SHARD_ROWS) -> DataFrame:
+    """Stored trees over every row, one of each shard with its summary.
+
+    rows: as `directed` gives them.
+    """
+    shards = vectors.sharded(rows, shard_rows, summary, scratch)
 
-    def grow(batches):
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            trees = [build(vectors.arrays(i, d, m)[1]) for i, d, m in zip(batch["ids"], batch["data"], batch["dim"])]
-            batch["tree_order"] = [o.astype(np.int64).tobytes() for o, _ in trees]
-            batch["nodes"] = [n.tobytes() for _, n in trees]
-            yield batch if trees else pd.DataFrame(columns=[*batch.columns])
+            for at in range(len(batch)):
+                row = batch.slice(at, 1)
+                _, values = vectors.arrays(row.column(2)[0].as_py(), row.column(3)[0].as_py(), row.column(1)[0].as_py())
+                order, nodes = build(values)
+                made = [pa.array([order.astype(np.int64).tobytes()]), pa.array([nodes.tobytes()])]
+                yield pa.RecordBatch.from_arrays([*row.columns, *made], [*row.schema.names, "tree_order", "nodes"])
 
-    return vectors.kept(shards.mapInPandas(grow, vectors.PACKED + ", tree_order binary, nodes binary")), n_shards
+    shape = "shard string, dim int, ids binary, data binary, summary binary, tree_order binary, nodes binary"
+    return scratch.keep(shards.mapInArrow(grow, shape))
 
 
-def _directed(rows: DataFrame, key: str, vector: str) -> DataFrame:
+def directed(rows: DataFrame, key: str, vector: str) -> DataFrame:
+    """The usable rows whose vectors have a direction."""
     length = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)
     return vectors.usable(rows, key, vector).filter(length > 0)
 
 
 def search(
-    rows: DataFrame, is_query, k: int = 5, relax: float = 1.0, key: str = "vec_id", vector: str = "embedding",
+    rows: DataFrame, is_query: Column, k: int = 5, relax: float = 1.0, key: str = "vec_id", vector: str = "embedding",
     shard_rows: int = vectors.SHARD_ROWS, block_rows: int = vectors.BLOCK_ROWS,
 ) -> DataFrame:
     """The k nearest rows found for every query row: query_id, rank from 1, vec_id, score.
 
     is_query: condition over the column `id`.
     """
-    trees, n_shards = index(rows, key, vector, shard_rows)
-    blocks, n_blocks = vectors.packed(_directed(rows, key, vector).filter(is_query), block_rows)
 
-    def find(row: dict):
+    def find(row: dict, asked: np.ndarray, wanted: np.ndarray, floors: np.ndarray):
         ids, values = vectors.arrays(row["ids"], row["data"], row["dim"])
         order = np.frombuffer(row["tree_order"], np.int64)
         nodes = np.frombuffer(row["nodes"], np.float64).reshape(-1, 6)
-        asked, wanted = vectors.arrays(row["q_ids"], row["q_data"], row["dim"])
-        return Tree(ids, values, order, nodes).best(asked, wanted, k, relax)
+        return Tree(ids, values, order, nodes).best(asked, wanted, k, relax, floors)
 
-    return vectors.searched(trees, n_shards, blocks, n_blocks, find, "double", k)
+    with Scratch(rows.sparkSession) as scratch:
+        known = scratch.keep(directed(rows, key, vector))
+        trees = index(known, scratch, shard_rows)
+        asked = vectors.asked_of(known, is_query, scratch)
+        return vectors.searched(trees, asked, partial(bounds, relax=relax), find, "double", k, block_rows, scratch)

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopstar.llm import maxscore, vectors, vptree
+from shopstar.sources.scratch import Scratch
 
 SHAPE = "vec_id bigint, embedding array<float>, id int, dim int, part int, rank int, score int"
 ODD = [
@@ -112,8 +113,77 @@ def test_no_rows(spark):
         assert vptree.search(table(spark, rows), F.col("id") % 10 == 0).count() == 0
 
 
-def test_packing_keeps_every_row(spark):
-    rows = vectors.usable(table(spark, made()), "vec_id", "embedding")
-    parts, n = vectors.packed(rows, 25)
-    ids = [i for r in parts.collect() for i in np.frombuffer(r["ids"], np.int64)]
-    assert n == 12 and sorted(ids) == list(range(300))
+def test_shards_keep_every_row_and_cut_hot_vectors(spark):
+    rows = made() + [(2000 + i, [1.0] * 8) for i in range(200)]
+    with Scratch(spark) as scratch:
+        known = scratch.keep(vectors.usable(table(spark, rows), "vec_id", "embedding"))
+        shards = vectors.sharded(known, 25, maxscore.summary, scratch).collect()
+    sizes = [len(r["ids"]) // 8 for r in shards]
+    ids = [i for r in shards for i in np.frombuffer(r["ids"], np.int64)]
+    assert sorted(ids) == sorted(r[0] for r in rows) and max(sizes) <= 60
+
+
+def test_repeated_rows_and_ids_of_several_vectors(spark):
+    """A repeated query finds no fewer rows, and an id has one place with its best vector."""
+    rows = made(80)
+    rows += [rows[0]] * 3 + [rows[7]] * 5 + [(10, rows[33][1]), (10, rows[34][1]), (21, rows[20][1]), (21, [-x for x in rows[20][1]])]
+    rows += [(50, [float(i), *rows[50][1][1:]]) for i in range(30)]
+    for search, zero, score, atol in ((maxscore.search, True, whole, 0), (vptree.search, False, cosine, 1e-12)):
+        kept = usable(rows, zero)
+        want = []
+        for q in sorted({i for i, _ in kept if i % 10 == 0}):
+            top = {}
+            for a in [v for i, v in kept if i == q]:
+                for i, b in kept:
+                    if i != q:
+                        top[i] = max(top.get(i, -np.inf), score(a, b))
+            ranked = sorted(top.items(), key=lambda x: (-x[1], x[0]))[:7]
+            want += [(q, r, i, s) for r, (i, s) in enumerate(ranked, 1)]
+        for size in (12, 1000):
+            found = search(table(spark, rows), F.col("id") % 10 == 0, k=7, shard_rows=size, block_rows=5)
+            got = sorted(tuple(r) for r in found.collect())
+            assert [x[:3] for x in got] == [x[:3] for x in want]
+            assert np.allclose([x[3] for x in got], [x[3] for x in want], rtol=0, atol=atol)
+
+
+@pytest.mark.parametrize("size", [1.0, 2.0**20 + 2.0**-10, 2.0**30 + 2.0**-9, 2.0**45 + 1])
+def test_scores_are_exact_beyond_double_precision(spark, size):
+    draw = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in size * draw.integers(-3, 4, 64) + draw.integers(-4, 5, 64) / 1024]) for i in range(60)]
+    shape = "vec_id bigint, embedding array<double>"
+    found = maxscore.search(spark.createDataFrame(rows, shape), F.col("id") % 10 == 0, k=7, shard_rows=20, block_rows=4)
+    ints = {i: [int(np.floor(1024 * x)) for x in v] for i, v in rows}
+    limit = maxscore.LONG
+    want = []
+    for q in range(0, 60, 10):
+        scores = [(-min(max(sum(x * y for x, y in zip(ints[q], b)), -limit - 1), limit), i) for i, b in ints.items() if i != q]
+        want += [(q, r, i, -s) for r, (s, i) in enumerate(sorted(scores)[:7], 1)]
+    assert sorted(tuple(r) for r in found.collect()) == sorted(want)
+
+
+@pytest.mark.parametrize("which", ["maxscore", "vptree"])
+def test_shards_that_cannot_help_get_no_query(spark, monkeypatch, which):
+    """Vectors in eight directions: a query is sent to few of the shards, before any is copied."""
+    draw = np.random.default_rng(2)
+    rows = []
+    for i in range(800):
+        v = draw.normal(0, 0.02, 8)
+        v[i % 8] += 1
+        rows.append((i, [float(x) for x in v]))
+    sent, real = [], vectors._sent
+
+    def counted(*args, **more):
+        out = real(*args, **more)
+        sent.append([r[0] for r in out.select("shard").collect()])
+        return out
+
+    monkeypatch.setattr(vectors, "_sent", counted)
+    search = {"maxscore": maxscore.search, "vptree": vptree.search}[which]
+    found = search(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), F.col("id") % 10 == 0, k=5, shard_rows=30)
+    scored = {"maxscore": whole, "vptree": cosine}[which]
+    got = sorted(tuple(r) for r in found.collect())
+    want = best([(i, np.array(v)) for i, v in rows], 10, 5, scored)
+    assert [x[:3] for x in got] == [x[:3] for x in want]
+    shards = len({*sent[0], *sent[1]})
+    assert shards >= 8
+    assert len(sent[0]) == 80 and len(sent[1]) <= 80 * shards / 3
