@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -142,8 +143,8 @@ GROUPS = 16
 TURN = 8
 # The top of the trie that the driver cuts: at most TURN ** TOP cells, 32,768.
 TOP = 5
-TRIE_WORDS = 1 << 17
-BLOCK_WORDS = 1 << 18
+TRIE_WORDS = 1 << 16
+BLOCK_WORDS = 1 << 17
 # A branch of so few words is not divided further.
 FEW = 8
 PATHS = 1 << 17
@@ -384,38 +385,66 @@ def _cell(number: int) -> tuple[int, ...]:
     return tuple(number // TURN**i % TURN for i in range(TOP))
 
 
-_SENT = "trie int, word string, n bigint, own boolean, asks boolean"
+# Words that are looked up in the cut at a time.
+SENT_WORDS = 1 << 16
+_SENT = "trie int, word string, n bigint, own boolean, home boolean"
+
+
+class Routes:
+    """For each cell its tries: number of the first task, deals and blocks, the own one first."""
+
+    def __init__(self, cut: Cut, numbers: np.ndarray):
+        lists = [[cut.tries[leaf] for leaf in cut.routes(_cell(int(n)))] for n in numbers]
+        self.begin = np.cumsum([0, *map(len, lists)])
+        self.first, self.deals, self.blocks = np.array([t for x in lists for t in x], np.int64).reshape(-1, 3).T
+
+
+def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For so many copies of each: which it is a copy of, and the number of the copy."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
 def _sent(words: DataFrame, group: np.ndarray, cut: Cut) -> DataFrame:
-    """A row for each task that needs a word: as one of its trie (own), or to ask for (asks)."""
+    """A row for each task that needs a word: as one of its trie (own), or to ask for.
+
+    home: the one task of those asked whose trie has the word itself.
+    """
+
+    def routed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = Words(batch.column(0))
+        numbers, cell = np.unique(_cell_numbers(found, group), return_inverse=True)
+        routes = Routes(cut, numbers)
+        block = (found.hashes >> np.uint64(32)).astype(np.int64)
+        deal = (found.hashes & np.uint64(0x7FFFFFFF)).astype(np.int64)
+        # The word itself goes to one deal of its own trie, for every block that asks there.
+        home = routes.begin[cell]
+        dealt = deal % routes.deals[home]
+        row, other = _spread(routes.blocks[home])
+        own_task = routes.first[home[row]] + dealt[row] * routes.blocks[home[row]] + other
+        # It asks in one block of every deal of all its tries.
+        at, which = _spread(np.diff(routes.begin)[cell])
+        trie = home[at] + which
+        copy, number = _spread(routes.deals[trie])
+        asker, trie = at[copy], trie[copy]
+        ask_task = routes.first[trie] + number * routes.blocks[trie] + block[asker] % routes.blocks[trie]
+        is_home = (which[copy] == 0) & (number == dealt[asker])
+        rows = pa.array(np.concatenate([row, asker]))
+        task = pa.array(np.concatenate([own_task, ask_task]).astype(np.int32))
+        own = pa.array(np.concatenate([np.ones(len(row), bool), np.zeros(len(asker), bool)]))
+        at_home = pa.array(np.concatenate([np.zeros(len(row), bool), is_home]))
+        columns = [task, batch.column(0).take(rows), batch.column(1).take(rows), own, at_home]
+        return pa.RecordBatch.from_arrays(columns, ["trie", "word", "n", "own", "home"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            if not len(batch):
-                continue
-            found = Words(batch.column(0))
-            numbers = _cell_numbers(found, group)
-            rows, tries, owns, asks = [], [], [], []
-            for number in np.unique(numbers):
-                at = np.flatnonzero(numbers == number)
-                hashes = found.hashes[at]
-                for i, leaf in enumerate(cut.routes(_cell(int(number)))):
-                    first, deals, blocks = cut.tries[leaf]
-                    block = (hashes >> np.uint64(32)) % np.uint64(blocks)
-                    home = hashes % np.uint64(deals)
-                    for deal in range(deals):
-                        for other in range(blocks):
-                            own = (home == deal) if i == 0 else np.zeros(len(at), bool)
-                            ask = block == other
-                            sent = own | ask
-                            rows.append(at[sent])
-                            tries.append(np.full(sent.sum(), first + deal * blocks + other, np.int32))
-                            owns.append(own[sent])
-                            asks.append(ask[sent])
-            rows = pa.array(np.concatenate(rows))
-            made = [pa.array(np.concatenate(x)) for x in (tries, owns, asks)]
-            yield pa.RecordBatch.from_arrays([made[0], batch.column(0).take(rows), batch.column(1).take(rows), *made[1:]], ["trie", "word", "n", "own", "asks"])
+            held.append(batch)
+            if sum(map(len, held)) >= SENT_WORDS:
+                yield routed(pa.concat_batches(held))
+                held = []
+        if sum(map(len, held)):
+            yield routed(pa.concat_batches(held))
 
     return words.select("word", "n").mapInArrow(run, _SENT)
 
@@ -428,7 +457,7 @@ def _searched(sent: DataFrame, group: np.ndarray) -> DataFrame:
     trie holds itself is there in any case."""
 
     def search(table: pa.Table) -> pa.Table:
-        own, asks = table.filter(table["own"]), table.filter(table["asks"])
+        own, asks = table.filter(table["own"]), table.filter(pc.invert(table["own"]))
         asked = Words(asks["word"])
         n_near = np.zeros(len(asked), np.int64)
         best, best_n = np.full(len(asked), -1), np.zeros(len(asked), np.int64)
@@ -444,7 +473,7 @@ def _searched(sent: DataFrame, group: np.ndarray) -> DataFrame:
                 a, b = a[lead], b[lead]
                 better = (counts[b] > best_n[a]) | (counts[b] == best_n[a]) & (b < np.where(best[a] < 0, held, best[a]))
                 best[a[better]], best_n[a[better]] = b[better], counts[b[better]]
-        shown = np.flatnonzero((n_near > 0) | asks["own"].to_numpy(zero_copy_only=False))
+        shown = np.flatnonzero((n_near > 0) | asks["home"].to_numpy(zero_copy_only=False))
         none = best[shown] < 0
         names = own["word"].combine_chunks() if len(own) else pa.array([""], pa.string())
         form = names.take(pa.array(np.where(none, 0, best[shown]), mask=none))
