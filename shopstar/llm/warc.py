@@ -7,10 +7,11 @@ are always responses.
 Tasks write archives under names of their own and report them in a stored manifest, so
 a lost or repeated task leaves at most an unlisted file, which is never read. The reader
 takes a file front to back: it inflates piece by piece, frames records by their content
-length, and checks block and payload digests. It holds a piece at a time, and a payload
-only where payloads are asked for.
+length, and checks block and payload digests. It holds a piece at a time, the header of one
+record, however long its url, and a payload only where payloads are asked for.
 
-Null html is an empty payload; a null url is left out. A null page id never becomes the
+Null html is an empty payload; a null url is left out. In a header a url's line ends are
+spelled %0D and %0A, and it comes back so, without blanks around it. A null page id never becomes the
 response while another page has the payload. Repeated rows of the smallest id are responses
 alike. No page gives no archive and no row. Other columns are ignored.
 """
@@ -31,7 +32,6 @@ from pyspark.sql import functions as F
 from shopstar.sources.scratch import shared_folder, stored
 
 CHUNK = 1 << 16
-HEADER_BYTES = 1 << 20
 ARCHIVE_BYTES = 256 << 20
 LEVEL = 5
 DATE = "1970-01-01T00:00:00Z"
@@ -107,8 +107,11 @@ class _Member:
 
     def head(self) -> list[str]:
         """Lines up to the next empty one."""
-        while (end := self.ready.find(END + END)) < 0:
-            if len(self.ready) > HEADER_BYTES or not self._fill():
+        seen = 0
+        while (end := self.ready.find(END + END, seen)) < 0:
+            # What was looked through need not be again, but for the start of an end.
+            seen = max(0, len(self.ready) - 3)
+            if not self._fill():
                 raise ValueError("a record's header does not end")
         lines = bytes(self.ready[:end]).decode(errors="replace").split("\r\n")
         del self.ready[: end + 4]
@@ -150,8 +153,6 @@ def _record(source: _Member, with_payload: bool) -> dict:
             inner += piece
             end = inner.find(END + END)
             if end < 0:
-                if len(inner) > HEADER_BYTES:
-                    raise ValueError("an HTTP header does not end")
                 continue
             http = _named(bytes(inner[:end]).decode(errors="replace").split("\r\n"))
             piece = bytes(inner[end + 4 :])
@@ -159,6 +160,8 @@ def _record(source: _Member, with_payload: bool) -> dict:
         length += len(piece)
         if with_payload:
             kept.append(piece)
+    if http is None:
+        raise ValueError("an HTTP header does not end")
     kind = named["warc-type"]
     told = named["warc-payload-digest"].removeprefix("sha1:")
     if named["warc-block-digest"].removeprefix("sha1:") != _base32(block.digest()):
@@ -233,8 +236,8 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0, archive_bytes:
     return stored(manifest)
 
 
-def read_archives(manifest: DataFrame, with_payload: bool = False, files_per_task: int = 8) -> DataFrame:
-    """Every record of the listed archives, read front to back and checked.
+def read_archives(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
+    """Every record of the listed archives, each read by one task front to back and checked.
 
     Columns: page_id, url, payload_bytes and payload_digest of the full payload,
     record_type, refers_to, and payload (null for revisits, or unless asked for).
@@ -257,9 +260,9 @@ def read_archives(manifest: DataFrame, with_payload: bool = False, files_per_tas
                 if held:
                     yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in held], k) for n, k in zip(names, kinds)], names)
 
-    tasks = max(1, manifest.count() // files_per_task + 1)
+    tasks = max(1, manifest.count())
     shape = "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, payload binary"
-    return manifest.select("path").repartition(tasks, "path").mapInArrow(run, shape)
+    return manifest.select("path").repartitionByRange(tasks, "path").mapInArrow(run, shape)
 
 
 def archive_folder(spark: SparkSession) -> str:

@@ -5,6 +5,7 @@ import hashlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
 from shopstar.llm import warc
 
@@ -53,6 +54,31 @@ def test_small_payloads_and_small_archives(spark):
     assert {r["record_type"] for r in warc.read_archives(manifest).collect()} == {"response"}
 
 
+def test_headers_of_any_length(spark):
+    urls = ["http://" + c * size for c, size in (("u", 2 << 20), ("é", 1 << 20), ("\r\n", 1000))]
+    rows = [(i, url, f"<p>{i}</p>" * i) for i, url in enumerate(urls, 1)]
+    manifest = warc.write_archives(pages(spark, rows), warc.archive_folder(spark))
+    found = {r["page_id"]: (r["url"], r["payload"]) for r in warc.read_archives(manifest, with_payload=True).collect()}
+    escaped = lambda url: url.replace("\r", "%0D").replace("\n", "%0A")
+    assert found == {i: (escaped(url), html.encode()) for i, url, html in rows}
+
+
+def test_an_archive_is_one_task(spark):
+    rows = [(i, "u", f"page {i}") for i in range(40)]
+    manifest = warc.write_archives(pages(spark, rows).repartition(3), warc.archive_folder(spark), archive_bytes=1)
+    spread = warc.read_archives(manifest).groupBy(F.spark_partition_id()).count().collect()
+    assert manifest.count() == 40 and len(spread) >= 30 and max(r["count"] for r in spread) <= 3
+
+
+def test_a_header_without_end():
+    import zlib
+
+    for plain in (b"WARC/1.1\r\nWARC-Type: response\r\n", b"WARC/1.1\r\nContent-Length: 4\r\n\r\nabcd\r\n\r\n"):
+        packer = zlib.compressobj(5, zlib.DEFLATED, 31)
+        with pytest.raises(ValueError, match="does not end"):
+            list(warc.records(io.BytesIO(packer.compress(plain) + packer.flush())))
+
+
 def test_no_pages(spark):
     manifest = warc.write_archives(pages(spark, []), warc.archive_folder(spark))
     assert warc.read_archives(manifest).count() == 0
