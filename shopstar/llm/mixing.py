@@ -45,6 +45,11 @@ def size_of(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+def _place(seed: int) -> Column:
+    """What rows are ordered by; alike for rows of the same id and text."""
+    return F.xxhash64(F.lit(seed), "doc_id", "text")
+
+
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """Adds weight and target (words, double) to rows of source and source_size."""
     turn = (F.row_number().over(Window.orderBy(F.asc_nulls_last("source"))) - 1) % len(weights)
@@ -102,7 +107,7 @@ def mix(
 
 def _mixed(docs, scratch, weights, share, most, block_words, shard_words, shards, seed) -> DataFrame:
     sized = scratch.keep(
-        docs.select("doc_id", "source", size_of("text").alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("place"))
+        docs.select("doc_id", "source", size_of("text").alias("size"), _place(seed).alias("place"))
     )
     sources = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     all_words = F.sum("source_size").over(Window.partitionBy())
@@ -146,15 +151,21 @@ def _mixed(docs, scratch, weights, share, most, block_words, shard_words, shards
     more = _overlap(F.col("begin"), F.col("end"), low, high)
     more = more + _overlap(F.col("begin"), F.col("end"), F.lit(0), over * F.col("block"))
     taken = (rounds * F.col("size") + more).cast("bigint").alias("taken")
-    return laid.select("doc_id", "size", "source_size", "target", taken, "source", "shard")
+    return laid.select("doc_id", "size", "source_size", "target", taken, "source", "shard", "place")
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """Every row as often as the mix takes it, to the nearest whole number of times."""
-    found = mix(docs, **options)
+def mixed_documents(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
+    """Every row as often as the mix takes it, to the nearest whole number of times.
+
+    Rows go by id and text: others of their id, or without one, count for themselves. Of rows
+    alike in both each follows as often as the one taken most. Rows without words are not taken.
+    """
+    found = mix(docs, seed=seed, **options)
     times = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
-    found = stored(found.groupBy("doc_id").agg(F.max(times).alias("__times")).filter("__times > 0"))
+    found = stored(found.groupBy("doc_id", "place").agg(F.max(times).alias("__times")).filter("__times > 0"))
     if found.count() <= BROADCAST_IDS:
         found = F.broadcast(found)
-    own = docs.join(found.withColumnRenamed("doc_id", "__id"), F.col("doc_id").eqNullSafe(F.col("__id")))
+    found = found.withColumnsRenamed({"doc_id": "__id", "place": "__place"})
+    rows = docs.withColumn("__at", _place(seed))
+    own = rows.join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__at") == F.col("__place")))
     return own.withColumn("__turn", F.explode(F.sequence(F.lit(1), "__times"))).select(*docs.columns)
