@@ -4,8 +4,9 @@ A text's letters are read as overlapping runs of three and four bytes, spaces st
 everything else in ASCII. Runs hash to buckets; the text is the average of their embeddings,
 and a linear softmax over it gives the language. Embeddings and softmax are trained together
 by stochastic gradient descent in numpy on a bounded sample, `sample_rows` labelled rows in
-all (in expectation; drawn by a hash of the id, as many of each language). A fifth of it is
-kept back to calibrate: a temperature brings the probabilities in line with the accuracy,
+all (in expectation; drawn by a hash of the id, as many of each language), and of these, in the
+order of the table, whole texts up to `sample_runs` different subwords in all, a text's own
+counted. A fifth of it is kept back to calibrate: a temperature brings the probabilities in line with the accuracy,
 and a text is rejected if its language is less likely than not, or if far fewer of its
 subwords are known than in any text kept back.
 
@@ -31,6 +32,7 @@ UNKNOWN = "und"
 BUCKETS = 1 << 16
 WIDTH = 16
 SAMPLE_ROWS = 5000
+SAMPLE_RUNS = 1 << 25
 EPOCHS = 6
 RATE = 4.0
 _LETTER = re.compile(r"[^\W\d_]")
@@ -147,8 +149,11 @@ def _calibrated(model: Model, checks: list) -> Model:
     return model
 
 
-def fit(docs: DataFrame, learn: Column, sample_rows: int = SAMPLE_ROWS) -> Model | None:
-    """Train on a sample of the rows for which `learn` holds and text and language are known."""
+def fit(docs: DataFrame, learn: Column, sample_rows: int = SAMPLE_ROWS, sample_runs: int = SAMPLE_RUNS) -> Model | None:
+    """Train on a sample of the rows for which `learn` holds and text and language are known.
+
+    A text that would bring the sample above sample_runs is passed over, whole.
+    """
     usable = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
@@ -171,7 +176,13 @@ def fit(docs: DataFrame, learn: Column, sample_rows: int = SAMPLE_ROWS) -> Model
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(part)), *arrays], ["lang", "runs", "counts"])
 
     rows = sample.select("lang", "text").mapInArrow(read, "lang string, runs binary, counts binary").toLocalIterator()
-    return train([(r["lang"], np.frombuffer(r["runs"], np.uint16), np.frombuffer(r["counts"], np.uint32)) for r in rows])
+    examples, left = [], sample_runs
+    for r in rows:
+        runs = np.frombuffer(r["runs"], np.uint16)
+        if len(runs) <= left:
+            left -= len(runs)
+            examples.append((r["lang"], runs, np.frombuffer(r["counts"], np.uint32)))
+    return train(examples)
 
 
 def judge(column: pa.Array, model: Model | None) -> tuple[list[str], np.ndarray, np.ndarray]:

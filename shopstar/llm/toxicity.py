@@ -4,7 +4,8 @@ Only documents are labelled. A sentence's probability is a logistic sum over its
 their first three, four and five bytes, all hashed; a document is toxic if any sentence is, so its probability is one minus the product
 of the sentences' complements. The weights are trained through that formula from document
 labels, in numpy, on a bounded sample: `sample_rows` labelled rows in expectation, drawn by
-a hash of the id, half of them toxic if there are as many. A fifth of the sample is kept
+a hash of the id, half of them toxic if there are as many, and of these, in the order of the
+table, whole documents up to `sample_words` words in all. A fifth of the sample is kept
 back to calibrate the documents' log-odds. Sentence scores then locate what made a document
 toxic.
 
@@ -31,6 +32,7 @@ NONE = BUCKETS
 PREFIXES = (3, 4, 5)
 _WIDTH = 1 + len(PREFIXES)
 SAMPLE_ROWS = 12_000
+SAMPLE_WORDS = 1 << 24
 LEAST_ROWS = 5
 EPOCHS = 8
 RATE = 0.2
@@ -92,7 +94,7 @@ def train(examples: list[tuple[int, np.ndarray, np.ndarray]], seed: int = 7) ->
     given = {label for label, words, _ in examples if len(words)}
     if given != {0, 1}:
         return None
-    examples = sorted((x for x in examples if len(x[1])), key=lambda x: (x[0], len(x[1]), x[1][:8].tobytes()))
+    examples = sorted((x for x in examples if len(x[1])), key=lambda x: (x[0], len(x[1]), x[1][:8].astype(np.int64).tobytes()))
     draw = np.random.default_rng(seed)
     draw.shuffle(examples)
     kept_back = len(examples) // 5
@@ -168,10 +170,13 @@ def _calibrated(model: Model, checks: list, steps: int = 50) -> Model:
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample_rows: int = SAMPLE_ROWS) -> Model | None:
+def fit(
+    docs: DataFrame, labels: DataFrame, learn: Column, sample_rows: int = SAMPLE_ROWS, sample_words: int = SAMPLE_WORDS
+) -> Model | None:
     """Train on a sample of the labelled rows for which `learn`, over doc_id, holds.
 
-    The sample's ids are broadcast: their number is bounded by sample_rows.
+    The sample's ids are broadcast: their number is bounded by sample_rows. A document that
+    would bring the sample above sample_words is passed over, whole.
     """
     known = labels.filter(learn & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("label"))
@@ -198,9 +203,13 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample_rows: int = SA
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(part)), pa.array(bags, pa.binary()), pa.array(cuts, pa.binary())], ["label", "words", "first"])
 
     found = rows.select(F.col("label").cast("int"), "text").mapInArrow(read, "label int, words binary, first binary")
-    whole = lambda x: np.frombuffer(x, np.int32).astype(np.int64)
-    rows = found.toLocalIterator(prefetchPartitions=True)
-    return train([(r["label"], whole(r["words"]).reshape(-1, _WIDTH), whole(r["first"])) for r in rows])
+    examples, left = [], sample_words
+    for r in found.toLocalIterator():
+        words = np.frombuffer(r["words"], np.int32).reshape(-1, _WIDTH)
+        if len(words) <= left:
+            left -= len(words)
+            examples.append((r["label"], words, np.frombuffer(r["first"], np.int32).astype(np.int64)))
+    return train(examples)
 
 
 def predict(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str = "text") -> DataFrame:
