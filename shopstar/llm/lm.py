@@ -2,16 +2,18 @@
 
 Every word is predicted from the REACH words on either side of it, itself unseen; a text's
 score is the sum of the log-probabilities of its words. The vocabulary comes from counts of
-hashed words over the whole corpus: the most frequent cells are classes of their own, the
-others share RARE classes. A class's probability is that of its row in a square of classes
-times that of its column given the row, both read off one hidden layer over the embeddings
-of the neighbours.
+words over the whole corpus, hashed to CELLS cells: the most frequent cells are classes of
+their own, the others share RARE classes. A word's probability is that of its class, given
+the neighbours, times its share of the class, by the counts (half a word more in each cell).
+A class's probability is that of its row in a square of classes times that of its column given
+the row, both read off one hidden layer over the embeddings of the neighbours.
 
 Training runs on Spark: each partition trains a copy in numpy on all its texts, and the
 copies are averaged by the words they saw, for ROUNDS rounds. In a round every text gives
 each ROUNDS-th word, other ones each time, so that in all each word is a target once. What
 is gathered grows with the corpus, one network of fixed size from each partition, added up
-on the way. The averages depend on how the input is split into partitions.
+on the way, in the order of the partitions. The averages depend on how the input is split
+into partitions; the same split gives the same scores.
 
 Null texts and texts without words have no word and the score 0; their mean is null. Rows
 are scored each by itself, whatever their ids. No row gives no row.
@@ -20,6 +22,7 @@ are scored each by itself, whatever their ids. No row gives no row.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +35,7 @@ from shopstar.llm.words import texts
 SIDE = 32
 CLASSES = SIDE * SIDE
 RARE = 32
-CELLS = 1 << 14
+CELLS = 1 << 20
 REACH = 2
 WIDTH = 12
 HIDDEN = 24
@@ -130,8 +133,26 @@ class Trainer:
             self.net[name] -= (RATE * slope / np.sqrt(self.squares[name])).astype(np.float32)
 
 
-def _classes(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
-    return known[(hashes % np.uint64(CELLS)).astype(np.int64)]
+@dataclass
+class Vocabulary:
+    """Of each cell of hashed words its class, and the logarithm of its share of the class."""
+
+    classes: np.ndarray
+    shares: np.ndarray
+
+    @classmethod
+    def counted(cls, counts: np.ndarray) -> Vocabulary:
+        classes = (CLASSES - RARE + np.arange(CELLS) % RARE).astype(np.int16)
+        order = np.argsort(-counts, kind="stable")
+        classes[order[: CLASSES - RARE]] = np.arange(CLASSES - RARE)
+        weights = counts + 0.5
+        shares = np.log(weights / np.bincount(classes, weights, CLASSES)[classes])
+        return cls(classes, shares.astype(np.float32))
+
+    def read(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Class of each word, and the logarithm of its share."""
+        cells = (hashes % np.uint64(CELLS)).astype(np.int64)
+        return self.classes[cells].astype(np.int64), self.shares[cells]
 
 
 def _targets(first: np.ndarray, turn: int) -> np.ndarray:
@@ -148,24 +169,22 @@ def _around(classes: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarra
     return np.where(inside, classes[np.clip(places, 0, len(classes) - 1)], CLASSES)
 
 
-def vocabulary(docs: DataFrame) -> np.ndarray:
-    """The class of each cell of hashed words, by counts over all texts."""
+def vocabulary(docs: DataFrame) -> Vocabulary:
+    """The vocabulary by counts over all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         sums = np.zeros(CELLS, np.int64)
         for batch in batches:
-            for _, part in texts(batch.column(0)):
-                sums += np.bincount((part.hashes(fold=True) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+            cells = [part.hashes(fold=True) % np.uint64(CELLS) for _, part in texts(batch.column(0))]
+            if cells:
+                sums += np.bincount(np.concatenate(cells).astype(np.int64), minlength=CELLS)
         return sums
 
     sums = totals(docs, count, np.int32)
-    order = np.argsort(-(np.zeros(CELLS) if sums is None else sums), kind="stable")
-    known = CLASSES - RARE + np.arange(CELLS) % RARE
-    known[order[: CLASSES - RARE]] = np.arange(CLASSES - RARE)
-    return known
+    return Vocabulary.counted(np.zeros(CELLS) if sums is None else sums)
 
 
-def fit(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, dict[str, np.ndarray]]:
+def fit(docs: DataFrame, text: str = "text") -> tuple[Vocabulary, dict[str, np.ndarray]]:
     """Vocabulary and network of the corpus."""
     rows = docs.select(F.col(text).cast("string").alias("text"))
     known, net = vocabulary(rows), start()
@@ -173,11 +192,11 @@ def fit(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, dict[str, np.n
         held = docs.sparkSession.sparkContext.broadcast((known, net, turn))
 
         def train(batches: Iterator[pa.RecordBatch]) -> np.ndarray | None:
-            cells, begun, turn = held.value
+            known, begun, turn = held.value
             own, seen = Trainer(begun), 0
             for batch in batches:
                 for _, part in texts(batch.column(0)):
-                    classes = _classes(part.hashes(fold=True), cells)
+                    classes, _ = known.read(part.hashes(fold=True))
                     # Words of the piece in a fixed random order.
                     at = _targets(part.first, turn)
                     at = np.random.default_rng(len(at)).permutation(at)
@@ -202,11 +221,11 @@ def score(docs: DataFrame, model, key: str = "doc_id", text: str = "text") -> Da
         for batch in batches:
             counts, sums = [np.zeros(0, np.int64)], [np.zeros(0)]
             for _, part in texts(batch.column(1)):
-                classes = _classes(part.hashes(fold=True), known)
-                each = np.zeros(len(classes))
+                classes, shares = known.read(part.hashes(fold=True))
+                each = shares.astype(np.float64)
                 for begin in range(0, len(classes), SCORED):
                     at = np.arange(begin, min(begin + SCORED, len(classes)))
-                    each[at] = log_chances(net, _around(classes, part.first, at), classes[at])
+                    each[at] += log_chances(net, _around(classes, part.first, at), classes[at])
                 counts.append(np.diff(part.first))
                 owner = np.repeat(np.arange(len(part)), counts[-1])
                 sums.append(np.bincount(owner, each, len(part)))

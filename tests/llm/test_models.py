@@ -164,18 +164,38 @@ def test_scores_equal_those_word_by_word(spark):
 
     for r, (doc_id, text, *_) in zip(lm.score(documents(spark, prose(5)), (known, net)).collect(), prose(5)):
         (_, part), = texts(pa.array([text]))
-        own = lm._classes(part.hashes(fold=True), known)
+        own, shares = known.read(part.hashes(fold=True))
         padded = [lm.CLASSES] * lm.REACH + own.tolist() + [lm.CLASSES] * lm.REACH
         total = 0.0
         for i, c in enumerate(own):
             near = padded[i : i + lm.REACH] + padded[i + lm.REACH + 1 : i + 2 * lm.REACH + 1]
-            total += float(lm.log_chances(net, np.array([near]), np.array([c]))[0])
+            total += float(lm.log_chances(net, np.array([near]), np.array([c]))[0]) + float(shares[i])
         assert r["log_likelihood"] == pytest.approx(total, rel=1e-4)
     got = lm.score(docs, (known, net)).collect()
     assert len(got) == 30 + len(ODD)
     assert all((r["n_tokens"] == 0) == (r["mean_log_likelihood"] is None) for r in got)
 
 
+def test_shares_of_a_class_add_up():
+    draw = np.random.default_rng(1)
+    counts = draw.zipf(1.3, lm.CELLS).clip(0, 10**6) - 1
+    known = lm.Vocabulary.counted(counts)
+    sums = np.bincount(known.classes, np.exp(known.shares.astype(np.float64)), lm.CLASSES)
+    assert np.allclose(sums, 1, atol=1e-3) and (known.shares <= 0).all()
+    alone = np.flatnonzero(known.classes < lm.CLASSES - lm.RARE)
+    assert len(alone) == lm.CLASSES - lm.RARE and not known.shares[alone].any()
+    # In one class the more frequent cell has the larger share.
+    own = np.flatnonzero(known.classes == lm.CLASSES - 1)
+    order = np.argsort(counts[own])
+    assert (np.diff(known.shares[own][order]) >= 0).all()
+
+
+def test_the_same_split_gives_the_same_scores(spark):
+    docs = documents(spark, prose(60)).repartition(5, "doc_id")
+    both = [sorted(map(tuple, lm.score(docs, lm.fit(docs)).collect())) for _ in range(2)]
+    assert both[0] == both[1]
+
+
 def test_every_word_is_a_target_once():
     first = np.array([0, 0, 1, 3, 12, 40])
     turns = [lm._targets(first, turn) for turn in range(lm.ROUNDS)]
