@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopstar.functions import seconds_between, timestamp_lit
 from shopstar.schemas import SourceTable
+from shopstar.session import one_row
+from shopstar.sources.scratch import stored
 
 NOT_NULL, PRIMARY_KEY = "NOT NULL", "PRIMARY KEY"
 SUCCESS, FAILED = "Success", "Failed"
@@ -19,33 +21,37 @@ def _stack(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def table_violations(rows: DataFrame, table: SourceTable) -> DataFrame:
-    """NULLs per mandatory column and rows beyond the first per key, in one pass.
+def surplus_rows(rows: DataFrame, key: str, keep: Callable[[DataFrame], DataFrame] = stored) -> DataFrame:
+    """One row, `surplus`: rows beyond the first of their key; NULL keys do not count.
 
-    Rows are combined per key on the map side first, so a key repeated by a third of the
-    table reaches the shuffle as one row per task.
+    Whole-number keys are counted as they are. Text keys are first counted by a 64-bit hash,
+    which is a quarter of a digest and less of longer keys; only keys whose hash occurs twice
+    are then shuffled in full. Either way a key is combined on the map side. `keep` stores the
+    hashes that occur twice.
     """
-    nulls = {c: f"n{i}" for i, c in enumerate(table.required)}
-    per_key = rows.groupBy(table.key).agg(
-        F.count("*").alias("n"),
-        *[F.count(F.when(F.col(c).isNull(), 1)).alias(n) for c, n in nulls.items()],
-    )
-    surplus = F.when(F.col(table.key).isNotNull(), F.col("n") - 1)
-    totals = per_key.agg(
-        F.sum(surplus).alias("surplus"), *[F.sum(n).alias(n) for n in nulls.values()]
-    )
-    found = [
-        F.struct(
-            F.lit(column).alias("column_name"),
-            F.lit(rule).alias("rule"),
-            F.coalesce(count, F.lit(0)).cast("bigint").alias("violations"),
-        )
-        for column, rule, count in (
-            *[(c, NOT_NULL, n) for c, n in nulls.items()],
-            (table.key, PRIMARY_KEY, "surplus"),
-        )
-    ]
-    return totals.select(F.lit(table.name).alias("table_name"), F.inline(F.array(*found)))
+    known = rows.select(key).filter(F.col(key).isNotNull())
+    if dict(rows.dtypes)[key] == "string":
+        hashed = known.withColumn("_hash", F.xxhash64(key))
+        twice = keep(hashed.groupBy("_hash").count().filter("count > 1").select("_hash"))
+        if twice.isEmpty():
+            return one_row(rows.sparkSession).select(F.lit(0).cast("bigint").alias("surplus"))
+        known = hashed.join(twice, "_hash", "left_semi")
+    counted = known.groupBy(key).agg(F.count("*").alias("n"))
+    return counted.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("surplus"))
+
+
+def table_violations(rows: DataFrame, table: SourceTable) -> DataFrame:
+    """NULLs per mandatory column, counted without a shuffle, and rows beyond the first per key."""
+
+    def told(column: str, rule: str, count) -> Column:
+        columns = {"column_name": F.lit(column), "rule": F.lit(rule), "violations": count.cast("bigint")}
+        return F.struct(*[value.alias(name) for name, value in columns.items()])
+
+    nulls = rows.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(f"n{i}") for i, c in enumerate(table.required)])
+    found = [told(c, NOT_NULL, F.col(f"n{i}")) for i, c in enumerate(table.required)]
+    named = F.lit(table.name).alias("table_name")
+    surplus = surplus_rows(rows, table.key).select(named, F.inline(F.array(told(table.key, PRIMARY_KEY, F.col("surplus")))))
+    return nulls.select(named, F.inline(F.array(*found))).unionByName(surplus)
 
 
 def violations(tables: dict[str, DataFrame], layouts: dict[str, SourceTable]) -> DataFrame:
@@ -56,15 +62,10 @@ def violations(tables: dict[str, DataFrame], layouts: dict[str, SourceTable]) ->
 
 def load_metrics(rows: DataFrame, table: SourceTable, batch_id: str, started, ended) -> DataFrame:
     """One log row for a load: row count, key problems, status and duration."""
-    per_key = rows.groupBy(table.key).agg(F.count("*").alias("n"))
-    is_null = F.col(table.key).isNull()
-    counted = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-        F.coalesce(F.sum(F.when(is_null, F.col("n"))), F.lit(0)).alias("null_keys"),
-        F.coalesce(F.sum(F.when(~is_null, F.col("n") - 1)), F.lit(0)).alias("duplicate_keys"),
-    )
+    counted = rows.agg(F.count("*").alias("row_count"), F.count(F.when(F.col(table.key).isNull(), 1)).alias("null_keys"))
+    surplus = surplus_rows(rows, table.key).select(F.col("surplus").alias("duplicate_keys"))
     sound = (F.col("null_keys") == 0) & (F.col("duplicate_keys") == 0)
-    return counted.select(
+    return counted.withColumn("duplicate_keys", surplus.scalar()).select(
         F.lit(table.name).alias("table_name"),
         F.lit(batch_id).alias("batch_id"),
         timestamp_lit(started).alias("load_start_time"),

@@ -1,0 +1,77 @@
+"""Duplicate keys and missing values, and what is shuffled to find them."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from shopstar.operators.quality import load_metrics, surplus_rows, table_violations
+from shopstar.schemas import SourceTable
+
+LAYOUT = SourceTable("t", "k", "k STRING NOT NULL, v INT NOT NULL, created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ")
+
+
+def frame(spark, keys, kind="STRING"):
+    return spark.createDataFrame([(k, None if i % 5 == 0 else i) for i, k in enumerate(keys)], f"k {kind}, v INT")
+
+
+def drawn(seed):
+    draw = random.Random(seed)
+    return [draw.choice([None, "", "a", "A", "a ", f"key{draw.randrange(300)}", "é" * draw.randrange(40)]) for _ in range(900)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_surplus_of_text_keys(spark, seed):
+    keys = drawn(seed)
+    counts = Counter(k for k in keys if k is not None)
+    want = sum(n - 1 for n in counts.values())
+    assert surplus_rows(frame(spark, keys), "k").first().surplus == want > 0
+    found = {(r.column_name, r.rule): r.violations for r in table_violations(frame(spark, keys), LAYOUT).collect()}
+    assert found == {("k", "NOT NULL"): keys.count(None), ("v", "NOT NULL"): 180, ("k", "PRIMARY KEY"): want}
+    log = load_metrics(frame(spark, keys), LAYOUT, "B", "2025-01-01T00:00:00", "2025-01-01T00:00:09").first()
+    assert (log.row_count, log.null_keys, log.duplicate_keys, log.status) == (900, keys.count(None), want, "Failed")
+
+
+def test_surplus_of_whole_numbers_and_of_nothing(spark):
+    assert surplus_rows(frame(spark, [3, 3, 3, None, None, -1, 5, 5], "BIGINT"), "k").first().surplus == 3
+    for keys in ([], [None, None], ["a", "b"]):
+        assert surplus_rows(frame(spark, keys), "k").first().surplus == 0
+        log = load_metrics(frame(spark, keys), LAYOUT, "B", "2025-01-01T00:00:00", "2025-01-01T00:00:09").first()
+        assert log.duplicate_keys == 0
+
+
+def shuffled(spark, build) -> int:
+    """Bytes that the exchanges of all jobs of `build` write, from the task metrics."""
+    plan = build()._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+
+    def below(node):
+        own = node.metrics().get("dataSize") if "Exchange" in node.nodeName() else None
+        size = own.get().value() if own is not None and own.isDefined() else 0
+        children = node.children()
+        return size + sum(below(children.apply(i)) for i in range(children.size()))
+
+    return below(plan)
+
+
+def test_long_keys_travel_as_hashes(spark):
+    """10,000 keys of 200 letters: 2 MB in full, and the hash and count of each take 16 bytes."""
+    rows = spark.range(0, 10_000, 1, 4).select(F.lpad(F.col("id").cast("string"), 200, "k").alias("k"), F.col("id").alias("v"))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    kept = []
+
+    def keep(hashes):
+        kept.append(shuffled(spark, lambda: hashes))
+        return hashes
+
+    try:
+        full = shuffled(spark, lambda: rows.groupBy("k").count())
+        rest = shuffled(spark, lambda: surplus_rows(rows, "k", keep))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert full > 2_000_000
+    assert sum(kept) + rest < full / 6
