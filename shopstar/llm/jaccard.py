@@ -46,6 +46,8 @@ PERCENT = 75
 CELLS = 1 << 20
 ROUND_GROWTH = 8
 MEMBERS = 8
+# A bit set of at most 8 MB is broadcast.
+MOST_BITS = 26
 # Ids that stand in for missing and repeated ones begin here.
 SUBSTITUTES = 1 << 62
 
@@ -192,6 +194,28 @@ def _grouped(heads: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.keep(rows.select(first.alias("g"), "m", "n", F.xxhash64("alike").alias("p")))
 
 
+def _seen_twice(prefixes: DataFrame, scratch: Scratch) -> np.ndarray:
+    """A bit for each value of an element's leading bits: set if any such element is in two
+    prefixes. A set bit proves nothing; an element whose bit is not set is in one prefix."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens, counts = np.unique(batch.column(0).flatten().to_numpy(), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.int64()), pa.array(counts, pa.int64())], ["token", "n"])
+
+    # Counted by batch before the shuffle, so that what all texts share is a row per batch.
+    counted = prefixes.select("prefix").mapInArrow(count, "token bigint, n bigint")
+    often = counted.repartition("token").groupBy("token").agg(F.sum("n").alias("n")).filter("n > 1").select("token")
+    often = scratch.keep(often)
+    bits = min(max(20, (16 * often.count()).bit_length()), MOST_BITS)
+    place = F.shiftrightunsigned("token", 64 - bits)
+    words = often.select(place.alias("p")).selectExpr("cast(shiftright(p, 6) as int) as word", "shiftleft(1L, cast(p & 63 as int)) as bit")
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return out
+
+
 def _lists(found: DataFrame, classes: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
     """Entries of every list that has at least two: inner, token, g, p, where, rank and last.
 
@@ -199,17 +223,30 @@ def _lists(found: DataFrame, classes: DataFrame, members: DataFrame, scratch: Sc
     and its place; inner lists have the members of one group.
     """
     hidden = scratch.keep(members.filter("m != g").select("m"))
-    entries = picked(picked(found.filter("n > 0").select("id", "n", "prefix"), "id", classes), "id", hidden, without=True)
-    entries = entries.select(F.posexplode("prefix").alias("at", "token"), F.col("id").alias("g"), F.shiftleft("n", 32).alias("n"))
-    entries = scratch.keep(entries.select("token", "g", (F.col("n") + F.col("at")).alias("where")))
-    often = entries.groupBy("token").count().filter("count > 1").select("token")
-    shared = scratch.keep(entries.join(often, "token", "left_semi"))
-    scratch.drop(entries)
-    heads = members.filter("m = g").select("g", "p")
-    outer = shared.join(heads, "g", "left").select(F.lit(False).alias("inner"), "token", "g", "p", "where")
+    heads = picked(picked(found.filter("n > 0").select("id", "n", "prefix"), "id", classes), "id", hidden, without=True)
+    held = found.sparkSession.sparkContext.broadcast(_seen_twice(heads, scratch))
+
+    def list_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = held.value
+        shift = np.uint64(64 - (len(bits).bit_length() + 5))
+        for batch in batches:
+            prefixes = batch.column(2)
+            counts = np.diff(prefixes.offsets.to_numpy())
+            tokens = prefixes.flatten().to_numpy()
+            owner = np.repeat(np.arange(len(batch)), counts)
+            at = np.arange(len(tokens)) - np.repeat(np.cumsum(counts) - counts, counts)
+            place = tokens.view(np.uint64) >> shift
+            kept = np.flatnonzero(bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1))
+            where = (batch.column(1).to_numpy()[owner[kept]] << 32) + at[kept]
+            arrays = [tokens[kept], batch.column(0).to_numpy()[owner[kept]], where]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["token", "g", "where"])
+
+    entries = scratch.keep(heads.mapInArrow(list_up, "token bigint, g bigint, where bigint"))
+    firsts = members.filter("m = g").select("g", "p")
+    outer = entries.join(firsts, "g", "left").select(F.lit(False).alias("inner"), "token", "g", "p", "where")
     own = members.select(F.lit(True).alias("inner"), F.col("p").alias("token"), F.col("m").alias("g"), F.lit(None).cast("bigint").alias("p"), F.shiftleft("n", 32).alias("where"))
     numbered = [number_in_group(rows, "token", F.col("g"), "g", "rank", "last", scratch.keep) for rows in (outer, own)]
-    return scratch.keep(numbered[0].unionByName(numbered[1]))
+    return scratch.keep(numbered[0].unionByName(numbered[1]).filter("last > 1"))
 
 
 def _located(lists: DataFrame, members: DataFrame, joined: DataFrame) -> DataFrame:

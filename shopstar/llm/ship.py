@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 from shopstar.sources.scratch import shared_folder
 
 BATCH_ROWS = 1000
+BATCH_BYTES = 4 << 20
 _ROOT = Path(__file__).resolve().parents[2]
 _shipped: set[str] = set()
 
@@ -24,6 +25,7 @@ def ship(spark: SparkSession) -> None:
     The archive lies in the folder that the cluster shares, where that is a plain folder.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     on_path = {Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p}
     if context.master.startswith("local["):
