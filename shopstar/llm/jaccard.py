@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from shopstar.llm.links import components, picked
 from shopstar.llm.sums import totals
+from shopstar.llm.tidy import tidy
 from shopstar.llm.words import texts, windows
 from shopstar.operators.sequence import number_in_group
 from shopstar.sources.scratch import Scratch, stored
@@ -122,7 +123,7 @@ def _prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, k) for x, k in zip(columns, kinds))], names)
 
     shape = "id bigint, n bigint, whole binary, parities binary, prefix array<bigint>, alike binary"
-    return docs.select("id", "text").mapInArrow(run, shape)
+    return docs.select("id", "text").mapInArrow(tidy(run), shape)
 
 
 def _able(n1: Column, at1: Column, n2: Column, at2: Column, percent: int) -> Column:
@@ -178,8 +179,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int, scratc
                 keep.append(common * (100 + percent) >= (len(x) + len(y)) * percent)
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    sets = scratch.keep(picked(docs.select("id", "text"), "id", ids).mapInArrow(read, "id bigint, held binary"))
-    links = scratch.keep(_paired(pairs, sets, "held").mapInArrow(check, "a bigint, b bigint"))
+    sets = scratch.keep(picked(docs.select("id", "text"), "id", ids).mapInArrow(tidy(read), "id bigint, held binary"))
+    links = scratch.keep(_paired(pairs, sets, "held").mapInArrow(tidy(check), "a bigint, b bigint"))
     scratch.drop(sets)
     return links
 
@@ -241,7 +242,7 @@ def _lists(found: DataFrame, classes: DataFrame, members: DataFrame, scratch: Sc
             arrays = [tokens[kept], batch.column(0).to_numpy()[owner[kept]], where]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["token", "g", "where"])
 
-    entries = scratch.keep(heads.mapInArrow(list_up, "token bigint, g bigint, where bigint"))
+    entries = scratch.keep(heads.mapInArrow(tidy(list_up), "token bigint, g bigint, where bigint"))
     firsts = members.filter("m = g").select("g", "p")
     outer = entries.join(firsts, "g", "left").select(F.lit(False).alias("inner"), "token", "g", "p", "where")
     own = members.select(F.lit(True).alias("inner"), F.col("p").alias("token"), F.col("m").alias("g"), F.lit(None).cast("bigint").alias("p"), F.shiftleft("n", 32).alias("where"))

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopstar.llm.tidy import tidy
 from shopstar.llm.words import Texts, mix, texts
 
 UNKNOWN = "und"
@@ -220,7 +221,7 @@ def predict(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str
     kind = dict(docs.dtypes)[key]
     rows = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
     shape = f"_key {kind}, lang_pred string, score double, rejected boolean"
-    return rows.mapInArrow(run, shape).withColumnRenamed("_key", key)
+    return rows.mapInArrow(tidy(run), shape).withColumnRenamed("_key", key)
 
 
 def accepted(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
@@ -232,7 +233,7 @@ def accepted(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
         for batch in batches:
             yield batch.filter(pa.array(~judge(batch.column(at), held.value)[2]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def fold(modulus: int, key: str = "doc_id") -> Column:

@@ -23,6 +23,8 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
+from shopstar.llm.tidy import tidy
+
 SPACE = "▁"
 _SPACE_BYTES = SPACE.encode()
 CACHED_WORDS = 400_000
@@ -214,6 +216,10 @@ class Codec:
                 alone = self._model.encode(word)
                 self._cache[word] = " ".join(map(str, alone)).encode(), np.array(alone, np.int32).tobytes()
 
+    def forget(self) -> None:
+        """Drop the words met so far."""
+        self._cache.clear()
+
     def spans(self, ids: np.ndarray, aligned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and end of each piece in the bytes of the source."""
         widths = self.widths[ids]
@@ -345,8 +351,9 @@ def digests(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "
             kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64())
             arrays = [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)] if rows else [pa.array([], kind) for kind in kinds]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["_key", "n_tokens", "ids_sha256", "decoded_sha256", "n_bytes", "span_bytes"])
+        own.forget()
 
     kind = dict(docs.dtypes)[key]
     rows = docs.select(docs[key].alias("_key"), docs[text].alias("_text"))
     shape = f"_key {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_bytes bigint, span_bytes bigint"
-    return rows.mapInArrow(run, shape).withColumnRenamed("_key", key)
+    return rows.mapInArrow(tidy(run), shape).withColumnRenamed("_key", key)

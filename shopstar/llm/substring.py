@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopstar.llm.links import picked
+from shopstar.llm.tidy import tidy
 from shopstar.llm.words import spans_hash, texts
 from shopstar.sources.scratch import Scratch, stored
 
@@ -151,7 +152,7 @@ def _placed(docs: DataFrame, length: int) -> DataFrame:
                 columns = [anchor, region, ids[row + owner], marks[row + owner], start << 16 | number]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "region", "id", "h", "place"])
 
-    return docs.mapInArrow(run, "anchor bigint, region bigint, id bigint, h bigint, place bigint")
+    return docs.mapInArrow(tidy(run), "anchor bigint, region bigint, id bigint, h bigint, place bigint")
 
 
 def _contents(places: DataFrame, docs: DataFrame, length: int, scratch: Scratch) -> DataFrame:
@@ -175,7 +176,7 @@ def _contents(places: DataFrame, docs: DataFrame, length: int, scratch: Scratch)
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["anchor", "region", "copies", "words"])
 
-    return rows.select("text", "wanted").mapInArrow(run, "anchor bigint, region bigint, copies int, words binary")
+    return rows.select("text", "wanted").mapInArrow(tidy(run), "anchor bigint, region bigint, copies int, words binary")
 
 
 def _judged(contents: DataFrame, shards: int, length: int) -> DataFrame:
@@ -310,8 +311,8 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
         ids = scratch.keep(spans.select("__id").distinct())
         rows = _marked(docs, key, text)
         touched = picked(rows, "__id", ids).join(spans, ["__id", "__h"], "left")
-        touched = touched.select(*columns, F.coalesce("__spans", F.array()).alias("spans")).mapInArrow(run, shape)
-        rest = picked(rows, "__id", ids, without=True).select(*columns).mapInArrow(run, shape)
+        touched = touched.select(*columns, F.coalesce("__spans", F.array()).alias("spans")).mapInArrow(tidy(run), shape)
+        rest = picked(rows, "__id", ids, without=True).select(*columns).mapInArrow(tidy(run), shape)
         return stored(touched.union(rest).withColumnRenamed("_key", key))
 
 
@@ -342,4 +343,4 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     rows = _marked(docs, key, text)
     touched = picked(rows, "__id", ids).join(spans, ["__id", "__h"], "left").select(*docs.columns, "__spans")
     rest = picked(rows, "__id", ids, without=True).select(*docs.columns)
-    return touched.mapInArrow(run, shape).union(rest)
+    return touched.mapInArrow(tidy(run), shape).union(rest)
