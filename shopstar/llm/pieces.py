@@ -27,7 +27,7 @@ from shopstar.llm.tidy import tidy
 
 SPACE = "▁"
 _SPACE_BYTES = SPACE.encode()
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 
 
 def _fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
