@@ -247,9 +247,10 @@ def _repeated(contents: DataFrame, length: int, scratch: Scratch, gram: int = GR
 def _spans(docs: DataFrame, length: int, scratch: Scratch) -> DataFrame:
     """id, h and spans (first word and bits of repeated windows) of each text that has any."""
     placed = scratch.keep(_placed(docs, length))
-    # An anchor is counted on the map side, and met by a join that splits hot ones; only
-    # regions with an anchor that occurs twice are gathered by content.
-    often = placed.groupBy("anchor").count().filter("count > 1").select("anchor")
+    # An anchor is counted on the map side, and met by a join that splits hot ones, as it can
+    # where both sides come straight from their shuffles; only regions with an anchor that
+    # occurs twice are gathered by content.
+    often = scratch.keep(placed.groupBy("anchor").count().filter("count > 1").select("anchor"))
     shared = scratch.keep(placed.join(often, "anchor", "left_semi"))
     scratch.drop(placed)
     copies = F.least(F.count(F.lit(1)), F.lit(2)).cast("int").alias("copies")
