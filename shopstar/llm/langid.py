@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopstar.llm.tidy import tidy
+from shopstar.llm.tidy import release, tidy
 from shopstar.llm.words import Texts, mix, texts
 
 UNKNOWN = "und"
@@ -183,7 +183,10 @@ def fit(docs: DataFrame, learn: Column, sample_rows: int = SAMPLE_ROWS, sample_r
         if len(runs) <= left:
             left -= len(runs)
             examples.append((r["lang"], runs, np.frombuffer(r["counts"], np.uint32)))
-    return train(examples)
+    model = train(examples)
+    examples.clear()
+    release()
+    return model
 
 
 def judge(column: pa.Array, model: Model | None) -> tuple[list[str], np.ndarray, np.ndarray]:

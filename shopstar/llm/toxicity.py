@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopstar.llm.tidy import release
 from shopstar.llm.words import FOLDED, Texts, spans_hash, texts
 
 BUCKETS = 1 << 20
@@ -209,7 +210,10 @@ def fit(
         if len(words) <= left:
             left -= len(words)
             examples.append((r["label"], words, np.frombuffer(r["first"], np.int32).astype(np.int64)))
-    return train(examples)
+    model = train(examples)
+    examples.clear()
+    release()
+    return model
 
 
 def predict(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str = "text") -> DataFrame:
